@@ -1,0 +1,53 @@
+"""Rules that move a site's feed cursor and report on site runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def cursor_progress(batches: DataFrame, cursors: DataFrame, load_till: Column) -> DataFrame:
+    """Evaluate a feed's batch sequence.
+
+    ``batches(site, seq, ads, max_checked)`` in ``seq`` order; a site stops at an empty batch, at a
+    batch that does not advance its cursor (its data is kept), or once the cursor reached
+    ``load_till``. Adds ``cursor_before``, ``fetched``, ``persisted`` and ``advanced``.
+    """
+    earlier = Window.partitionBy("site").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    started = batches.join(cursors.select("site", F.col("ts").alias("start")), "site")
+    before = F.greatest(F.col("start"), F.max("max_checked").over(earlier))
+    moving = started.withColumn("cursor_before", before).withColumn(
+        "moves", (F.col("ads") > 0) & F.coalesce(F.col("max_checked") > F.col("cursor_before"), F.lit(False))
+    )
+    stopped = F.coalesce(F.max(~F.col("moves")).over(earlier), F.lit(False))
+    return (
+        moving.withColumn("fetched", ~stopped & (F.col("cursor_before") < load_till))
+        .withColumn("persisted", F.col("fetched") & (F.col("ads") > 0))
+        .withColumn("advanced", F.col("fetched") & F.col("moves"))
+        .select("site", "seq", "ads", "max_checked", "cursor_before", "fetched", "persisted", "advanced")
+    )
+
+
+def final_cursors(progress: DataFrame) -> DataFrame:
+    """Cursor of each site after the sequence."""
+    return progress.groupBy("site").agg(
+        F.coalesce(F.max(F.when(F.col("advanced"), F.col("max_checked"))), F.min("cursor_before")).alias("ts")
+    )
+
+
+def site_status(results: DataFrame, strict: bool) -> DataFrame:
+    """Outcome per site from ``results(site, error)``.
+
+    Sites are independent unless ``strict``, where those after the first failing one never run.
+    """
+    failed = F.col("error").isNotNull()
+    own = F.when(failed, F.lit("failed")).otherwise(F.lit("ok"))
+    if not strict:
+        return results.select("site", own.alias("status"), "error")
+    first_failed = results.where(failed).agg(F.min("site").alias("first_failed")).scalar()
+    skipped = F.col("site") > first_failed
+    return results.select(
+        "site",
+        F.when(skipped, F.lit("not_run")).otherwise(own).alias("status"),
+        F.when(~F.coalesce(skipped, F.lit(False)), F.col("error")).alias("error"),
+    )
