@@ -196,7 +196,9 @@ def invalid_reason(payload: Column) -> Column:
 
 def split_invalid(raw: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with their reason). ``strict`` fails the job instead."""
-    marked = raw.withColumn("invalid_reason", invalid_reason(F.col("payload")))
+    # the lambda binds the payload, so a filter pushed below the parse still parses each row once
+    reason = F.get(F.transform(F.array("payload"), invalid_reason), F.lit(0))
+    marked = raw.withColumn("invalid_reason", reason)
     if strict:
         marked = marked.withColumn(
             "invalid_reason",
