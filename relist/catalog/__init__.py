@@ -7,7 +7,7 @@ from importlib import import_module
 
 from relist.catalog.registry import ORACLES, QUERIES, Query
 
-MODULES = ("values", "matching")
+MODULES = ("values", "matching", "graph", "stores")
 
 
 @dataclass(frozen=True)

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from relist.operators.archiving import BATCH_ROWS, RETENTION_DAYS, assign_batches, cutoff, expired, summarize_batches
 from relist.runtime import cut_lineage
 from relist.sources.archive_store import read_batches, verify_batches, without_archived, write_batches
-from relist.sources.state import SUCCESS, ledger_current, ledger_finished, ledger_started
+from relist.sources.state import ledger_current, ledger_finished, ledger_started
 
 
 @dataclass
 class ArchiveRun:
-    archive: DataFrame
     ledger: DataFrame
+    archived: DataFrame
     remaining: DataFrame
 
 
@@ -40,17 +40,18 @@ def run_archive(
     batched = cut_lineage(assign_batches(expired(raw, cutoff(now, retention_days)), batch_rows, run_id))
     summary = cut_lineage(summarize_batches(batched, prefix))
     ledger_started(summary).write.mode("append").parquet(ledger_path)
+    if summary.isEmpty():
+        return ArchiveRun(ledger_current(spark.read.parquet(ledger_path)), batched.select("raw_id"), raw)
     try:
         write_batches(batched, files)
-        stored = read_batches(spark, files)
-        checked = cut_lineage(verify_batches(batched, stored).select(F.col("batch_id").alias("id"), "verified"))
+        checked = verify_batches(batched, read_batches(spark, files))
+        checked = cut_lineage(checked.select(F.col("batch_id").alias("id"), "verified"))
     except Exception:
         ledger_finished(summary, F.lit(False), now).write.mode("append").parquet(ledger_path)
         raise
     closed = ledger_finished(summary.join(checked, "id"), F.col("verified"), now)
     closed.write.mode("append").parquet(ledger_path)
 
-    ledger = ledger_current(spark.read.parquet(ledger_path))
-    succeeded = ledger.where(F.col("status") == SUCCESS).select(F.col("id").alias("batch_id"))
-    remaining = without_archived(raw, batched.join(succeeded, "batch_id", "left_semi"))
-    return ArchiveRun(stored, ledger, remaining)
+    succeeded = checked.where("verified").select(F.col("id").alias("batch_id"))
+    archived = batched.join(succeeded, "batch_id", "left_semi").select("raw_id")
+    return ArchiveRun(ledger_current(spark.read.parquet(ledger_path)), archived, without_archived(raw, archived))

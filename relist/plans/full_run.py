@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from relist.functions.scoring import MatchRules
 from relist.plans.archive import run_archive
 from relist.plans.matching import match_incremental
 from relist.schemas import CURSOR_SCHEMA, LINK_COLUMNS
+from relist.sources.feed import live_raw, mark_deleted
 from relist.sources.state import read_state, write_state
 from relist.sources.tables import read_listings
 from relist.streaming.ingest import ingest, load_cursors
@@ -37,9 +39,11 @@ def run_stages(stages: dict[str, Callable[[], None]]) -> StageReport:
     return report
 
 
-def _state_or_empty(spark: SparkSession, path: str, schema):
+def _state_or_empty(
+    spark: SparkSession, path: str, schema: StructType | str, read: Callable[[SparkSession, str], DataFrame] = read_state
+) -> DataFrame:
     try:
-        return read_state(spark, path)
+        return read(spark, path)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
@@ -65,8 +69,9 @@ def full_run(
         write_state(run.markers, f"{out}/markers", run_no)
 
     def archive_stage() -> None:
-        raw = spark.read.parquet(f"{out}/raw")
+        deleted = _state_or_empty(spark, f"{out}/raw_deleted", "raw_id string", read=lambda s, p: s.read.parquet(p))
+        raw = live_raw(spark.read.parquet(f"{out}/raw"), deleted)
         run = run_archive(spark, raw, out, now)
-        run.remaining.write.mode("overwrite").partitionBy("source").parquet(f"{out}/raw_left/run={run_no}")
+        mark_deleted(run.archived, f"{out}/raw_deleted", run_no)
 
     return run_stages({"ingest": ingest_stage, "match": match_stage, "archive": archive_stage})
