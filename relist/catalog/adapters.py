@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relist.catalog.registry import table
+from relist.runtime import spread
 
 NOW = "2024-02-15 12:00:00"
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -45,7 +46,7 @@ def select_list(columns: dict[str, str], formats: dict[str, str]) -> list[str]:
 
 
 def spark_view(spark: SparkSession, sf_dir: str, source: str, columns: dict[str, str]) -> DataFrame:
-    return table(spark, sf_dir, source).selectExpr(*select_list(columns, SPARK_FORMATS))
+    return spread(table(spark, sf_dir, source)).selectExpr(*select_list(columns, SPARK_FORMATS))
 
 
 def duck_view(source: str, columns: dict[str, str]) -> str:

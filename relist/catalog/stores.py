@@ -398,6 +398,8 @@ FEED_COLUMNS = {
     "added": "<datetime:ts>",
     "actual": "'0'",
     "name": "'listing ' || CAST(user_id % 15 AS STRING)",
+    "mark": "'brand ' || CAST(user_id % 3 AS STRING)",
+    "model": "'model'",
     "price": "CAST(value AS STRING)",
     "run": "CASE WHEN event_id % 11 <> 0 THEN CAST(100000 + event_id % 5000 AS STRING) END",
     "ts": "ts",
@@ -417,7 +419,7 @@ def land(spark: SparkSession, sf: str, landing: str, part: int) -> None:
         rows = rows.where(F.col("ts") >= F.expr(SPLIT)).unionByName(again)
     else:
         rows = first
-    ad = F.to_json(F.struct("unique_id", "checked", "added", "actual", "name", "price", "run"))
+    ad = F.to_json(F.struct("unique_id", "checked", "added", "actual", "name", "mark", "model", "price", "run"))
     pages = (
         rows.select("site", F.floor(F.col("event_id") / 100).alias("page"), "event_id", ad.alias("ad"))
         .groupBy("site", "page")
@@ -449,7 +451,7 @@ def ingest_batch(spark: SparkSession, sf: str) -> DataFrame:
 # The listings the two deliveries leave behind, with every block field the feed does not fill missing.
 FED_LISTINGS = (
     "listings AS (SELECT '[' || event_type || ']' || event_id AS doc_id, event_type AS site_name, 'unknown' AS seller_type, 'listing ' || (user_id % 15) AS name, "
-    "'' AS brand, '' AS model, false AS is_new, date_trunc('second', ts) AS offer_start, "
+    "'brand ' || (user_id % 3) AS brand, 'model' AS model, false AS is_new, date_trunc('second', ts) AS offer_start, "
     f"CASE WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 10 = 0 THEN TIMESTAMP '{AGAIN_CHECKED}' ELSE date_trunc('second', ts) + (event_id % 72) * INTERVAL 1 HOUR END AS offer_end, "
     "CASE WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 10 = 0 THEN value + 1 ELSE value END AS latest_price, "
     "CASE WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 10 = 0 THEN value + 1 ELSE value END AS initial_price, "

@@ -202,7 +202,8 @@ def price_bounds(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT event_id, lat IS NOT NULL OR lon IS NOT NULL AS located, lat, lon FROM c",
 )
 def location_struct(spark: SparkSession, sf: str) -> DataFrame:
-    placed = parsed_raw(spark, sf).select("event_id", P.location(F.col("payload")).alias("location"))
+    payload = F.col("payload")
+    placed = parsed_raw(spark, sf).select("event_id", P.location(P.text(payload, "city_latitude"), P.text(payload, "city_longitude")).alias("location"))
     return placed.select(
         "event_id",
         F.col("location").isNotNull().alias("located"),

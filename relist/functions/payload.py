@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,27 +28,28 @@ def text(payload: Column, key: str) -> Column:
     return F.try_variant_get(payload, f"$.{key}", "string")
 
 
+def texts(payload: Column, keys: Iterable[str]) -> Column:
+    """Several scalar fields as text in one struct, read in one pass; null unless an object."""
+    return F.try_variant_get(payload, "$", f"struct<{','.join(f'{key}:string' for key in dict.fromkeys(keys))}>")
+
+
 def is_object(item: Column) -> Column:
-    return F.schema_of_variant(item).startswith("OBJECT")
+    # only an object can be read as a struct; the field need not exist
+    return texts(item, ["id"]).isNotNull()
 
 
-def object_items(payload: Column, key: str) -> Column:
-    """Object elements of an array field; an absent, null or non-array field is empty."""
+def object_items(payload: Column, key: str, fields: Iterable[str]) -> Column:
+    """Object elements of an array field, each as a struct of texts; absent, null or no array is empty."""
     items = F.try_variant_get(payload, f"$.{key}", "array<variant>")
-    return F.filter(F.coalesce(items, F.array().cast("array<variant>")), is_object)
+    read = F.filter(F.transform(items, lambda item: texts(item, fields)), lambda item: item.isNotNull())
+    return F.coalesce(read, F.filter(F.array(texts(payload, fields)), lambda item: F.lit(False)))
 
 
 def named_params(payload: Column) -> Column:
     """``params`` as an array of (name, value) with names lower-cased and nameless items dropped."""
     pairs = F.transform(
-        F.filter(
-            object_items(payload, "params"),
-            lambda p: F.schema_of_variant(F.try_variant_get(p, "$.name", "variant")) == "STRING",
-        ),
-        lambda p: F.struct(
-            F.lower(blank_to_null(text(p, "name"))).alias("name"),
-            blank_to_null(text(p, "value")).alias("value"),
-        ),
+        object_items(payload, "params", ("name", "value")),
+        lambda p: F.struct(F.lower(blank_to_null(p["name"])).alias("name"), blank_to_null(p["value"]).alias("value")),
     )
     return F.filter(pairs, lambda p: p["name"].isNotNull())
 
@@ -58,20 +61,20 @@ def param_value(params: Column, name: str) -> Column:
 
 
 def image_list(payload: Column) -> Column:
-    urls = F.transform(object_items(payload, "advert_image"), lambda i: image_url(text(i, "image")))
+    urls = F.transform(object_items(payload, "advert_image", ("image",)), lambda i: image_url(i["image"]))
     return F.filter(urls, lambda u: u.isNotNull())
 
 
 def price_history(payload: Column, default_time: Column) -> Column:
     """Priced items ordered by time; equal times keep their order in the payload."""
     numbered = F.transform(
-        object_items(payload, "advert_info"),
+        object_items(payload, "advert_info", ("price", "datetime", "views", "type")),
         lambda item, position: F.struct(
-            F.coalesce(payload_datetime(text(item, "datetime")), default_time).alias("datetime"),
+            F.coalesce(payload_datetime(item["datetime"]), default_time).alias("datetime"),
             position.alias("position"),
-            to_double(text(item, "price")).alias("price"),
-            to_bigint(text(item, "views")).alias("views"),
-            blank_to_null(text(item, "type")).alias("event_type"),
+            to_double(item["price"]).alias("price"),
+            to_bigint(item["views"]).alias("views"),
+            blank_to_null(item["type"]).alias("event_type"),
         ),
     )
     priced = F.filter(numbered, lambda item: item["price"].isNotNull())
@@ -94,8 +97,8 @@ def latest_price(history: Column, first_price: Column) -> Column:
     return F.coalesce(F.try_element_at(history, F.lit(-1))["price"], first_price)
 
 
-def location(payload: Column) -> Column:
-    latitude, longitude = to_double(text(payload, "city_latitude")), to_double(text(payload, "city_longitude"))
+def location(latitude: Column, longitude: Column) -> Column:
+    latitude, longitude = to_double(latitude), to_double(longitude)
     return F.when(
         latitude.isNotNull() | longitude.isNotNull(), F.struct(latitude.alias("lat"), longitude.alias("lon"))
     )

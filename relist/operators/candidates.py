@@ -12,6 +12,7 @@ from relist.functions import scoring
 from relist.functions.scoring import MatchRules
 from relist.functions.text import blank_to_null
 from relist.functions.times import epoch_day, plus_days
+from relist.runtime import cut_lineage
 
 # Fields that must agree exactly or be missing on both sides.
 BLOCK_TEXT_FIELDS = (
@@ -41,6 +42,8 @@ DOUBLE_FIELDS = ("engine_power", "engine_volume_liters")
 
 # A block with more earlier listings than this is also split by price and mileage.
 HOT_BLOCK_ROWS = 100_000
+# Hot blocks are broadcast up to this number of 8-byte hashes.
+BROADCAST_ROWS = 1_000_000
 # Marks "not split on this dimension"; real cells are small integers.
 WHOLE = -(2**31)
 
@@ -59,22 +62,32 @@ def clean_keys(listings: DataFrame) -> DataFrame:
     return listings.withColumns({name: cleaned_key(name) for name in BLOCK_FIELDS})
 
 
-def _with_block(df: DataFrame, prefix: str) -> DataFrame:
-    keys = [F.col(f"{prefix}_{name}") for name in BLOCK_FIELDS]
-    return df.withColumn(f"{prefix}_block", F.xxhash64(*keys))
+def block_key(values: list[Column]) -> Column:
+    """All block fields as one text; equal texts mean every field is equal or missing on both sides.
+
+    Each value is written with its length in front and a missing one as a dash, so no two different
+    lists of values share a text. One key compares and shuffles cheaper than 24 null-safe ones.
+    """
+
+    def part(value: Column) -> Column:
+        written = value.cast("string")
+        return F.coalesce(F.concat(F.length(written).cast("string"), F.lit(":"), written), F.lit("-"))
+
+    return F.concat(*[part(value) for value in values])
 
 
 def candidate_side(candidates: DataFrame) -> DataFrame:
     """Columns the join needs of the searching listings; every other column is pruned."""
-    return _with_block(
-        candidates.where(F.col("offer_start").isNotNull()).select(
+    return (
+        candidates.where(F.col("offer_start").isNotNull())
+        .select(
             F.col("doc_id").alias("c_id"),
             F.col("offer_start").alias("c_start"),
             F.col("initial_price").cast("double").alias("c_price"),
             F.col("mileage").cast("double").alias("c_mileage"),
-            *[cleaned_key(name).alias(f"c_{name}") for name in BLOCK_FIELDS],
-        ),
-        "c",
+            block_key([cleaned_key(name) for name in BLOCK_FIELDS]).alias("c_fields"),
+        )
+        .withColumn("c_block", F.xxhash64("c_fields"))
     )
 
 
@@ -83,27 +96,51 @@ def document_side(listings: DataFrame) -> DataFrame:
     claimable = (
         F.col("successor_id").isNull() & F.col("offer_end").isNotNull() & F.col("offer_start").isNotNull()
     )
-    return _with_block(
-        listings.where(claimable).select(
+    return (
+        listings.where(claimable)
+        .select(
             F.col("doc_id").alias("d_id"),
             F.col("offer_start").alias("d_start"),
             F.col("offer_end").alias("d_end"),
             F.col("latest_price").cast("double").alias("d_price"),
             F.col("mileage").cast("double").alias("d_mileage"),
-            *[stored_key(name).alias(f"d_{name}") for name in BLOCK_FIELDS],
-        ),
-        "d",
+            block_key([stored_key(name) for name in BLOCK_FIELDS]).alias("d_fields"),
+        )
+        .withColumn("d_block", F.xxhash64("d_fields"))
     )
 
 
-def same_block() -> Column:
-    return reduce(and_, [F.col(f"c_{name}").eqNullSafe(F.col(f"d_{name}")) for name in BLOCK_FIELDS])
-
-
 def temporal_band(rules: MatchRules) -> Column:
-    return F.col("d_end").between(
-        plus_days(F.col("c_start"), -rules.time_window_days), plus_days(F.col("c_start"), rules.parser_lag_days)
-    ) & (F.col("d_start") < F.col("c_start"))
+    start = F.col("c_start")
+    low, high = plus_days(start, -rules.time_window_days), plus_days(start, rules.parser_lag_days)
+    return F.col("d_end").between(low, high) & (F.col("d_start") < start)
+
+
+def _with_bounds(candidates: DataFrame, rules: MatchRules) -> DataFrame:
+    """Bounds of each candidate, computed once per row instead of once per compared pair; null means unbounded."""
+    bounds = {
+        "c_end_low": plus_days(F.col("c_start"), -rules.time_window_days),
+        "c_end_high": plus_days(F.col("c_start"), rules.parser_lag_days),
+    }
+    for name, tolerance in (("price", rules.price_tolerance), ("mileage", rules.mileage_tolerance)):
+        low, high = scoring.relative_bounds(F.col(f"c_{name}"), tolerance)
+        usable = (low <= high) if tolerance >= 0 else F.lit(False)
+        bounds[f"c_{name}_low"] = F.when(usable, low)
+        bounds[f"c_{name}_high"] = F.when(usable, high)
+    return candidates.withColumns(bounds)
+
+
+def _in_bounds() -> Column:
+    def close(name: str) -> Column:
+        inside = F.col(f"d_{name}").between(F.col(f"c_{name}_low"), F.col(f"c_{name}_high"))
+        return F.col(f"c_{name}_low").isNull() | inside
+
+    return (
+        F.col("d_end").between(F.col("c_end_low"), F.col("c_end_high"))
+        & (F.col("d_start") < F.col("c_start"))
+        & close("price")
+        & close("mileage")
+    )
 
 
 def _cell(value: Column, tolerance: float) -> Column:
@@ -117,94 +154,98 @@ def _document_cells(hot: Column, value: Column, tolerance: float) -> Column:
     return F.when(split, F.array(_cell(value, tolerance), F.lit(WHOLE))).otherwise(F.array(F.lit(WHOLE)))
 
 
-def _candidate_cells(hot: Column, target: Column, tolerance: float) -> Column:
-    low, high = scoring.relative_bounds(target, tolerance)
-    split = hot & (low > F.lit(0.0)) & (low <= high)
+def _candidate_cells(hot: Column, name: str, tolerance: float) -> Column:
+    low, high = F.col(f"c_{name}_low"), F.col(f"c_{name}_high")
+    split = hot & (low > F.lit(0.0))
     return F.when(split, F.sequence(_cell(low, tolerance), _cell(high, tolerance))).otherwise(F.array(F.lit(WHOLE)))
 
 
-def hot_blocks(documents: DataFrame, hot_rows: int = HOT_BLOCK_ROWS) -> DataFrame:
-    """Hashes of blocks too large to be one join key; at most rows / hot_rows of them."""
-    return documents.groupBy(F.col("d_block").alias("hot_block")).count().where(F.col("count") > hot_rows).select("hot_block")
-
+def hot_blocks(documents: DataFrame, hot_rows: int = HOT_BLOCK_ROWS) -> DataFrame | None:
+    """Hashes of blocks too large to be one join key, or None when there are none.
 
-def _add_cells(df: DataFrame, prefix: str, days: Column, price: Column, mileage: Column) -> DataFrame:
-    grid = F.flatten(
-        F.flatten(
-            F.transform(
-                days,
-                lambda day: F.transform(
-                    price,
-                    lambda p: F.transform(
-                        mileage, lambda m: F.struct(day.alias("day"), p.alias("price"), m.alias("mileage"))
-                    ),
-                ),
-            )
-        )
-    )
+    Counted once up front, since the usual answer saves both sides a join. There are at most
+    rows / hot_rows of them; the list is broadcast only up to a checked size.
+    """
+    sizes = documents.groupBy(F.col("d_block").alias("hot_block")).count()
+    hot = cut_lineage(sizes.where(F.col("count") > hot_rows).select("hot_block"))
+    found = hot.count()
+    if not found:
+        return None
+    return F.broadcast(hot) if found <= BROADCAST_ROWS else hot
+
+
+def _add_cells(df: DataFrame, prefix: str, cells: dict[str, Column]) -> DataFrame:
+    """One row per combination of cells; every listed dimension becomes a join key."""
+    grid = F.transform(cells["day"], lambda day: F.struct(day.alias("day")))
+    for name in ("price", "mileage"):
+        if name in cells:
+            grid = F.flatten(_extended(grid, name, cells[name]))
     return (
         df.withColumn("cell", F.explode(grid))
-        .withColumns({f"{prefix}_cell_{part}": F.col(f"cell.{part}") for part in ("day", "price", "mileage")})
+        .withColumns({f"{prefix}_cell_{name}": F.col(f"cell.{name}") for name in cells})
         .drop("cell", "hot_block")
     )
 
 
+def _extended(grid: Column, name: str, values: Column) -> Column:
+    return F.transform(
+        grid, lambda cell: F.transform(values, lambda value: cell.withField(name, value))
+    )
+
+
 def pair_listings(
-    candidates: DataFrame, documents: DataFrame, rules: MatchRules, hot: DataFrame | None = None
+    candidates: DataFrame,
+    documents: DataFrame,
+    rules: MatchRules,
+    hot: DataFrame | None = None,
+    min_score: float | None = None,
 ) -> DataFrame:
     """Join of :func:`candidate_side` and :func:`document_side` on block, time, price and mileage.
 
     The time band becomes an equi key: an earlier listing lies in one bucket of its end date, a
     candidate looks into the two buckets its band can touch. Rows of hot blocks carry price and
     mileage cells as well; a candidate without a usable bound looks into the unsplit copy.
+
+    ``min_score`` belongs to the join condition, behind the cheap bounds: as a filter on top it would
+    be pushed in front of them and the score computed for every compared pair.
     """
     width = max(rules.time_window_days + rules.parser_lag_days, 1)
 
     def bucket(value: Column) -> Column:
         return F.floor(epoch_day(value) / F.lit(width)).cast("int")
 
+    candidates = _with_bounds(candidates, rules)
+    left_cells = {"day": F.sequence(bucket(F.col("c_end_low")), bucket(F.col("c_end_high")))}
+    right_cells = {"day": F.array(bucket(F.col("d_end")))}
     if hot is not None:
         candidates = candidates.join(hot, F.col("c_block") == F.col("hot_block"), "left")
         documents = documents.join(hot, F.col("d_block") == F.col("hot_block"), "left")
         is_hot = F.col("hot_block").isNotNull()
-    else:
-        is_hot = F.lit(False)
-    left = _add_cells(
-        candidates,
-        "c",
-        F.sequence(
-            bucket(plus_days(F.col("c_start"), -rules.time_window_days)),
-            bucket(plus_days(F.col("c_start"), rules.parser_lag_days)),
-        ),
-        _candidate_cells(is_hot, F.col("c_price"), rules.price_tolerance),
-        _candidate_cells(is_hot, F.col("c_mileage"), rules.mileage_tolerance),
-    )
-    right = _add_cells(
-        documents,
-        "d",
-        F.array(bucket(F.col("d_end"))),
-        _document_cells(is_hot, F.col("d_price"), rules.price_tolerance),
-        _document_cells(is_hot, F.col("d_mileage"), rules.mileage_tolerance),
-    )
+        for name, tolerance in (("price", rules.price_tolerance), ("mileage", rules.mileage_tolerance)):
+            left_cells[name] = _candidate_cells(is_hot, name, tolerance)
+            right_cells[name] = _document_cells(is_hot, F.col(f"d_{name}"), tolerance)
+    left, right = _add_cells(candidates, "c", left_cells), _add_cells(documents, "d", right_cells)
+    same_cells = [F.col(f"c_cell_{name}") == F.col(f"d_cell_{name}") for name in left_cells]
     condition = (
         (F.col("c_block") == F.col("d_block"))
-        & (F.col("c_cell_day") == F.col("d_cell_day"))
-        & (F.col("c_cell_price") == F.col("d_cell_price"))
-        & (F.col("c_cell_mileage") == F.col("d_cell_mileage"))
-        & same_block()
-        & temporal_band(rules)
+        & reduce(and_, same_cells)
+        & (F.col("c_fields") == F.col("d_fields"))
+        & _in_bounds()
         & (F.col("c_id") != F.col("d_id"))
-        & scoring.within_relative(F.col("d_price"), F.col("c_price"), rules.price_tolerance)
-        & scoring.within_relative(F.col("d_mileage"), F.col("c_mileage"), rules.mileage_tolerance)
     )
+    if min_score is not None:
+        condition = condition & (pair_parts(rules)["score"] >= F.lit(min_score))
     return left.join(right, condition, "inner")
 
 
-def score_pairs(pairs: DataFrame, rules: MatchRules) -> DataFrame:
-    parts = scoring.score_parts(
+def pair_parts(rules: MatchRules) -> dict[str, Column]:
+    return scoring.score_parts(
         F.col("c_start"), F.col("c_price"), F.col("c_mileage"), F.col("d_end"), F.col("d_price"), F.col("d_mileage"), rules
     )
-    return pairs.withColumns(parts)
+
+
+def score_pairs(pairs: DataFrame, rules: MatchRules) -> DataFrame:
+    return pairs.withColumns(pair_parts(rules))
 
 
 def candidate_pairs(

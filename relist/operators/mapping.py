@@ -43,6 +43,28 @@ PARAM_FIELDS = {
     "doors_num": "число дверей",
     "condition": "состояние",
 }
+OTHER_FIELDS = (
+    "checked",
+    "parsed",
+    "added",
+    "price",
+    "unique_id",
+    "site_id",
+    "company",
+    "is_new",
+    "run_type",
+    "phone_protection",
+    "actual",
+    "city_latitude",
+    "city_longitude",
+)
+SCALAR_KEYS = (
+    *TEXT_FIELDS.values(),
+    *TEXT_OR_EMPTY_FIELDS.values(),
+    *INTEGER_FIELDS.values(),
+    *NUMBER_FIELDS.values(),
+    *OTHER_FIELDS,
+)
 # Fields of the two report views.
 SUMMARY_FIELDS = (
     "site_name",
@@ -78,47 +100,48 @@ def map_listings(raw: DataFrame, parsed_at: Column | None = None, keep: tuple[st
     """
     payload = F.col("payload")
     parsed_at = F.localtimestamp() if parsed_at is None else parsed_at
+    value = F.col("value")
     last_checked, parsed_time, offer_start = P.time_chain(
-        P.text(payload, "checked"), P.text(payload, "parsed"), P.text(payload, "added"), F.col("ingested_at")
+        value["checked"], value["parsed"], value["added"], F.col("ingested_at")
     )
-    staged = raw.select(
+    read = raw.select("source", "ingested_at", "payload", P.texts(payload, SCALAR_KEYS).alias("value"), *keep)
+    staged = read.select(
         "source",
         "payload",
+        "value",
         last_checked.alias("last_checked"),
         parsed_time.alias("parsed_time"),
         offer_start.alias("offer_start"),
         P.named_params(payload).alias("params"),
         *keep,
     ).withColumn("trans_history", P.price_history(payload, F.col("parsed_time")))
-    staged = staged.withColumn(
-        "initial_price", P.initial_price(F.col("trans_history"), to_double(P.text(payload, "price")))
-    )
+    staged = staged.withColumn("initial_price", P.initial_price(F.col("trans_history"), to_double(value["price"])))
 
     fields: dict[str, Column] = {
-        "parapi_unique_id": F.coalesce(to_bigint(P.text(payload, "unique_id")), F.lit(0)),
-        "site_name": P.site_name(F.col("source"), P.text(payload, "site_id")),
-        "seller_type": P.seller_type(P.text(payload, "company")),
+        "parapi_unique_id": F.coalesce(to_bigint(value["unique_id"]), F.lit(0)),
+        "site_name": P.site_name(F.col("source"), value["site_id"]),
+        "seller_type": P.seller_type(value["company"]),
         "last_checked": F.col("last_checked"),
         "parsed_at": parsed_at,
         "offer_start": F.col("offer_start"),
         "trans_history": F.col("trans_history"),
         "initial_price": F.col("initial_price"),
         "latest_price": P.latest_price(F.col("trans_history"), F.col("initial_price")),
-        "is_new": F.coalesce(to_bool(P.text(payload, "is_new")), F.lit(False)),
-        "mileage_units": F.coalesce(blank_to_null(P.text(payload, "run_type")), F.lit("km")),
-        "phone_protection": to_bool(P.text(payload, "phone_protection")),
-        "location": P.location(payload),
-        "offer_end": P.offer_end(P.text(payload, "actual"), F.col("last_checked")),
+        "is_new": F.coalesce(to_bool(value["is_new"]), F.lit(False)),
+        "mileage_units": F.coalesce(blank_to_null(value["run_type"]), F.lit("km")),
+        "phone_protection": to_bool(value["phone_protection"]),
+        "location": P.location(value["city_latitude"], value["city_longitude"]),
+        "offer_end": P.offer_end(value["actual"], F.col("last_checked")),
         "images": P.image_list(payload),
     }
     for name, key in TEXT_FIELDS.items():
-        fields[name] = blank_to_null(P.text(payload, key))
+        fields[name] = blank_to_null(value[key])
     for name, key in TEXT_OR_EMPTY_FIELDS.items():
-        fields[name] = F.coalesce(blank_to_null(P.text(payload, key)), F.lit(""))
+        fields[name] = F.coalesce(blank_to_null(value[key]), F.lit(""))
     for name, key in INTEGER_FIELDS.items():
-        fields[name] = to_bigint(P.text(payload, key))
+        fields[name] = to_bigint(value[key])
     for name, key in NUMBER_FIELDS.items():
-        fields[name] = to_double(P.text(payload, key))
+        fields[name] = to_double(value[key])
     for name, key in PARAM_FIELDS.items():
         fields[name] = P.param_value(F.col("params"), key)
 

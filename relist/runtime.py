@@ -39,3 +39,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for CPU-heavy work on a scan that came in fewer splits than there are cores.
+
+    A large table has more splits than cores and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
