@@ -55,6 +55,11 @@ def read_listings(spark: SparkSession, path: str, links: DataFrame | None = None
     return current.join(links.select("doc_id", *LINK_COLUMNS), "doc_id", "left")
 
 
+def compact_listings(spark: SparkSession, path: str, target: str, version: int) -> None:
+    """Write the current rows of a log as the first version of a new one, so that reads stay cheap."""
+    append_listings(read_listings(spark, path), target, version)
+
+
 def keyset_page(
     listings: DataFrame, size: int, after_start: Column | None = None, after_id: Column | None = None
 ) -> DataFrame:
