@@ -340,7 +340,7 @@ def greedy_links_sparse(spark: SparkSession, sf: str) -> DataFrame:
 def greedy_links_split(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks spread over many buckets and preference lists continued over rounds."""
     rows = A.listings(spark, sf)
-    return R.resolve_links(candidates(spark, sf), rows, RULES, bucket_rows=20, list_length=3, hot_rows=50)
+    return R.resolve_links(candidates(spark, sf), rows, RULES, bucket_wishes=60, list_length=3, hot_rows=50)
 
 
 @query(

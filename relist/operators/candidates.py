@@ -41,7 +41,7 @@ BLOCK_FIELDS = (*BLOCK_TEXT_FIELDS, *BLOCK_VALUE_FIELDS)
 DOUBLE_FIELDS = ("engine_power", "engine_volume_liters")
 
 # A block with more earlier listings than this is also split by price and mileage.
-HOT_BLOCK_ROWS = 100_000
+HOT_BLOCK_ROWS = 10_000
 # Hot blocks are broadcast up to this number of 8-byte hashes.
 BROADCAST_ROWS = 1_000_000
 # Marks "not split on this dimension"; real cells are small integers.

@@ -119,12 +119,12 @@ def test_pairs_equal_brute_force(spark, hot_rows):
 
 
 @pytest.mark.parametrize(
-    ("seed", "bucket_rows", "list_length", "hot_rows"), [(2, 50_000, 32, 10**9), (3, 40, 32, 10**9), (4, 60, 2, 20)]
+    ("seed", "bucket_wishes", "list_length", "hot_rows"), [(2, 50_000, 32, 10**9), (3, 40, 32, 10**9), (4, 60, 2, 20)]
 )
-def test_links_equal_the_sequential_rule(spark, seed, bucket_rows, list_length, hot_rows):
+def test_links_equal_the_sequential_rule(spark, seed, bucket_wishes, list_length, hot_rows):
     rows = random_rows(seed, 200)
     table = listings(spark, rows)
-    got = resolver.resolve_links(table, table, MatchRules(min_score=0.5), bucket_rows, list_length, hot_rows)
+    got = resolver.resolve_links(table, table, MatchRules(min_score=0.5), bucket_wishes, list_length, hot_rows)
     want = model_links(rows, 0.5)
     assert len(want) > 30
     assert rows_of(got, "candidate_id", "duplicate_id") == want
@@ -135,7 +135,7 @@ def test_one_block_in_one_hour_is_spread(spark):
     rows += [listing(f"new{i:03}", START + timedelta(seconds=i), None) for i in range(40)]
     table = listings(spark, rows)
     asked = table.where(F.col("doc_id").startswith("new"))
-    got = resolver.resolve_links(asked, table, RULES, bucket_rows=8, list_length=4)
+    got = resolver.resolve_links(asked, table, RULES, bucket_wishes=8, list_length=4)
     assert rows_of(got, "candidate_id", "duplicate_id") == {
         (c, d) for c, d in model_links(rows, 0.7) if c.startswith("new")
     }
