@@ -13,7 +13,7 @@ from relist.functions.scoring import MatchRules
 from relist.plans.archive import run_archive
 from relist.plans.matching import match_incremental
 from relist.schemas import CURSOR_SCHEMA, LINK_COLUMNS
-from relist.sources.feed import live_raw, mark_deleted
+from relist.sources.feed import live_raw, mark_deleted, read_raw
 from relist.sources.state import read_state, write_state
 from relist.sources.tables import read_listings
 from relist.streaming.ingest import ingest, load_cursors
@@ -70,7 +70,7 @@ def full_run(
 
     def archive_stage() -> None:
         deleted = _state_or_empty(spark, f"{out}/raw_deleted", "raw_id string", read=lambda s, p: s.read.parquet(p))
-        raw = live_raw(spark.read.parquet(f"{out}/raw"), deleted)
+        raw = live_raw(read_raw(spark, f"{out}/raw"), deleted)
         run = run_archive(spark, raw, out, now)
         mark_deleted(run.archived, f"{out}/raw_deleted", run_no)
 

@@ -17,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     cluster has to name the folder, since a machine-local one would be lost
     with the machine.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

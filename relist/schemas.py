@@ -100,5 +100,6 @@ RAW_SCHEMA = T.StructType(
         T.StructField("ingested_at", T.TimestampNTZType()),
         T.StructField("request_params", T.MapType(T.StringType(), T.StringType())),
         T.StructField("payload", T.StringType()),
+        T.StructField("position", T.IntegerType()),
     ]
 )

@@ -59,6 +59,7 @@ def append_raw(raw: DataFrame, path: str) -> None:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """Raw rows with their declared types, so that a source named by digits stays text."""
     return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 

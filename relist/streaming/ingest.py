@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from relist.functions.payload import text
 from relist.operators.mapping import map_listings, parse_payload, split_invalid
 from relist.schemas import CURSOR_SCHEMA
-from relist.sources.feed import flatten_pages, max_checked, raw_envelope
+from relist.sources.feed import flatten_pages, max_checked, raw_envelope, read_raw
 from relist.sources.state import read_state, write_state
 from relist.sources.tables import append_listings, latest_per_key
-from relist.functions.payload import text
 
 
 def read_landing(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
@@ -40,7 +40,7 @@ def persist_batch(
         "source"
     ).parquet(raw_path)
 
-    raw = parse_payload(spark.read.parquet(raw_path))
+    raw = parse_payload(read_raw(spark, raw_path))
     valid, invalid = split_invalid(raw, strict)
     if not strict:
         invalid.select("raw_id", "source", "invalid_reason").write.mode("overwrite").parquet(

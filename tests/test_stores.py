@@ -222,6 +222,14 @@ def test_bad_time_keeps_data_and_leaves_cursor(spark, tmp_path):
     assert spark.read.parquet(f"{out}/raw").count() == 2
 
 
+def test_site_named_by_digits_stays_text(spark, tmp_path):
+    out = str(tmp_path)
+    pages = spark.createDataFrame([("007", json.dumps([ad("1", "2026-01-01 00:00:05")]))], "site string, body string")
+    persist_batch(pages, 0, out, ntz(NOW))
+    assert rows_of(tables.read_listings(spark, f"{out}/listings"), "doc_id") == {("[007]1",)}
+    assert rows_of(load_cursors(spark, out), "site") == {("007",)}
+
+
 def test_cursor_never_goes_back(spark, tmp_path):
     out = str(tmp_path)
     for batch, checked in enumerate(("2026-01-01 00:00:10", "2026-01-01 00:00:05")):
