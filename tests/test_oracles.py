@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from relist.catalog import load
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -37,7 +38,7 @@ def ordered(rows):
     return sorted(plain, key=lambda row: [(v is None, str(v)) for v in row])
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(load().queries))
 def test_query(spark, duck, name):
     frame = contract.queries()[name](spark, SF_DIR)
     names = sorted(frame.columns)
@@ -51,5 +52,7 @@ def test_query(spark, duck, name):
 
 
 def test_contract(spark):
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(load().oracles) == set(load().queries)
+    assert set(load().queries) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0
