@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from relist.llm.decontaminate import Decontamination, contaminated
+from relist.llm.line_dedup import LineDedup, without_repeats
+from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
-from relist.llm.oracles import NEAR_DEDUP_SQL
+from relist.llm.oracles import MIXING_SQL, NEAR_DEDUP_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated lines, and the numbers of the lines that went."""
+    return without_repeats(table(spark, sf_dir, "documents"), LineDedup()).select("doc_id", "n_lines", "dropped", "text")
+
+
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document: 3-word shingles, similarity 0.85."""
@@ -31,3 +40,18 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op2_near_dedup"] = NEAR_DEDUP_SQL
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document that holds a copy of a test item, the item, the score and where the copy is."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Decontamination())
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken from every document; weights 1, 2, 3 and at most three epochs."""
+    return mixed(table(spark, sf_dir, "documents"), Mixing()).drop("source")
+
+
+ORACLES["op9_mixing"] = MIXING_SQL

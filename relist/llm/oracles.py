@@ -11,7 +11,7 @@ WITH RECURSIVE worded AS (
     FROM documents
 ), grams AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3
-        THEN list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))
+        THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS gram
     FROM worded
 ), sizes AS (
@@ -32,3 +32,33 @@ WITH RECURSIVE worded AS (
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
 FROM documents d JOIN lowest l ON l.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
+
+MIXING_SQL = rf"""
+WITH sized AS (
+    SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), {WORD}))::BIGINT AS size, md5('42:' || doc_id::VARCHAR) AS key
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM sized GROUP BY source
+), filled AS (
+    SELECT *, 3 * source_size AS cap,
+        sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_words,
+        sum(weight) OVER (ORDER BY 3 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_weight
+    FROM sources
+), judged AS (
+    SELECT *, weight * left_words > cap * left_weight AS clamped FROM filled
+), totals AS (
+    SELECT sum(source_size) - coalesce(sum(cap) FILTER (clamped), 0) AS rest_words, sum(weight) FILTER (NOT clamped) AS rest_weight FROM judged
+), targets AS (
+    SELECT source, source_size, CASE WHEN clamped THEN cap::DOUBLE ELSE (weight * rest_words)::DOUBLE / rest_weight::DOUBLE END AS target
+    FROM judged, totals
+), placed AS (
+    SELECT s.doc_id, s.size, t.source_size, t.target,
+        CASE WHEN t.source_size = 0 THEN 0 ELSE floor(t.target / t.source_size) END::BIGINT AS epochs,
+        sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, md5(s.text) ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS start
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+    (size * (epochs + CASE WHEN size > 0 AND 2 * start + size < 2 * (target - epochs * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed
+"""
