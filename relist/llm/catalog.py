@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from relist.llm.decontaminate import Decontamination, contaminated
 from relist.llm.line_dedup import LineDedup, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
+from relist.llm import toxicity
 from relist.llm.oracles import MIXING_SQL, NEAR_DEDUP_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +50,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Decontamination())
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether a document is kept from fitting; a row without doc_id is not."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of four fifths of the documents may be learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out(5, 0)))
+    return toxicity.scored(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document; weights 1, 2, 3 and at most three epochs."""
