@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from relist.llm.runtime import cut_lineage
 
 Confirm = Callable[[DataFrame], DataFrame]
+Crossing = Callable[[DataFrame], DataFrame]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -49,28 +50,55 @@ def _star(directed: DataFrame, wanted: Column, own: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
-def linked_groups(keyed: DataFrame, confirm: Confirm, may_link: Column) -> DataFrame:
+def linked_groups(keyed: DataFrame, confirm: Confirm, may_link: Column, crossing: Crossing | None = None) -> DataFrame:
     """(node, root) of all nodes that are linked with another one.
 
     ``keyed``: (key, id, size), one row per bucket of a node. ``confirm`` keeps the true links among
     the pairs (a, b, size_a, size_b) that it gets. ``may_link`` is a cheap necessary condition on
-    size_a and size_b.
+    size_a and size_b. ``crossing`` may name fewer pairs of different groups than ``crossing_pairs``,
+    as long as it leaves out no link.
+
+    The leader of a bucket is the node that meets most others over all its buckets, which in a group
+    of edited copies tends to be the one that is nearest to all of them.
     """
-    spark = keyed.sparkSession
-    shared = keyed.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
-    members = cut_lineage(keyed.join(shared, "key"))
-    sizes = members.where("id = lead").select(F.col("lead").alias("a"), F.col("size").alias("size_a")).distinct()
-    stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"), F.col("size").alias("size_b")).distinct()
-    links = cut_lineage(confirm(stars.join(sizes, "a").where(may_link)).select("a", "b"))
+    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
+    members = cut_lineage(keyed.join(shared.select("key", "rows"), "key"))
+    met = members.groupBy("id").agg(F.sum("rows").alias("met"))
+    leaders = members.select("key", "id", "size").join(met, "id").groupBy("key").agg(F.max(F.struct("met", -F.col("id"), "size")).alias("top"))
+    leaders = leaders.select("key", (-F.col("top.col2")).alias("lead"), F.col("top.size").alias("lead_size"))
+    members = cut_lineage(members.join(leaders, "key"))
+    stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"), F.col("lead_size").alias("size_a"), F.col("size").alias("size_b"))
+    links = cut_lineage(confirm(stars.where(may_link).distinct()).select("a", "b"))
     roots = components(links)
 
     rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    rest = cut_lineage(rooted.where("id <> lead").join(open_keys, "key"))
-    left = rest.select("key", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("root").alias("root_a"))
-    right = rest.select("key", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    crossing = left.join(right, "key").where("root_a < root_b").where(may_link).select("a", "b", "size_a", "size_b").distinct()
-    more = cut_lineage(confirm(crossing).select("a", "b"))
+    lead_root = F.max(F.when(F.col("id") == F.col("lead"), F.col("root"))).alias("lead_root")
+    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), lead_root).where("low < high")
+    rest = cut_lineage(rooted.where("id <> lead").join(open_keys.select("key", "lead_root"), "key"))
+    pairs = (crossing or crossing_pairs)(rest).where(may_link).distinct()
+    more = cut_lineage(confirm(pairs).select("a", "b"))
     if more.isEmpty():
         return roots
     return components(links.unionByName(more))
+
+
+def crossing_pairs(rest: DataFrame) -> DataFrame:
+    """(a, b, size_a, size_b): rows outside their leader's group with all rows of other groups in the bucket.
+
+    ``rest``: (key, id, size, lead, root, lead_root), the rows of buckets with several groups, without their leaders.
+    """
+    left = rest.where("root <> lead_root").select("key", F.col("id").alias("x"), F.col("size").alias("size_x"), F.col("root").alias("root_x"))
+    right = rest.select("key", F.col("id").alias("y"), F.col("size").alias("size_y"), F.col("root").alias("root_y"), (F.col("root") == F.col("lead_root")).alias("led"))
+    met = left.join(right, "key").where("root_x <> root_y and (led or x < y)")
+    return ordered_pairs(met)
+
+
+def ordered_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (x, y) with their sizes, the smaller node first."""
+    first = F.col("x") < F.col("y")
+    return met.select(
+        F.least("x", "y").alias("a"),
+        F.greatest("x", "y").alias("b"),
+        F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
+        F.when(first, F.col("size_y")).otherwise(F.col("size_x")).alias("size_b"),
+    )

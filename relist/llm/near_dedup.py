@@ -22,11 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.grouping import linked_groups
+from relist.llm.grouping import crossing_pairs, linked_groups, ordered_pairs
 from relist.llm.hashing import Words, digest, mix, shingles, signed
 from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, texts
 
 
+#: A bucket of at most this many rows names its pairs outright; how a larger one is compared leads to the same links.
+SMALL_BUCKET = 8
+
+
 @dataclass(frozen=True)
 class NearDedup:
     """words: shingle width; percent: least Jaccard similarity of a link, in percent."""
@@ -82,8 +86,8 @@ def sketches(docs: DataFrame, plan: NearDedup) -> DataFrame:
     return map_rows(split_evenly(docs.select("doc_id", "text")), "doc_id bigint, n_shingles bigint, low bigint, high bigint, bands array<bigint>", run)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
-    """The pairs (a, b, size_a, size_b) whose full sets are similar enough."""
+def overlaps(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
+    """The pairs (a, b) with ``left`` and ``right``, their full sets, and ``common``, the size of the intersection."""
     pairs = cut_lineage(pairs)
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
 
@@ -92,12 +96,51 @@ def confirmed(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
 
     named = docs.select("doc_id", "text").join(bounded(wanted), "doc_id", "left_semi")
     sets = map_rows(named, "doc_id bigint, elements array<bigint>", run)
-    common = F.size(F.array_intersect("left", "right"))
-    return (
-        pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right")), "b")
-        .join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left")), "a")
-        .where(common * 100 >= (F.col("size_a") + F.col("size_b") - common) * plan.percent)
-    )
+    both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right")), "b")
+    both = both.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left")), "a")
+    return both.withColumn("common", F.size(F.array_intersect("left", "right")))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
+    """The pairs (a, b, size_a, size_b) whose full sets are similar enough."""
+    return overlaps(pairs, docs, plan).where(F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * plan.percent)
+
+
+def crossing_by_difference(rest: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
+    """Pairs of different groups that can still be links, by how the sets differ from that of their leader.
+
+    A small bucket names all its pairs. In a large one, x and y share with their leader c_x and c_y
+    elements and have further ones, their additions. Their intersection is at most min(c_x, c_y) plus
+    the additions they share. So either both share enough with the leader, or they have an addition
+    in common, and only such pairs are named. Random edits of one text have few common additions.
+    """
+    large = rest.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SMALL_BUCKET).select("key")
+    rest = rest.join(large.withColumn("large", F.lit(True)), "key", "left")
+    direct = crossing_pairs(rest.where("large is null"))
+    grouped = cut_lineage(rest.where("large").select("lead", "id", "size", "root", "lead_root").distinct())
+    if grouped.isEmpty():
+        return direct
+    additions = F.array_except("right", "left").alias("additions")
+    star = overlaps(grouped.select(F.col("lead").alias("a"), F.col("id").alias("b")), docs, plan)
+    known = cut_lineage(grouped.join(star.select(F.col("a").alias("lead"), F.col("b").alias("id"), "common", additions), ["lead", "id"]))
+    columns = ["id", "size", "root", "common"]
+    near = known.where(F.col("common") * 100 >= F.col("size") * plan.percent)
+    plain = known.select("lead", "lead_root", *columns, F.explode("additions").alias("addition"))
+    frequent = plain.groupBy("lead", "addition").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("lead", "addition")
+    shared = cut_lineage(plain.join(frequent, ["lead", "addition"]))
+
+    def met(rows: DataFrame, keys: list[str]) -> DataFrame:
+        left = rows.where("root <> lead_root").select(*keys, *(F.col(c).alias(f"{c}_x") for c in columns))
+        right = rows.select(*keys, *(F.col(c).alias(f"{c}_y") for c in columns), (F.col("root") == F.col("lead_root")).alias("led"))
+        return left.join(right, keys).where("root_x <> root_y and (led or id_x < id_y)")
+
+    smaller = F.least("common_x", "common_y")
+    needed = (F.col("size_x") + F.col("size_y")) * plan.percent
+    both_near = met(near, ["lead"]).where(smaller * (100 + plan.percent) >= needed)
+    possible = smaller + F.least(F.col("size_x") - F.col("common_x"), F.col("size_y") - F.col("common_y"))
+    by_addition = met(shared, ["lead", "addition"]).where(possible * (100 + plan.percent) >= needed)
+    pairs = both_near.drop("lead").unionByName(by_addition.drop("lead", "addition")).withColumnsRenamed({"id_x": "x", "id_y": "y"})
+    return direct.unionByName(ordered_pairs(pairs))
 
 
 def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame:
@@ -116,7 +159,12 @@ def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame
     nodes = cut_lineage(nodes)
     keyed = nodes.select(F.explode("bands").alias("key"), "id", "size")
     smaller, larger = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    roots = linked_groups(keyed, lambda pairs: confirmed(pairs, docs, plan), smaller * 100 >= larger * plan.percent)
+    roots = linked_groups(
+        keyed,
+        lambda pairs: confirmed(pairs, docs, plan),
+        smaller * 100 >= larger * plan.percent,
+        lambda rest: crossing_by_difference(rest, docs, plan),
+    )
     named = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("low", "high", F.coalesce("root", "id").alias("node_root"))
     found = rows.drop("bands").join(named, ["low", "high"], "left")
     root = F.when(F.col("n_shingles") > 0, F.coalesce("node_root", "doc_id")).otherwise(F.col("doc_id"))
