@@ -2,7 +2,8 @@
 
 A line is normalised to its lower-case words, with ASCII punctuation and white space as one space.
 Equal normalised lines are one node, aggregated before anything is compared. A node's 64-bit SimHash
-is the bitwise majority of its word hashes. It is cut into five blocks: two SimHashes that differ in
+is the bitwise majority of its word hashes, each
+weighted by the length of the word, so that lines do not look alike for their short common words. It is cut into five blocks: two SimHashes that differ in
 at most three bits agree on two whole blocks, so the ten pairs of blocks are the join keys. The edit
 similarity bounds the ratio of two lengths, so a coarse length class is part of each key; a line near
 the end of its class also looks into the next one. Candidates are verified by Levenshtein distance
@@ -23,14 +24,16 @@ from pyspark.sql import functions as F
 
 from relist.llm.grouping import linked_groups
 from relist.llm.hashing import Words, mix, signed
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, texts
+from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, stored, texts
 
 _PUNCTUATION = b"\t\r\x0b\x0c" + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _PLAIN = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 
 #: Low bit and width of the five blocks of a SimHash.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-LENGTH_CLASS = 1.5
+LENGTH_CLASS = 3.0
+#: SimHashes of linked lines differ in at most so many bits; any two of five blocks agree then.
+MOST_BITS = 3
 
 
 @dataclass(frozen=True)
@@ -59,8 +62,10 @@ def line_features(text: str, min_words: int) -> tuple[np.ndarray, ...]:
     term = mix(words.hash + mix((np.arange(len(line)) - np.repeat(first, count)).astype(np.uint64)))
     low = np.add.reduceat(term, first)
     high = np.add.reduceat(mix(term ^ np.uint64(0x2545F491)), first)
-    ones = np.add.reduceat(np.unpackbits(words.hash.view(np.uint8).reshape(-1, 8), axis=1), first, axis=0, dtype=np.int32)
-    sim = np.packbits(2 * ones > count[:, None], axis=1).view(np.uint64).ravel()
+    weight = np.clip(words.end - words.start - 2, 1, 16).astype(np.uint8)
+    bits = np.unpackbits(words.hash.view(np.uint8).reshape(-1, 8), axis=1)
+    ones = np.add.reduceat(bits * weight[:, None], first, axis=0, dtype=np.int32)
+    sim = np.packbits(2 * ones > np.add.reduceat(weight, first, dtype=np.int32)[:, None], axis=1).view(np.uint64).ravel()
     points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
     chars = np.add.reduceat(points[words.end] - points[words.start], first) + count - 1
     enough = count >= min_words
@@ -91,13 +96,14 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def block_keys(nodes: DataFrame, plan: LineDedup) -> DataFrame:
-    """(key, id, size): ten keys per node and length class looked into."""
+    """(key, id, size): ten keys per node and length class looked into; ``size`` is the SimHash."""
     blocks = [F.shiftrightunsigned("sim", low).bitwiseAND((1 << width) - 1) for low, width in BLOCKS]
     step = math.log(LENGTH_CLASS)
-    own = F.floor(F.log(F.col("size").cast("double")) / step)
-    upper = F.floor(F.log(F.col("size") * (100.0 / plan.percent) * 1.000001) / step)
+    own = F.floor(F.log(F.col("chars").cast("double")) / step)
+    upper = F.floor(F.log(F.col("chars") * (100.0 / plan.percent) * 1.000001) / step)
     keys = [F.xxhash64(F.lit(n), blocks[i], blocks[j], "class") for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    return nodes.withColumn("class", F.explode(F.array_distinct(F.array(own, upper)))).select(F.explode(F.array(*keys)).alias("key"), "id", "size")
+    classed = nodes.withColumn("class", F.explode(F.array_distinct(F.array(own, upper))))
+    return classed.select(F.explode(F.array(*keys)).alias("key"), "id", F.col("sim").alias("size"))
 
 
 def first_lines(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -131,14 +137,13 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, plan: LineDed
 
 def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:
     """(doc_id, row, dropped): the numbers of the lines to drop, for the documents that have any."""
-    rows = cut_lineage(line_rows(docs, plan))
-    nodes = cut_lineage(
-        rows.groupBy("low", "high").agg(
-            F.min(F.struct("doc_id", "row", "line_no")).alias("first"), F.count(F.lit(1)).alias("times"), F.min("sim").alias("sim"), F.min("chars").alias("size")
-        ).withColumn("id", F.col("low"))
+    rows = stored(line_rows(docs, plan), "lines")
+    nodes = rows.groupBy("low", "high").agg(
+        F.min(F.struct("doc_id", "row", "line_no")).alias("first"), F.count(F.lit(1)).alias("times"), F.min("sim").alias("sim"), F.min("chars").alias("chars")
     )
-    shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    roots = linked_groups(block_keys(nodes, plan), lambda pairs: confirmed(pairs, nodes, docs, plan), shorter * 100 >= longer * plan.percent)
+    nodes = stored(nodes.withColumn("id", F.col("low")), "line-nodes")
+    near = F.bit_count(F.col("size_a").bitwiseXOR(F.col("size_b"))) <= MOST_BITS
+    roots = linked_groups(block_keys(nodes, plan), lambda pairs: confirmed(pairs, nodes, docs, plan), near)
     grouped = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left")
     leaders = grouped.where("root is not null").groupBy("root").agg(F.min("first").alias("leader"))
     repeated = grouped.where("times > 1 or root is not null").join(leaders, "root", "left")

@@ -171,3 +171,12 @@ def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame
     return found.select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), root).alias("component_id"), F.coalesce(root == F.col("doc_id"), F.lit(True)).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame:
+    """``docs`` with one document of each component: the smallest doc_id. Of rows that repeat a doc_id one stays; rows without doc_id all stay."""
+    found = near_duplicates(docs, plan).where("doc_id is not null").groupBy("doc_id")
+    found = cut_lineage(found.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")))
+    gone = cut_lineage(found.where("not kept or times > 1").select("doc_id", "kept"))
+    again = docs.join(bounded(gone.where("kept").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(bounded(gone.select("doc_id")), "doc_id", "left_anti").unionByName(again)

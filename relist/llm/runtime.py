@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from relist.runtime import cut_lineage
+from relist.runtime import cut_lineage, scratch_path
 
 #: A key table of at most this many rows (some tens of MB) is sent to every executor; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "split_evenly", "texts"]
+__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "split_evenly", "stored", "texts"]
 
 
 def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -26,6 +26,16 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: like a checkpoint, but columnar and compressed; deleted when the session's JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def split_evenly(df: DataFrame) -> DataFrame:
     """Use all cores on a scan that came in fewer splits than there are; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -307,3 +307,18 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score), a row per row of ``docs``; a null text scores as an empty one. More columns are ignored."""
     linear = F.lit(float(model.curve[0])) + F.col("strongest") * float(model.curve[1]) + F.col("number") * float(model.curve[2])
     return evidence_of(docs.select("doc_id", "text"), model).select("doc_id", (1 / (1 + F.exp(-linear))).alias("score"))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns as they are; one pass, no join."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        lookup = Lookup(own.hashes)
+        for batch in batches:
+            if batch.num_rows:
+                evidence = np.array([own.evidence(x, lookup) for x in batch_features(batch, own.channel)])
+                yield batch.filter(pa.array(own.scores(evidence) < threshold))
+
+    return split_evenly(docs).mapInArrow(run, docs.schema)
