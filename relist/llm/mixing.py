@@ -2,10 +2,10 @@
 
 Each source asks for its weight's share of all words but may not be repeated beyond ``most_epochs``.
 Sources above their cap are clamped, and what is left is shared among the others in proportion to
-their weights, until none is above. A document is then taken whole as many times as its source's
-repetition rate has whole epochs, and once more by a seeded fraction: documents are laid end to end
-in a seeded order, and those whose middle lies before the fractional part of the source's words are
-taken, which meets the target to within a document.
+their weights, until none is above. A document is taken whole as many times as its source's
+repetition rate has whole epochs. For the rest, the documents of a source are laid end to end in a
+seeded order and taken up to the fractional part of the source's words: the document in which it
+ends is repeated by a fraction, its first words, so that each source meets its target to a word.
 """
 
 from __future__ import annotations
@@ -86,9 +86,10 @@ def mixed(docs: DataFrame, plan: Mixing = Mixing()) -> DataFrame:
 
     # Only the slot that the rest ends in is put in order; the slots before it are taken whole, those behind it not at all.
     ends_here = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
-    whole = placed.where(~ends_here).withColumn("extra", (F.col("before") + F.col("words") <= F.col("rest")) & (F.col("size") > 0))
+    whole = placed.where(~ends_here).withColumn("extra", F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(F.lit(0).cast("bigint")))
     order = Window.partitionBy("source", "slot").orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    partly = placed.where(ends_here).withColumn("start", F.col("before") + F.sum("size").over(order) - F.col("size"))
-    partly = partly.withColumn("extra", F.col("start") * 2 + F.col("size") < F.col("rest") * 2).drop("start")
-    taken = F.col("size") * (F.col("epochs") + F.col("extra").cast("bigint"))
+    start = F.col("before") + F.sum("size").over(order) - F.col("size")
+    left = F.greatest(F.floor("rest").cast("bigint") - start, F.lit(0).cast("bigint"))
+    partly = placed.where(ends_here).withColumn("extra", F.least("size", left))
+    taken = F.col("size") * F.col("epochs") + F.col("extra")
     return whole.unionByName(partly).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))

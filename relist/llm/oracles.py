@@ -59,6 +59,6 @@ WITH sized AS (
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
-    (size * (epochs + CASE WHEN size > 0 AND 2 * start + size < 2 * (target - epochs * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+    (size * epochs + least(size, greatest(0, floor(target - epochs * source_size)::BIGINT - start)))::BIGINT AS taken
 FROM placed
 """
