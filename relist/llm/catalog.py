@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relist.llm.decontaminate import Decontamination, contaminated
+from relist.llm.fingerprint import Fingerprints, fingerprints
 from relist.llm.line_dedup import LineDedup, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
@@ -70,3 +71,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_mixing"] = MIXING_SQL
+
+
+@query
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited copy, and how alike they are."""
+    return fingerprints(table(spark, sf_dir, "documents"), Fingerprints())

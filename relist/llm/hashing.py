@@ -28,7 +28,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
-class _Powers:
+class Powers:
     """Powers of the base and of its inverse, grown to the longest text seen by this worker."""
 
     up = np.ones(1, np.uint64)
@@ -52,9 +52,9 @@ class Words:
         self.start = np.flatnonzero(edge == -1)
         self.end = np.flatnonzero(edge == 1)
         if len(self.start):
-            _Powers.grow(len(raw) + 1)
+            Powers.grow(len(raw) + 1)
             self._sums = np.zeros(len(raw) + 1, np.uint64)
-            np.cumsum(_BYTE[raw] * _Powers.up[: len(raw)], out=self._sums[1:])
+            np.cumsum(_BYTE[raw] * Powers.up[: len(raw)], out=self._sums[1:])
             self.hash = self._between(self.start, self.end)
         else:
             self.hash = np.zeros(0, np.uint64)
@@ -63,7 +63,7 @@ class Words:
         return len(self.start)
 
     def _between(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self._sums[end] - self._sums[start]) * _Powers.down[start])
+        return mix((self._sums[end] - self._sums[start]) * Powers.down[start])
 
     def prefix(self, size: int) -> np.ndarray:
         """Hashes of the first ``size`` bytes of the words that are longer than that."""
