@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from relist.llm.decontaminate import Decontamination, contaminated
 from relist.llm.fingerprint import Fingerprints, fingerprints
+from relist.llm.fixity import Fixity, audit
 from relist.llm.line_dedup import LineDedup, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
 from relist.llm import toxicity
-from relist.llm.oracles import MIXING_SQL, NEAR_DEDUP_SQL
+from relist.llm.oracles import FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, TOKENS_SQL
+from relist.llm.token_scan import TokenScan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +66,32 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def damaged(pages: DataFrame) -> DataFrame:
+    """A replica of ``pages`` with a byte of some pages changed and the last page of each thousand lost."""
+    hurt = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2) < "05"
+    html = F.when(hurt & (F.substring("html", 1, 1) == "<"), F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    return pages.where("page_id % 1000 <> 999").withColumn("html", html)
+
+
+@query
+def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records in which a damaged replica of the pages departs from them."""
+    pages = table(spark, sf_dir, "pages")
+    return audit(pages, damaged(pages), Fixity())
+
+
+ORACLES["op6_fixity"] = FIXITY_SQL
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return token_counts(table(spark, sf_dir, "documents"), TokenScan())
+
+
+ORACLES["op7_token_counts"] = TOKENS_SQL
+
+
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document; weights 1, 2, 3 and at most three epochs."""

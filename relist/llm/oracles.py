@@ -62,3 +62,33 @@ SELECT doc_id, size, source_size, target,
     (size * epochs + least(size, greatest(0, floor(target - epochs * source_size)::BIGINT - start)))::BIGINT AS taken
 FROM placed
 """
+
+
+TOKENS_SQL = rf"""
+SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), {WORD}))::BIGINT AS n_tokens FROM documents
+"""
+
+def _record(html: str) -> str:
+    breaks = "chr(13) || chr(10)"
+    return (
+        f"'WARC/1.0' || {breaks} || 'WARC-Type: response' || {breaks} || 'WARC-Target-URI: ' || coalesce(url, '') || {breaks}"
+        f" || 'Content-Length: ' || strlen({html}) || {breaks} || {breaks} || {html} || {breaks} || {breaks}"
+    )
+
+
+FIXITY_SQL = f"""
+WITH damage AS (
+    SELECT page_id, url, coalesce(html, '') AS sound,
+        CASE WHEN substring(md5(page_id::VARCHAR), 1, 2) < '05' AND html[1] = '<' THEN '#' || html[2:] ELSE coalesce(html, '') END AS hurt
+    FROM pages
+), recorded AS (
+    SELECT page_id, page_id // 1000 AS file, {_record("sound")} AS a, {_record("hurt")} AS b FROM damage
+), placed AS (
+    SELECT page_id, file, strlen(a)::BIGINT AS length, sha256(a) AS expected_sha256,
+        CASE WHEN page_id % 1000 <> 999 THEN sha256(b) END AS found_sha256,
+        (sum(strlen(a)) OVER (PARTITION BY file ORDER BY page_id) - strlen(a))::BIGINT AS "offset"
+    FROM recorded
+)
+SELECT file, "offset", length, page_id, CASE WHEN found_sha256 IS NULL THEN 'missing' ELSE 'changed' END AS kind, expected_sha256, found_sha256
+FROM placed WHERE expected_sha256 IS DISTINCT FROM found_sha256
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -15,7 +15,7 @@ from relist.runtime import cut_lineage, scratch_path
 #: A key table of at most this many rows (some tens of MB) is sent to every executor; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "split_evenly", "stored", "texts"]
+__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "scratch_folder", "split_evenly", "stored", "texts"]
 
 
 def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -26,13 +26,19 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: like a checkpoint, but columnar and compressed; deleted when the session's JVM ends."""
-    spark = df.sparkSession
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the session's JVM ends."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: like a checkpoint, but columnar and compressed."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
