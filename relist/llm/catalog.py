@@ -13,7 +13,7 @@ from relist.llm.fixity import Fixity, audit
 from relist.llm.line_dedup import LineDedup, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
-from relist.llm import toxicity
+from relist.llm import pii, toxicity
 from relist.llm.oracles import FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, TOKENS_SQL
 from relist.llm.token_scan import TokenScan, token_counts
 
@@ -58,6 +58,17 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
 
 
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the certain spans, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.personal_data(docs, pii.train(docs))
+    counts = [F.expr(f"size(filter(base, s -> s.kind = '{kind}'))").cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    joined = [F.concat_ws(",", F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))) for name in ("base", "spans")]
+    found = found.withColumn("spans", F.concat("base", "added"))
+    return found.select("doc_id", *counts, F.sha2(joined[0], 256).alias("base_sha256"), joined[1].alias("spans"))
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of four fifths of the documents may be learned from."""
