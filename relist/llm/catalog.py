@@ -13,7 +13,7 @@ from relist.llm.fixity import Fixity, audit
 from relist.llm.line_dedup import LineDedup, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
-from relist.llm import pii, toxicity
+from relist.llm import pii, quality, toxicity
 from relist.llm.oracles import FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, TOKENS_SQL
 from relist.llm.token_scan import TokenScan, token_counts
 
@@ -77,6 +77,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels of two thirds of the documents may be learned from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = quality.train(docs, labels.where(~held_out(3, 1)))
+    return quality.scored(docs, net).select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def damaged(pages: DataFrame) -> DataFrame:
     """A replica of ``pages`` with a byte of some pages changed and the last page of each thousand lost."""
     hurt = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2) < "05"
