@@ -97,8 +97,17 @@ class Block:
         self.ids = [item_id for item_id, _ in items]
         self.words = [words for _, words in items]
         self.grams = [grams(words, plan.words) for words in self.words]
+        self.widths = sorted({min(plan.words, len(words)) for words in self.words})
         self.table = np.unique(np.concatenate([*self.grams, np.zeros(0, np.uint64)]))
 
+    def located(self, words: np.ndarray, lookup: Lookup) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the document, places in the table) of the items' n-grams, those of items shorter than an n-gram included."""
+        found = [lookup.find(grams(words, width)) for width in self.widths if width <= len(words)]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at, slot = (np.concatenate(x) for x in zip(*found, strict=True))
+        return at, slot
+
     def seeded(self, documents: np.ndarray) -> Block:
         """Choose the seeds by the number of documents of each n-gram of ``table``."""
         gram, item, place = [], [], []
@@ -117,7 +126,7 @@ class Block:
 
     def matches(self, words: np.ndarray, lookup: Lookup) -> Iterator[tuple[int, float, int, int]]:
         """(item, score, first word, end word) of the best copy of each item in a document."""
-        at, slot = lookup.find(grams(words, self.plan.words))
+        at, slot = self.located(words, lookup)
         if not len(at):
             return
         low = np.searchsorted(self.seed, lookup.table[slot], "left")
@@ -163,14 +172,14 @@ def item_blocks(items: DataFrame, plan: Decontamination) -> Iterator[Block]:
 
 def gram_documents(docs: DataFrame, block: Block) -> np.ndarray:
     """In how many documents each n-gram of the block occurs; each task sends a count per n-gram at most."""
-    table, size = docs.sparkSession.sparkContext.broadcast(block.table), block.plan.words
+    sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(table.value)
+        lookup = Lookup(sent.value.table)
         counts = np.zeros(len(lookup.table), np.int64)
         for batch in batches:
             for text in texts(batch):
-                counts[np.unique(lookup.find(grams(word_hashes(text), size))[1])] += 1
+                counts[np.unique(sent.value.located(word_hashes(text), lookup)[1])] += 1
         slots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], ["slot", "documents"])
 

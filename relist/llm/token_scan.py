@@ -72,7 +72,8 @@ def document_lengths(spark: SparkSession, path: str, plan: TokenScan = TokenScan
             starts = starts[starts + offset < length // 2]
             ends = np.searchsorted(places, starts)
             n = len(starts)
-            heads = [data[s : min(s + plan.head, places[e] if e < len(places) else len(data))].astype(np.int32) for s, e in zip(starts, ends, strict=True)]
+            heads = [data[s : s + plan.head].astype(np.int32) for s in starts]
+            heads = [head[: np.append(np.flatnonzero(head == plan.separator), len(head))[0]] for head in heads]
             out["path"] += [path] * (n + 1)
             out["begin"] += [begin] * (n + 1)
             out["local"] += [*range(n), None]
@@ -94,9 +95,8 @@ def document_lengths(spark: SparkSession, path: str, plan: TokenScan = TokenScan
     )
     joined = found.where("local is not null").join(summary, ["path", "begin"]).join(files.withColumn("tokens", F.floor(F.col("length") / 2)), "path")
     end = F.coalesce("end", "later")
-    head = F.filter("head", lambda token: token != plan.separator)
     return joined.select(
-        "path", (F.col("before") + F.col("local")).alias("document"), "start", (F.coalesce(end, "tokens") - F.col("start")).alias("tokens"), end.isNotNull().alias("closed"), head.alias("head")
+        "path", (F.col("before") + F.col("local")).alias("document"), "start", (F.coalesce(end, "tokens") - F.col("start")).alias("tokens"), end.isNotNull().alias("closed"), "head"
     )
 
 
