@@ -26,16 +26,22 @@ def components(edges: DataFrame) -> DataFrame:
     partial aggregate and joins it back, so a node with very many neighbours is split by the join.
     """
     links = cut_lineage(_turned(edges))
-    while True:
+    state = _state(links)
+    while state[0]:
         large = _star(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), F.col("b") > F.col("a"), own=False)
-        small = cut_lineage(_star(large, F.lit(True), own=True))
-        if small.exceptAll(links).isEmpty() and links.exceptAll(small).isEmpty():
+        links = cut_lineage(_star(large, F.lit(True), own=True))
+        before, state = state, _state(links)
+        if state == before:
             break
-        links = small
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
+def _state(links: DataFrame) -> tuple:
+    """Number and hash sum of the links; they change as long as the links do."""
+    return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
+
+
 def _turned(edges: DataFrame) -> DataFrame:
     """Each edge once, from the larger to the smaller node."""
     return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()

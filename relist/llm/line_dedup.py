@@ -6,7 +6,7 @@ is the bitwise majority of its word hashes, each
 weighted by the length of the word, so that lines do not look alike for their short common words. It is cut into five blocks: two SimHashes that differ in
 at most three bits agree on two whole blocks, so the ten pairs of blocks are the join keys. The edit
 similarity bounds the ratio of two lengths, so a coarse length class is part of each key; a line near
-the end of its class also looks into the next one. Candidates are verified by Levenshtein distance
+the end of its class also looks into the next one. Candidates are verified by edit distance
 on the full normalised lines, and one occurrence of each connected group stays: the first by doc_id
 and line number.
 """
@@ -32,6 +32,8 @@ _PLAIN = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 #: Low bit and width of the five blocks of a SimHash.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 LENGTH_CLASS = 3.0
+#: Characters that are hashed together in one go, for speed alone.
+JOINED = 100_000
 #: SimHashes of linked lines differ in at most so many bits; any two of five blocks agree then.
 MOST_BITS = 3
 
@@ -41,7 +43,7 @@ class LineDedup:
     """min_words: a line with fewer words is left alone; percent: least edit similarity of a link, in percent."""
 
     min_words: int = 5
-    percent: int = 90
+    percent: int = 80
 
 
 def normalised(text: str) -> bytes:
@@ -62,30 +64,75 @@ def line_features(text: str, min_words: int) -> tuple[np.ndarray, ...]:
     term = mix(words.hash + mix((np.arange(len(line)) - np.repeat(first, count)).astype(np.uint64)))
     low = np.add.reduceat(term, first)
     high = np.add.reduceat(mix(term ^ np.uint64(0x2545F491)), first)
-    weight = np.clip(words.end - words.start - 2, 1, 16).astype(np.uint8)
+    weight = np.clip(words.end - words.start - 2, 1, 16).astype(np.float32)
     bits = np.unpackbits(words.hash.view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(bits * weight[:, None], first, axis=0, dtype=np.int32)
-    sim = np.packbits(2 * ones > np.add.reduceat(weight, first, dtype=np.int32)[:, None], axis=1).view(np.uint64).ravel()
+    ones = np.add.reduceat(np.multiply(bits, weight[:, None], dtype=np.float32), first, axis=0)
+    sim = np.packbits(2 * ones > np.add.reduceat(weight, first)[:, None], axis=1).view(np.uint64).ravel()
     points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
     chars = np.add.reduceat(points[words.end] - points[words.start], first) + count - 1
     enough = count >= min_words
     return line[first][enough], signed(low[enough]), signed(high[enough]), signed(sim[enough]), chars[enough]
 
 
+def within(a: str, b: str, limit: int) -> bool:
+    """Whether the edit distance of two lines is at most ``limit``: a column of the matrix is one step on integers with a bit per character."""
+    shared = 0
+    for x, y in zip(a, b, strict=False):
+        if x != y:
+            break
+        shared += 1
+    a, b = a[shared:], b[shared:]
+    shared = 0
+    for x, y in zip(reversed(a), reversed(b), strict=False):
+        if x != y:
+            break
+        shared += 1
+    a, b = a[: len(a) - shared], b[: len(b) - shared]
+    if abs(len(a) - len(b)) > limit or not a or not b:
+        return max(len(a), len(b)) <= limit
+    where: dict[str, int] = {}
+    for place, c in enumerate(a):
+        where[c] = where.get(c, 0) | 1 << place
+    full, last = (1 << len(a)) - 1, 1 << len(a) - 1
+    up, down, score, left = full, 0, len(a), len(b)
+    for c in b:
+        equal = where.get(c, 0)
+        fixed = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        more, less = down | (full & ~(across | up)), up & across
+        if more & last:
+            score += 1
+        elif less & last:
+            score -= 1
+        left -= 1
+        if score - left > limit:
+            return False
+        more = more << 1 | 1
+        up = (less << 1 | ~(fixed | more)) & full
+        down = more & fixed & full
+    return score <= limit
+
+
 def line_rows(docs: DataFrame, plan: LineDedup) -> DataFrame:
     """(doc_id, row, line_no, low, high, sim, chars) of every line with enough words; ``row`` tells texts of one doc_id apart."""
 
     def run(batch: pa.RecordBatch) -> dict[str, object] | None:
-        ids, rows, parts = [], [], []
-        for doc_id, row, text in zip(column(batch, "doc_id").to_pylist(), column(batch, "row").to_pylist(), texts(batch), strict=True):
-            features = line_features(text, plan.min_words)
-            ids.extend([doc_id] * len(features[0]))
-            rows.extend([row] * len(features[0]))
-            parts.append(features)
-        if not parts:
+        if not batch.num_rows:
             return None
+        lines = [text.count("\n") + 1 for text in texts(batch)]
+        begin = np.cumsum([0, *lines])
+        parts, held, size, first = [], [], 0, 0
+        for place, text in enumerate(texts(batch)):  # several texts at once: a line break stands between them as within them
+            held.append(text)
+            size += len(text)
+            if size > JOINED or place == batch.num_rows - 1:
+                number, *others = line_features("\n".join(held), plan.min_words)
+                parts.append((number + begin[first], *others))
+                held, size, first = [], 0, place + 1
         number, low, high, sim, chars = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return {"doc_id": ids, "row": rows, "line_no": number.astype(np.int32), "low": low, "high": high, "sim": sim, "chars": chars}
+        owner = np.searchsorted(begin, number, "right") - 1
+        doc_id, row = (column(batch, name).to_numpy()[owner] for name in ("doc_id", "row"))
+        return {"doc_id": doc_id, "row": row, "line_no": (number - begin[owner]).astype(np.int32), "low": low, "high": high, "sim": sim, "chars": chars}
 
     schema = "doc_id bigint, row bigint, line_no int, low bigint, high bigint, sim bigint, chars bigint"
     return map_rows(split_evenly(named(docs)), schema, run)
@@ -131,8 +178,13 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, plan: LineDed
     both = pairs.join(lines.select(F.col("id").alias("b"), F.col("line").alias("right")), "b").join(
         lines.select(F.col("id").alias("a"), F.col("line").alias("left")), "a"
     )
-    allowed = f"cast(greatest(length(left), length(right)) * {100 - plan.percent} div 100 as int)"
-    return both.where(F.expr(f"levenshtein(left, right, {allowed}) >= 0"))
+
+    def run(batch: pa.RecordBatch) -> dict[str, object]:
+        sides = (column(batch, name).to_pylist() for name in ("left", "right"))
+        near = [within(a, b, max(len(a), len(b)) * (100 - plan.percent) // 100) for a, b in zip(*sides, strict=True)]
+        return {name: column(batch, name).filter(pa.array(near, pa.bool_())) for name in ("a", "b")}
+
+    return map_rows(both.select("a", "b", "left", "right"), "a bigint, b bigint", run)
 
 
 def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
 
-from relist.llm.line_dedup import LineDedup, line_features, normalised, without_repeats
+from relist.llm.line_dedup import LineDedup, line_features, normalised, within, without_repeats
 from tests.llm.cases import edited, frame, odd_rows, prose
 
 
@@ -93,3 +94,12 @@ def test_features_follow_the_words():
     assert chars.tolist() == [len(re.sub(r"[,;]", "", "alpha beta, gamma; delta epsilon"))] * 2
     turned = line_features("beta alpha gamma delta epsilon", 5)
     assert turned[1][0] != low[0] and np.array_equal(turned[3], sim[:1])
+
+
+def test_edit_distance_equals_the_matrix():
+    draw = random.Random(2)
+    for _ in range(300):
+        a = "".join(draw.choice("abcé ") for _ in range(draw.randint(0, 14)))
+        b = "".join(draw.choice("abcé ") for _ in range(draw.randint(0, 14))) if draw.random() < 0.5 else a[:3] + "x" + a[5:]
+        exact = distance(a, b)
+        assert [within(a, b, k) for k in range(16)] == [exact <= k for k in range(16)]
