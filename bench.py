@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -39,6 +40,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="relist-bench-"))
         .getOrCreate()
     )
 

@@ -37,19 +37,18 @@ CYCLE_CTES = (
     "heads AS (SELECT lo.start, lo.nodes FROM loops lo WHERE lo.start = (SELECT min(w.cur) FROM walk w WHERE w.start = lo.start)), "
     "cycles AS (SELECT h.start AS cycle_id, CAST(w.n % h.nodes AS BIGINT) AS position, CAST(h.nodes AS BIGINT) AS nodes, w.cur AS doc_id "
     "FROM heads h JOIN walk w ON w.start = h.start), "
-    "cycle_text AS (SELECT cycle_id, string_agg(doc_id, ' -> ' ORDER BY position) || ' -> ' || cycle_id AS text FROM cycles GROUP BY cycle_id)"
+    "cycle_text AS (SELECT cycle_id, cycle_id || ' (' || nodes || ' nodes)' AS text FROM cycles WHERE position = 0)"
 )
 WHOLE_CYCLES = CYCLE_CTES.format(links="links")
 VIOLATIONS_CTE = (
-    "violations AS (SELECT '1_invalid_link' AS kind, doc_id, 'doc_id=' || doc_id || ' has invalid predecessor_id type' AS message FROM chains "
+    "violations AS (SELECT '1_invalid_link' AS kind, doc_id, doc_id || ' holds a blank predecessor_id' AS message FROM chains "
     f"WHERE predecessor_id IS NOT NULL AND {A.duck_blank('predecessor_id')} IS NULL UNION ALL "
-    "SELECT '1_invalid_link', doc_id, 'doc_id=' || doc_id || ' has invalid successor_id type' FROM chains "
+    "SELECT '1_invalid_link', doc_id, doc_id || ' holds a blank successor_id' FROM chains "
     f"WHERE successor_id IS NOT NULL AND {A.duck_blank('successor_id')} IS NULL UNION ALL "
     "SELECT CASE field WHEN 'successor_id' THEN '2_successor' ELSE '3_predecessor' END, doc_id, "
-    "CASE field WHEN 'successor_id' THEN 'Inconsistent successor link: ' ELSE 'Inconsistent predecessor link: ' END || doc_id || '.' || field || '=' || target_id "
-    "|| ', but ' || target_id || '.' || CASE field WHEN 'successor_id' THEN 'predecessor_id' ELSE 'successor_id' END || '=' || "
-    "coalesce('''' || back_id || '''', 'None') FROM mismatch UNION ALL "
-    "SELECT '4_cycle', cycle_id, 'Cycle detected: ' || text FROM cycle_text)"
+    "doc_id || ' names ' || target_id || ' as ' || field || ', whose ' || CASE field WHEN 'successor_id' THEN 'predecessor_id' ELSE 'successor_id' END "
+    "|| ' is ' || coalesce(back_id, 'empty') FROM mismatch UNION ALL "
+    "SELECT '4_cycle', cycle_id, 'successors lead back to ' || text FROM cycle_text)"
 )
 VALIDATION = f"WITH RECURSIVE {LINKS_CTE}, {MISMATCH_CTE}, {WHOLE_CYCLES}, {VIOLATIONS_CTE}"
 

@@ -224,19 +224,6 @@ def best_duplicate(spark: SparkSession, sf: str) -> DataFrame:
     return C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES)
 
 
-@query(
-    "best_duplicate_lookup",
-    match_sql(
-        "contended",
-        "SELECT c_id, d_id, score, c_start, d_start FROM (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY c_id ORDER BY d_id) <= 3) s "
-        "QUALIFY row_number() OVER (PARTITION BY c_id ORDER BY score DESC, d_id) = 1",
-    ),
-)
-def best_duplicate_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """With the lookup size of the matching contract switched on."""
-    return C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES, max_results=3)
-
-
 @query("score_gate", match_sql("contended", BEST_SELECT + " WHERE score >= 0.7 AND d_start < c_start"))
 def score_gate(spark: SparkSession, sf: str) -> DataFrame:
     return C.score_gate(C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES), RULES)

@@ -12,7 +12,8 @@ from relist.functions.payload import text
 from relist.functions.text import to_double
 from relist.operators import archiving as R
 from relist.operators import cursors as K
-from relist.plans.archive import run_archive
+from relist.plans.archive import archived_ids, run_archive
+from relist.plans.full_run import LINKS_SCHEMA
 from relist.plans.full_run import full_run as run_everything
 from relist.runtime import scratch_path
 from relist.sources import archive_store, feed, state, tables
@@ -492,9 +493,9 @@ def full_run(spark: SparkSession, sf: str) -> DataFrame:
         report = run_everything(spark, landing, out, part, A.ntz(now), M.RULES)
         if report.failed:
             raise RuntimeError(f"{report.failed}: {report.error}")
-    raw = feed.live_raw(spark.read.parquet(f"{out}/raw"), spark.read.parquet(f"{out}/raw_deleted"))
+    raw = feed.live_raw(spark.read.parquet(f"{out}/raw"), archived_ids(spark, out))
     done = state.ledger_current(spark.read.parquet(f"{out}/ledger")).where(F.col("status") == state.SUCCESS)
-    links = state.read_state(spark, f"{out}/links")
+    links = state.read_state(spark, f"{out}/links", LINKS_SCHEMA)
     return links.where(F.col("predecessor_id").isNotNull()).select(
         "doc_id",
         "predecessor_id",

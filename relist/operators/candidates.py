@@ -262,18 +262,10 @@ def best_duplicate(
     candidates: DataFrame,
     listings: DataFrame,
     rules: MatchRules = MatchRules(),
-    max_results: int | None = None,
     hot_rows: int = HOT_BLOCK_ROWS,
 ) -> DataFrame:
-    """Best-scored earlier listing per candidate; the smallest id wins a tie.
-
-    ``max_results`` looks only at that many earlier listings per candidate, smallest ids first.
-    It is the lookup size of the matching contract and is off by default.
-    """
+    """Best-scored earlier listing per candidate among all of its pairs; the smallest id wins a tie."""
     scored = score_pairs(candidate_pairs(candidates, listings, rules, hot_rows), rules)
-    if max_results is not None:
-        by_id = Window.partitionBy("c_id").orderBy("d_id")
-        scored = scored.withColumn("n", F.row_number().over(by_id)).where(F.col("n") <= max_results).drop("n")
     best_first = Window.partitionBy("c_id").orderBy(F.col("score").desc(), "d_id")
     return (
         scored.withColumn("n", F.row_number().over(best_first))

@@ -5,20 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from relist.functions.scoring import MatchRules
 from relist.plans.archive import run_archive
 from relist.plans.matching import match_incremental
+from relist.runtime import committed_versions
 from relist.schemas import CURSOR_SCHEMA, LINK_COLUMNS
-from relist.sources.feed import live_raw, mark_deleted, read_raw
-from relist.sources.state import read_state, write_state
+from relist.sources.feed import read_raw
+from relist.sources.state import read_version, write_state
 from relist.sources.tables import read_listings
 from relist.streaming.ingest import ingest, load_cursors
 
 
+LINKS_SCHEMA = "doc_id string, predecessor_id string, successor_id string"
+
+
 @dataclass
 class StageReport:
     done: list[str] = field(default_factory=list)
@@ -39,39 +42,31 @@ def run_stages(stages: dict[str, Callable[[], None]]) -> StageReport:
     return report
 
 
-def _state_or_empty(
-    spark: SparkSession, path: str, schema: StructType | str, read: Callable[[SparkSession, str], DataFrame] = read_state
-) -> DataFrame:
-    try:
-        return read(spark, path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def full_run(
     spark: SparkSession, landing: str, out: str, run_no: int, now: Column, rules: MatchRules = MatchRules()
 ) -> StageReport:
-    """One run of all three stages over the tables under ``out``; ``run_no`` grows from run to run."""
+    """One run of all three stages over the tables under ``out``; ``run_no`` grows from run to run.
+
+    A run reads only what earlier runs finished: links and markers of the newest number below its own
+    that has both. So it can be repeated under its number, and links and markers cannot part ways.
+    """
 
     def ingest_stage() -> None:
         query = ingest(spark, landing, out, now)
         query.awaitTermination()
 
     def match_stage() -> None:
-        links = _state_or_empty(spark, f"{out}/links", "doc_id string, predecessor_id string, successor_id string")
-        listings = read_listings(spark, f"{out}/listings", links)
-        markers = _state_or_empty(spark, f"{out}/markers", CURSOR_SCHEMA)
-        run = match_incremental(listings, load_cursors(spark, out), markers, rules, now=now)
+        links_path, markers_path = f"{out}/links", f"{out}/markers"
+        earlier = set(committed_versions(spark, links_path, run_no)) & set(committed_versions(spark, markers_path, run_no))
+        newest = max(earlier, default=None)
+        links = read_version(spark, links_path, newest, LINKS_SCHEMA)
+        markers = read_version(spark, markers_path, newest, CURSOR_SCHEMA)
+        run = match_incremental(read_listings(spark, f"{out}/listings", links), load_cursors(spark, out), markers, rules, now=now)
         linked = run.listings.where(F.col("predecessor_id").isNotNull() | F.col("successor_id").isNotNull())
-        linked.select("doc_id", *LINK_COLUMNS).write.mode("overwrite").parquet(f"{out}/links/version={run_no}")
-        write_state(run.markers, f"{out}/markers", run_no)
+        linked.select("doc_id", *LINK_COLUMNS).write.mode("overwrite").parquet(f"{links_path}/version={run_no}")
+        write_state(run.markers, markers_path, run_no)
 
     def archive_stage() -> None:
-        deleted = _state_or_empty(spark, f"{out}/raw_deleted", "raw_id string", read=lambda s, p: s.read.parquet(p))
-        raw = live_raw(read_raw(spark, f"{out}/raw"), deleted)
-        run = run_archive(spark, raw, out, now)
-        mark_deleted(run.archived, f"{out}/raw_deleted", run_no)
+        run_archive(spark, read_raw(spark, f"{out}/raw"), out, now)
 
     return run_stages({"ingest": ingest_stage, "match": match_stage, "archive": archive_stage})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,20 +10,19 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the session.
-
-    Only a local master may fall back to a temporary folder of its own; a
-    cluster has to name the folder, since a machine-local one would be lost
-    with the machine.
-    """
+    """Folder every executor can reach, as named by the session; without one there is none to fall back to."""
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="relist-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return configured.rstrip("/")
+
+
+def committed_versions(spark: SparkSession, path: str, below: int | None = None) -> list[int]:
+    """Versions under ``path`` whose write was finished, in ascending order; a folder that a failed write left is not among them."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    versions = sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+    return [version for version in versions if below is None or version < below]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -63,11 +63,6 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(path)
 
 
-def mark_deleted(raw_ids: DataFrame, path: str, run_no: int) -> None:
-    """Record archived rows as deleted; a replay of the run overwrites its own record."""
-    raw_ids.select("raw_id").write.mode("overwrite").parquet(f"{path}/run={run_no}")
-
-
 def live_raw(raw: DataFrame, deleted: DataFrame) -> DataFrame:
     """Raw rows that were not deleted. The folders behind fully deleted batches can be dropped at leisure."""
     return raw.join(deleted.select("raw_id"), "raw_id", "left_anti")

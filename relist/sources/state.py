@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from relist.runtime import committed_versions
 from relist.schemas import LEDGER_SCHEMA
 
 # Ledger states and the first month of a backfill.
@@ -30,10 +32,15 @@ def write_state(state: DataFrame, path: str, version: int) -> None:
     state.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={version}")
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(path)
-    newest = rows.agg(F.max("version").alias("version"))
-    return rows.join(newest, "version", "left_semi").drop("version")
+def read_version(spark: SparkSession, path: str, version: int | None, schema: StructType | str) -> DataFrame:
+    """One version of a table with its declared types; no version is an empty table."""
+    return spark.createDataFrame([], schema) if version is None else spark.read.schema(schema).parquet(f"{path}/version={version}")
+
+
+def read_state(spark: SparkSession, path: str, schema: StructType | str, below: int | None = None) -> DataFrame:
+    """The newest finished version (below ``below``, if given); empty where there is none."""
+    versions = committed_versions(spark, path, below)
+    return read_version(spark, path, versions[-1] if versions else None, schema)
 
 
 def site_windows(uploads: DataFrame, markers: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from relist.runtime import committed_versions
 from relist.schemas import LINK_COLUMNS
 
 
@@ -49,7 +50,8 @@ def append_listings(listings: DataFrame, path: str, version: int) -> None:
 
 def read_listings(spark: SparkSession, path: str, links: DataFrame | None = None) -> DataFrame:
     """Current listings: the latest version of each key, with its links from the link table."""
-    current = latest_per_key(spark.read.parquet(path), "doc_id", "version").drop("version")
+    folders = [f"{path}/version={version}" for version in committed_versions(spark, path)]
+    current = latest_per_key(spark.read.option("basePath", path).parquet(*folders), "doc_id", "version").drop("version")
     if links is None:
         return ensure_columns(current, {name: "string" for name in LINK_COLUMNS})
     return current.join(links.select("doc_id", *LINK_COLUMNS), "doc_id", "left")

@@ -57,12 +57,7 @@ def persist_batch(
 
 
 def load_cursors(spark: SparkSession, out: str) -> DataFrame:
-    try:
-        return read_state(spark, f"{out}/cursors")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], CURSOR_SCHEMA)
+    return read_state(spark, f"{out}/cursors", CURSOR_SCHEMA)
 
 
 def advance(cursors: DataFrame, moved: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import relist.plans.archive as archive_plan
 from relist.operators import archiving, cursors
 from relist.plans.archive import run_archive
-from relist.plans.full_run import run_stages
+from relist.plans.full_run import full_run, run_stages
 from relist.runtime import shared_dir
 from relist.schemas import CURSOR_SCHEMA
 from relist.sources import feed, state, tables
@@ -59,8 +59,8 @@ def test_archive_splits_months_and_chunks(spark, tmp_path):
 
 
 def test_archive_replay_adds_objects(spark, tmp_path):
-    rows = raw_rows(spark, ("a", JANUARY))
-    first, second = archive(spark, rows, tmp_path), archive(spark, rows, tmp_path)
+    """The same ad delivered again is another raw row, archived into an object of its own."""
+    first, second = (archive(spark, raw_rows(spark, (delivery, JANUARY)), tmp_path) for delivery in ("a", "a again"))
     assert second.ledger.count() == 2
     assert len({r["s3_path"] for r in second.ledger.collect()}) == 2
     assert first.remaining.count() == second.remaining.count() == 0
@@ -239,6 +239,49 @@ def test_cursor_never_goes_back(spark, tmp_path):
     assert tables.read_listings(spark, f"{out}/listings").count() == 2
 
 
+def test_a_failed_first_batch_does_not_stop_later_ones(spark, tmp_path):
+    out = str(tmp_path)
+    (tmp_path / "cursors" / "version=0" / "_temporary").mkdir(parents=True)
+    (tmp_path / "listings" / "version=0" / "_temporary").mkdir(parents=True)
+    assert load_cursors(spark, out).count() == 0
+    pages = spark.createDataFrame([("drom", json.dumps([ad("1", "2026-01-01 00:00:05")]))], "site string, body string")
+    persist_batch(pages, 1, out, ntz(NOW))
+    assert rows_of(load_cursors(spark, out), "site", "ts") == {("drom", T[1])}
+    assert tables.read_listings(spark, f"{out}/listings").count() == 1
+
+
+def test_state_reads_the_newest_finished_version(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    for version, site in ((0, "a"), (1, "b"), (10, "c")):
+        state.write_state(spark.createDataFrame([(site, T[0])], CURSOR_SCHEMA), path, version)
+    (tmp_path / "marks" / "version=11").mkdir()
+    assert rows_of(state.read_state(spark, path, CURSOR_SCHEMA), "site") == {("c",)}
+    assert rows_of(state.read_state(spark, path, CURSOR_SCHEMA, below=10), "site") == {("b",)}
+    assert state.read_state(spark, path, CURSOR_SCHEMA, below=0).count() == 0
+
+
+def test_a_run_can_be_repeated_and_deletes_stay(spark, tmp_path):
+    landing, out = f"{tmp_path}/landing", f"{tmp_path}/out"
+    drop(landing, "1.json", [ad("1", "2026-01-01 00:00:05"), ad("2", "2026-01-01 00:00:05")])
+    later = ntz(NOW + timedelta(days=400))
+    for run_no, now in ((1, ntz(NOW)), (1, ntz(NOW)), (2, later), (2, later)):
+        report = full_run(spark, landing, out, run_no, now)
+        assert (report.done, report.failed) == (["ingest", "match", "archive"], None), report.error
+    assert feed.live_raw(feed.read_raw(spark, f"{out}/raw"), archive_plan.archived_ids(spark, out)).count() == 0
+    done = state.ledger_current(spark.read.parquet(f"{out}/ledger")).where("status = 'success'")
+    assert done.agg(F.sum("documents_count")).first()[0] == 2
+
+
+def test_rows_of_a_success_are_archived_once(spark, tmp_path):
+    """What a run archived is deleted by its ledger alone, even if the run went no further."""
+    old = spark.createDataFrame([(str(i), "s", NOW - timedelta(days=90), "{}", "{}") for i in range(5)], "raw_id string, source string, ingested_at timestamp_ntz, request_params string, payload string")
+    first = run_archive(spark, old, str(tmp_path), ntz(NOW))
+    assert first.archived.count() == 5
+    second = run_archive(spark, old, str(tmp_path), ntz(NOW))
+    assert second.archived.count() == 0 and second.remaining.count() == 0
+    assert second.ledger.where("status = 'success'").agg(F.sum("documents_count")).first()[0] == 5
+
+
 def test_upsert_protects_links_and_unknown_columns(spark):
     stored = spark.createDataFrame([("a", 1.0, "p", "s", True), ("b", 2.0, None, None, None)], "doc_id string, price double, predecessor_id string, successor_id string, is_duplicate boolean")
     incoming = spark.createDataFrame([("a", 5.0, "x", None), ("c", None, "y", "z")], "doc_id string, price double, predecessor_id string, successor_id string")
