@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 
-from relist.llm.line_dedup import LineDedup, line_features, normalised, within, without_repeats
+from relist.llm.line_dedup import WHOLE, LineDedup, line_features, normalised, within, without_repeats
 from tests.llm.cases import edited, frame, odd_rows, prose
 
 
@@ -103,3 +103,16 @@ def test_edit_distance_equals_the_matrix():
         b = "".join(draw.choice("abcé ") for _ in range(draw.randint(0, 14))) if draw.random() < 0.5 else a[:3] + "x" + a[5:]
         exact = distance(a, b)
         assert [within(a, b, k) for k in range(16)] == [exact <= k for k in range(16)]
+
+
+def test_links_by_edit_distance_alone(spark):
+    """Two changed words of twenty are within the similarity, whatever the SimHashes say."""
+    made = [(k, "\n".join(prose(7000 + k, 20) for k in range(3 * k, 3 * k + 3))) for k in range(30)]
+    made += [(100 + k, "\n".join(edited(line, k, 2) for line in text.split("\n"))) for k, text in made]
+    places = [(doc_id, n, line) for doc_id, text in made for n, line in enumerate(text.split("\n"))]
+    want = set()
+    for k, (doc_id, n, line) in enumerate(places):
+        if any(distance(line, other) <= max(len(line), len(other)) * 20 // 100 for _, _, other in places[:k]):
+            want.add((doc_id, n))
+    got = {(r.doc_id, n) for r in without_repeats(frame(spark, made), WHOLE).collect() for n in r.dropped}
+    assert len(want) > 80 and got <= want and len(got) >= 0.95 * len(want)
