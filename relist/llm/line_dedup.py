@@ -16,7 +16,9 @@ often where changed characters are spread over most words; the README has measur
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_eve
 _PUNCTUATION = b"\t\r\x0b\x0c" + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _PLAIN = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 
+#: Runs of scripts that are written without spaces: Thai, Lao, Myanmar, Khmer, Kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]{2,}")
 #: Bands of a line, and minwise hashes in each.
 BANDS, DEPTH = 10, 3
 _SEEDS = mix(np.arange(101, 101 + -(-BANDS * DEPTH // 2), dtype=np.uint64))
@@ -41,15 +45,17 @@ JOINED = 100_000
 
 @dataclass(frozen=True)
 class LineDedup:
-    """min_words: a line with fewer words is left alone; percent: least edit similarity of a link, in percent; most_bits: of their SimHashes in which linked lines may differ, None for no such condition."""
+    """min_words: a line with fewer words is left alone; percent: least edit similarity of a link, in percent; most_bits: of their SimHashes in which linked lines may differ, None for no such condition; every_line: whether equal normalised lines are folded whatever their length, and a line of scripts without spaces with ``min_points`` code points or more is linked by similarity too, like one with enough words."""
 
     min_words: int = 5
     percent: int = 80
     most_bits: int | None = 3
+    every_line: bool = False
+    min_points: int = 20
 
 
-#: Links by edit similarity alone; what the queries use.
-WHOLE = LineDedup(most_bits=None)
+#: Links by edit similarity alone, equal lines of any length; what the queries use.
+WHOLE = LineDedup(most_bits=None, every_line=True)
 
 
 def normalised(text: str) -> bytes:
@@ -64,11 +70,11 @@ def line_features(text: str, min_words: int) -> tuple[np.ndarray, ...]:
 
 
 def line_table(text: str, plan: LineDedup) -> dict[str, np.ndarray]:
-    """Line number, two digests, length in code points, bands and, if asked, SimHash of each line with enough words."""
+    """Line number, two digests, length in code points, bands and, if asked, SimHash of each line with enough words, or of each line with words; ``fuzzy`` says which may be linked by similarity."""
     data = normalised(text)
     words = Words(data)
     if not len(words):
-        return {name: np.zeros(0, np.int64) for name in ("line_no", "low", "high", "sim", "chars", *_BAND)}
+        return {name: np.zeros(0, np.int64) for name in ("line_no", "low", "high", "sim", "chars", *_BAND)} | {"fuzzy": np.zeros(0, bool)}
     breaks = np.flatnonzero(words.raw == 10)
     line = np.searchsorted(breaks, words.start)
     first = np.flatnonzero(np.diff(line, prepend=-1))
@@ -79,9 +85,38 @@ def line_table(text: str, plan: LineDedup) -> dict[str, np.ndarray]:
     sim = simhashes(words, first) if plan.most_bits is not None else np.zeros(len(first), np.uint64)
     points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
     chars = np.add.reduceat(points[words.end] - points[words.start], first) + count - 1
-    enough = count >= plan.min_words
+    fuzzy = count >= plan.min_words
     columns = {"line_no": line[first], "low": signed(low), "high": signed(high), "sim": signed(sim), "chars": chars, **bands(words, first)}
-    return {name: values[enough] for name, values in columns.items()}
+    if plan.every_line:
+        lines = columns["line_no"]
+        for name, values in unspaced_bands(text, plan, lines, chars).items():
+            if name == "line_no":
+                at = np.searchsorted(lines, values)
+                fuzzy[at] = True
+            else:
+                columns[name][at] = values
+        return columns | {"fuzzy": fuzzy}
+    return {name: values[fuzzy] for name, values in columns.items()} | {"fuzzy": fuzzy[fuzzy]}
+
+
+def unspaced_bands(text: str, plan: LineDedup, lines: np.ndarray, chars: np.ndarray) -> dict[str, np.ndarray]:
+    """Line number and bands of the long enough lines with a run of an unspaced script, each two neighbours of a run taken as a word."""
+    split, found = normalised(text).split(b"\n"), {}
+    for number, length in zip(lines, chars, strict=True):
+        if length < plan.min_points or len(split[number]) == length:
+            continue
+        paired, runs = UNSPACED.subn(in_pairs, split[number].decode("utf-8", "replace"))
+        if runs:
+            found[int(number)] = paired
+    if not found:
+        return {}
+    words = Words("\n".join(found.values()).encode())
+    line = np.searchsorted(np.flatnonzero(words.raw == 10), words.start)
+    return {"line_no": np.array(list(found)), **bands(words, np.flatnonzero(np.diff(line, prepend=-1)))}
+
+
+def in_pairs(run: re.Match[str]) -> str:
+    return " " + " ".join(map("".join, pairwise(run.group()))) + " "
 
 
 def simhashes(words: Words, first: np.ndarray) -> np.ndarray:
@@ -149,7 +184,7 @@ def within(a: str, b: str, limit: int) -> bool:
 
 
 def line_rows(docs: DataFrame, plan: LineDedup) -> DataFrame:
-    """(doc_id, row, line_no, low, high, sim, chars, bands) of every line with enough words; ``row`` tells texts of one doc_id apart."""
+    """(doc_id, row, line_no, low, high, sim, chars, fuzzy, bands) of the lines of ``line_table``; ``row`` tells texts of one doc_id apart."""
 
     def run(batch: pa.RecordBatch) -> dict[str, object] | None:
         if not batch.num_rows:
@@ -171,7 +206,7 @@ def line_rows(docs: DataFrame, plan: LineDedup) -> DataFrame:
         doc_id, row = (column(batch, name).to_numpy()[owner] for name in ("doc_id", "row"))
         return whole | {"doc_id": doc_id, "row": row, "line_no": (number - begin[owner]).astype(np.int32)}
 
-    schema = "doc_id bigint, row bigint, line_no int, low bigint, high bigint, sim bigint, chars bigint, " + ", ".join(f"{name} int" for name in _BAND)
+    schema = "doc_id bigint, row bigint, line_no int, low bigint, high bigint, sim bigint, chars bigint, fuzzy boolean, " + ", ".join(f"{name} int" for name in _BAND)
     return map_rows(split_evenly(named(docs)), schema, run)
 
 
@@ -180,13 +215,16 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def block_keys(nodes: DataFrame, plan: LineDedup) -> DataFrame:
-    """(key, id, size): a key per band of a node and length class looked into; ``size`` has the length and the SimHash."""
+    """(key, id, size): a key per band of a node and length class looked into, those of several nodes alone; ``size`` has the length and, if asked, the SimHash."""
     step = math.log(LENGTH_CLASS)
     own = F.floor(F.log(F.col("chars").cast("double")) / step)
     upper = F.floor(F.log(F.col("chars") * (100.0 / plan.percent) * 1.000001) / step)
     keys = [F.xxhash64(F.lit(n), name, "class") for n, name in enumerate(_BAND)]
     classed = nodes.withColumn("class", F.explode(F.array_distinct(F.array(own, upper))))
-    return classed.select(F.explode(F.array(*keys)).alias("key"), "id", F.struct("chars", "sim").alias("size"))
+    size = F.struct("chars") if plan.most_bits is None else F.struct("chars", "sim")
+    keyed = classed.select(F.explode(F.array(*keys)).alias("key"), "id", size.alias("size"))
+    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key"))
+    return keyed.join(bounded(shared), "key", "left_semi")
 
 
 def may_link(plan: LineDedup) -> Column:
@@ -236,10 +274,10 @@ def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:
     """(doc_id, row, dropped): the numbers of the lines to drop, for the documents that have any."""
     rows = stored(line_rows(docs, plan), "lines")
     nodes = rows.groupBy("low", "high").agg(
-        F.min(F.struct("doc_id", "row", "line_no")).alias("first"), F.count(F.lit(1)).alias("times"), *(F.min(name).alias(name) for name in ("sim", "chars", *_BAND))
+        F.min(F.struct("doc_id", "row", "line_no")).alias("first"), F.count(F.lit(1)).alias("times"), *(F.min(name).alias(name) for name in ("sim", "chars", "fuzzy", *_BAND))
     )
     nodes = stored(nodes.withColumn("id", F.col("low")), "line-nodes")
-    roots = linked_groups(block_keys(nodes, plan), lambda pairs: confirmed(pairs, nodes, docs, plan), may_link(plan))
+    roots = linked_groups(block_keys(nodes.where("fuzzy"), plan), lambda pairs: confirmed(pairs, nodes, docs, plan), may_link(plan))
     grouped = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left")
     leaders = grouped.where("root is not null").groupBy("root").agg(F.min("first").alias("leader"))
     repeated = grouped.where("times > 1 or root is not null").join(leaders, "root", "left")

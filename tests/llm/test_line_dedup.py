@@ -116,3 +116,12 @@ def test_links_by_edit_distance_alone(spark):
             want.add((doc_id, n))
     got = {(r.doc_id, n) for r in without_repeats(frame(spark, made), WHOLE).collect() for n in r.dropped}
     assert len(want) > 80 and got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_short_and_unspaced_lines(spark):
+    draw = random.Random(4)
+    passage = "".join(chr(draw.randint(0x4E00, 0x5FFF)) for _ in range(60))
+    other = passage[:30] + "国" + passage[31:]
+    rows = [(1, f"All rights reserved.\n\nonly here\n{passage}"), (2, f"ALL rights, reserved\n\n{other}\n---\n---"), (3, f"{passage[:10]}\nall rights\n{passage}")]
+    found = {r.doc_id: r.dropped for r in without_repeats(frame(spark, rows), WHOLE).collect()}
+    assert found == {1: [], 2: [0, 2], 3: [2]}
