@@ -7,6 +7,9 @@ an item contributes its rarest one as a seed, so each item keeps seeds all along
 copied. A second pass finds the seeds in whole texts, joins hits of one item that lie on nearby
 diagonals into windows, and aligns item and window by local alignment over words. The score is the
 best alignment relative to a perfect copy, so edited and partly rewritten copies still score high.
+A copy also needs evidence of its own: a least number of aligned words. A long exact run of an item
+counts whatever its share of the item, and an item too short for that evidence has to occur whole and
+to be made of an n-gram that few documents have.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ HITS = "doc_id bigint, item_id bigint, score double, start_word int, end_word in
 
 @dataclass(frozen=True)
 class Decontamination:
-    """words: n-gram width; stride: n-grams per seed; least_score: relative alignment score that counts as a copy; block_words: test-item words per block."""
+    """words: n-gram width; stride: n-grams per seed; least_score: relative alignment score that counts as a copy; block_words: test-item words per block;
+    least_words: aligned words that a copy needs; least_run: words in a row that count as a copy of any item; rare_share, rare_documents: an item of fewer than ``least_words`` words counts where it is whole and its rarest n-gram is in at most that share of the documents, or in that many."""
 
     words: int = 3
     stride: int = 2
@@ -37,6 +41,10 @@ class Decontamination:
     mismatch: int = -1
     gap: int = 1
     block_words: int = 400_000
+    least_words: int = 8
+    least_run: int = 13
+    rare_share: float = 0.001
+    rare_documents: int = 3
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -89,6 +97,16 @@ def align(item: np.ndarray, window: np.ndarray, plan: Decontamination) -> tuple[
     return best
 
 
+def longest_run(item: np.ndarray, window: np.ndarray) -> int:
+    """Length of the longest stretch of words in a row that item and window share."""
+    row = np.zeros(len(window) + 1, np.int64)
+    best = 0
+    for word in item:
+        row[1:] = np.where(window == word, row[:-1] + 1, 0)
+        best = max(best, int(row.max()))
+    return best
+
+
 class Block:
     """The test items of one block: their words, and which n-gram occurs where."""
 
@@ -108,9 +126,11 @@ class Block:
         at, slot = (np.concatenate(x) for x in zip(*found, strict=True))
         return at, slot
 
-    def seeded(self, documents: np.ndarray) -> Block:
-        """Choose the seeds by the number of documents of each n-gram of ``table``."""
+    def seeded(self, documents: np.ndarray, total: int) -> Block:
+        """Choose the seeds by the number of documents of each n-gram of ``table``, of ``total`` in all."""
         gram, item, place = [], [], []
+        most = max(self.plan.rare_documents, self.plan.rare_share * total)
+        self.rare = np.array([documents[np.searchsorted(self.table, own)].min() <= most for own in self.grams], bool)
         for n, own in enumerate(self.grams):
             count = documents[np.searchsorted(self.table, own)]
             for k in range(0, len(own), self.plan.stride):
@@ -143,11 +163,17 @@ class Block:
             n = int(item[first])
             start = max(0, int(diagonal[first] - slack[first]))
             window = words[start : int(diagonal[end - 1] + lengths[n] + slack[first])]
-            least = self.plan.least_score * self.plan.match * lengths[n]
-            if np.isin(window, self.words[n]).sum() * self.plan.match < least:
+            short = lengths[n] < self.plan.least_words
+            if short and not self.rare[n]:
+                continue
+            run = self.plan.least_run * self.plan.match
+            least = self.plan.match * (lengths[n] if short else max(self.plan.least_score * lengths[n], self.plan.least_words))
+            if np.isin(window, self.words[n]).sum() * self.plan.match < min(least, run):
                 continue
             score, item_end, window_end = align(self.words[n], window, self.plan)
-            if score >= least and score > best.get(n, (0, 0, 0))[0]:
+            if score <= best.get(n, (0, 0, 0))[0]:
+                continue
+            if score >= least or (score >= run and longest_run(self.words[n], window) >= self.plan.least_run):
                 _, _, back = align(self.words[n][:item_end][::-1], window[:window_end][::-1], self.plan)
                 best[n] = (score, start + window_end - back, start + window_end)
         for n, (score, first, end) in best.items():
@@ -170,36 +196,37 @@ def item_blocks(items: DataFrame, plan: Decontamination) -> Iterator[Block]:
             yield Block([(r.item_id, np.array(r.words, np.int64).view(np.uint64)) for r in rows], plan)
 
 
-def gram_documents(docs: DataFrame, block: Block) -> np.ndarray:
-    """In how many documents each n-gram of the block occurs; each task sends a count per n-gram at most."""
+def gram_documents(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
+    """In how many documents each n-gram of the block occurs, and of how many; each task sends a count per n-gram and one more at most."""
     sent = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(sent.value.table)
-        counts = np.zeros(len(lookup.table), np.int64)
+        counts = np.zeros(len(lookup.table) + 1, np.int64)
         for batch in batches:
+            counts[-1] += batch.num_rows
             for text in texts(batch):
                 counts[np.unique(sent.value.located(word_hashes(text), lookup)[1])] += 1
         slots = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(counts[slots])], ["slot", "documents"])
 
-    totals = np.zeros(len(block.table), np.int64)
+    totals = np.zeros(len(block.table) + 1, np.int64)
     for row in docs.select("text").mapInArrow(run, "slot bigint, documents bigint").groupBy("slot").agg(F.sum("documents")).collect():
         totals[row[0]] = row[1]
-    return totals
+    return totals[:-1], int(totals[-1])
 
 
 def contaminated(docs: DataFrame, items: DataFrame, plan: Decontamination = Decontamination()) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word) of each document that holds a copy of a test item.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; more columns are ignored. Null and empty
-    texts match nothing, nor do items without id. Items shorter than an n-gram are sought whole. A
+    texts match nothing, nor do items without id. Items of fewer than ``least_words`` words are sought whole. A
     repeated row gives repeated results; of several copies in one text the first best one is given.
     """
     source = split_evenly(docs.select("doc_id", "text"))
     found = source.sparkSession.createDataFrame([], HITS)
     for block in item_blocks(items, plan):
-        sent = source.sparkSession.sparkContext.broadcast(block.seeded(gram_documents(source, block)))
+        sent = source.sparkSession.sparkContext.broadcast(block.seeded(*gram_documents(source, block)))
 
         def run(batch: pa.RecordBatch, sent=sent) -> dict[str, object]:
             own = sent.value

@@ -74,3 +74,14 @@ def test_odd_rows(spark):
     assert sorted(r.doc_id for r in found) == [6, 6, 50, 51, 51] and {r.item_id for r in found} == {1}
     assert contaminated(frame(spark, []), items(spark, [(1, "a b c d")])).count() == 0
     assert contaminated(docs, items(spark, [])).count() == 0
+
+
+def test_evidence_of_short_items_and_long_runs(spark):
+    long = prose(2000, 59)
+    tests = [(1, "what is the capital"), (2, "capital"), (3, "renowned quixotic zephyr"), (4, "alpha beta gamma delta epsilon zeta eta theta iota kappa"), (5, long)]
+    docs = [(k, f"{prose(k, 20)} what is the capital here {prose(k + 900, 20)}") for k in range(20)]
+    docs += [(50, f"{prose(50, 20)} what is the weather"), (51, f"{prose(51, 9)} renowned quixotic zephyr {prose(52, 9)}"), (52, f"{prose(53, 9)} alpha beta gamma delta epsilon")]
+    docs += [(53, f"{prose(54, 30)} {' '.join(long.split()[20:44])} {prose(55, 30)}"), (54, f"{prose(56, 30)} {' '.join(long.split()[20:30])} {prose(57, 30)}")]
+    docs += [(55, f"{prose(58, 9)} alpha beta gamma delta epsilon zeta eta theta iota {prose(59, 9)}")]
+    found = contaminated(frame(spark, docs), items(spark, tests)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(51, 3), (53, 5), (55, 4)}
