@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from relist.llm.decontaminate import Decontamination, contaminated
 from relist.llm.fingerprint import Fingerprints, fingerprints
+from relist.llm.dialogue import damaged as damaged_conversations, repaired_conversations
 from relist.llm.fixity import Fixity, audit
 from relist.llm.line_dedup import WHOLE, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
 from relist.llm import pii, quality, toxicity
-from relist.llm.oracles import FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, TOKENS_SQL
+from relist.llm.oracles import DIALOGUE_SQL, FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, TOKENS_SQL
 from relist.llm.token_scan import TokenScan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +125,13 @@ ORACLES["op9_mixing"] = MIXING_SQL
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited copy, and how alike they are."""
     return fingerprints(table(spark, sf_dir, "documents"), Fingerprints())
+
+
+@query
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest edits and the digest of what they leave."""
+    turns = table(spark, sf_dir, "conversations")
+    return repaired_conversations(damaged_conversations(turns), turns.select("conv_id"))
+
+
+ORACLES["op13_dialogue_repair"] = DIALOGUE_SQL

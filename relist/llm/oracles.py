@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from relist.llm.checksum import crc32_sql
+
 #: Words end at ASCII white space; only A-Z are lower-cased.
 WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -92,3 +94,78 @@ WITH damage AS (
 SELECT file, "offset", length, page_id, CASE WHEN found_sha256 IS NULL THEN 'missing' ELSE 'changed' END AS kind, expected_sha256, found_sha256
 FROM placed WHERE expected_sha256 IS DISTINCT FROM found_sha256
 """
+
+
+def _least(*candidates: str) -> str:
+    return f"list_sort(list_filter([{', '.join(candidates)}], lambda o: o IS NOT NULL))[1]"
+
+
+def _edit(letter: str, cost: str, to: str, emitted: str) -> str:
+    return f"{{'cost': {cost} + {to}.cost, 'audit': '{letter}' || {to}.audit, 'told': {emitted} || {to}.told}}"
+
+
+def _step(state: int) -> str:
+    """The cheapest way on from ``state`` over row r, with ``after`` what follows it: all edits but insertions."""
+    name, to = ("assistant", 4) if state == 3 else ("user", 3)
+    loss = "CASE WHEN r.fault = 1 THEN 5 ELSE 0 END"
+    keeps = {1: {"s": 2, "u": 3}, 2: {"u": 3}, 3: {"a": 4}, 4: {"u": 3}}[state]
+    kept = [f"CASE WHEN r.fault < 2 AND r.role[1] = '{i}' THEN {_edit('K', loss, f'after[{n}]', 'r.line')} END" for i, n in keeps.items()]
+    rerole = f"CASE WHEN r.fault < 2 THEN {_edit('R', f'1 + {loss}', f'after[{to}]', f'''{name!r} || ':' || r.text || chr(10)''')} END"
+    return _least(_edit("D", "2", f"after[{state}]", "''"), *kept, rerole)
+
+
+_INSERTED = {
+    "user": _edit("I", "5", "to", "'user:' || chr(10)"),
+    "assistant": _edit("I", "5", "to", "'assistant:' || chr(10)"),
+}
+
+
+def _relaxed(plain: str) -> str:
+    """The vector ``plain`` with insertions in front."""
+
+    def put(name: str, to: str) -> str:
+        return _INSERTED[name].replace("to.", f"{to}.")
+
+    inner = f"[p[1], p[2], {_least('p[3]', put('assistant', 'p[4]'))}, {_least('p[4]', put('user', 'p[3]'))}]"
+    outer = f"[{_least('q[1]', put('user', 'q[3]'))}, {_least('q[2]', put('user', 'q[3]'))}, q[3], q[4]]"
+    return f"list_transform(list_transform([{plain}], lambda p: {inner}), lambda q: {outer})[1]"
+
+
+_DONE = "{'cost': 0::BIGINT, 'audit': '', 'told': ''}"
+_NOT_DONE = "{'cost': 1000000000::BIGINT, 'audit': '', 'told': ''}"
+
+DIALOGUE_SQL = rf"""
+WITH plain AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+    FROM conversations
+), hurt AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM plain WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) AS last
+    FROM hurt
+), judged AS (
+    SELECT *, CASE WHEN last = '' THEN 2 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 3
+        WHEN last NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault,
+        lag(role[1]) OVER (PARTITION BY conv_id ORDER BY place) || role[1] AS pair
+    FROM placed
+), gathered AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+        count(*) FILTER (fault = 2)::BIGINT AS blank, count(*) FILTER (fault = 3)::BIGINT AS duplicate, count(*) FILTER (fault = 1)::BIGINT AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal,
+        list({{'role': role, 'text': text, 'line': role || ':' || text || chr(10), 'fault': fault}} ORDER BY place DESC) AS rows
+    FROM judged GROUP BY conv_id
+), solved AS (
+    SELECT *, list_reduce(rows, lambda after, r: {_relaxed("[" + ", ".join(_step(n) for n in range(1, 5)) + "]")},
+        {_relaxed(f"[{_DONE}, {_NOT_DONE}, {_NOT_DONE}, {_DONE}]")})[1] AS best
+    FROM gathered
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost, coalesce(best.audit, '') AS audit,
+    sha256(coalesce(best.told[:-2], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN solved s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
