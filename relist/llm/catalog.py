@@ -15,7 +15,9 @@ from relist.llm.line_dedup import WHOLE, without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
 from relist.llm import pii, quality, toxicity
-from relist.llm.oracles import DIALOGUE_SQL, FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, TOKENS_SQL
+from relist.llm.oracles import DIALOGUE_SQL, FIXITY_SQL, MIXING_SQL, NEAR_DEDUP_SQL, RULES_SQL, SPELLING_SQL, TOKENS_SQL
+from relist.llm.quality_rules import ruled
+from relist.llm.spelling import spelling_variants
 from relist.llm.token_scan import TokenScan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +129,24 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"), Fingerprints())
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, its near words, and the common form that it varies."""
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_spelling_variants"] = SPELLING_SQL
+
+
+@query
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and whether the base rules and the proven rules keep it."""
+    return ruled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("rules")
+
+
+ORACLES["op12_quality_rules"] = RULES_SQL
+
+
 @query
 def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of every damaged conversation, its cheapest edits and the digest of what they leave."""

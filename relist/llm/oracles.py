@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from relist.llm.checksum import crc32_sql
+from relist.llm.quality_rules import RULES, grid
 
 #: Words end at ASCII white space; only A-Z are lower-cased.
 WORD = r"'[^\x20\x09-\x0D]+'"
@@ -169,3 +170,96 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
     sha256(coalesce(best.told[:-2], '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN solved s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 """
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), summed AS (
+    SELECT run, n, {crc32_sql("doc_id || ':' || run")} AS checksum FROM (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL)
+), cut AS (
+    SELECT n, CASE WHEN checksum % 31 = 0 THEN left(run, checksum % length(run)) || substring(run, checksum % length(run) + 2) ELSE run END AS word FROM summed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(cut.n) >= 2
+), gaps AS (
+    SELECT word, n, gap, left(word, gap - 1) || substring(word, gap + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS t(gap)
+), pairs AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.gap = b.gap AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word
+), near AS (
+    SELECT word, count(*) AS n_near, min({{'n': -other_n, 'other': other}}) AS best FROM pairs GROUP BY word
+), judged AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 10 * w.n THEN best.other END AS form, CASE WHEN -best.n >= 10 * w.n THEN -best.n END AS form_n
+    FROM words w LEFT JOIN near ON near.word = w.word
+), ways(word, reached) AS (
+    SELECT word, word FROM judged
+    UNION ALL
+    SELECT ways.word, judged.form FROM ways JOIN judged ON judged.word = ways.reached WHERE judged.form IS NOT NULL
+)
+SELECT j.word, j.n, j.n_near, j.form, j.form_n::BIGINT AS form_n, ways.reached AS root
+FROM judged j JOIN ways ON ways.word = j.word JOIN judged l ON l.word = ways.reached AND l.form IS NULL
+"""
+
+_GRID = f"{grid()}::INTEGER[]"
+_MEASURES = {
+    "symbols": "least(1000, 1000 * n_symbols // greatest(word_chars, 1))",
+    "capitals": "least(1000, 1000 * upper // greatest(letters, 1))",
+    "marks": "least(1000, 1000 * marks // greatest(n_words, 1))",
+    "bare": "least(1000, 1000 * bare // greatest(n_words, 1))",
+    "repeats": "least(1000, 1000 * n_repeat_words // greatest(n_words, 1))",
+    "copies": "least(1000, 1000 * n_dup_lines // greatest(n_lines, 1))",
+    "spread": "least(1000, 100 * word_chars // greatest(n_words, 1))",
+}
+
+RULES_SQL = rf"""
+WITH rowed AS (
+    SELECT row_number() OVER () AS id, doc_id, lang AS stratum, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {WORD}) AS w FROM documents
+), grams AS (
+    SELECT id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram FROM rowed, unnest(range(1, len(w) - 1)) AS t(i)
+), again AS (
+    SELECT id, i FROM grams QUALIFY count(*) OVER (PARTITION BY id, gram) >= 2
+), covered AS (
+    SELECT id, count(DISTINCT i + k)::BIGINT AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY id
+), lined AS (
+    SELECT *, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM rowed
+), counted AS (
+    SELECT l.id, doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+        length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(text, '[^!?]', '', 'g')) AS marks,
+        len(list_filter(w, lambda x: NOT regexp_matches(x, '[0-9A-Za-z]|[^\x00-\x7F]'))) AS bare
+    FROM lined l LEFT JOIN covered c ON c.id = l.id
+), measured AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [{", ".join(_MEASURES[rule] for rule in RULES)}] AS measures FROM counted
+), labelled AS (
+    SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), binned AS (
+    SELECT stratum, {crc32_sql("m.doc_id::VARCHAR")} % 4 = 0 AS choosing, good, rule, len(list_filter({_GRID}, lambda c: c >= measures[rule])) AS bin
+    FROM measured m JOIN labelled USING (doc_id), (SELECT unnest(range(1, {len(RULES) + 1})) AS rule) WHERE NOT base_failed
+), steps AS (
+    SELECT unnest(range(0, {len(grid())})) AS step
+), gains AS (
+    SELECT rule, step, sum(CASE WHEN bin > step THEN 0 WHEN good THEN -4 ELSE 1 END) AS gain FROM binned, steps WHERE choosing GROUP BY ALL
+), wanted AS (
+    SELECT rule, min(step) AS last FROM gains WHERE gain > 0 AND gain = (SELECT max(gain) FROM gains g WHERE g.rule = gains.rule) GROUP BY rule
+), strata AS (
+    SELECT count(*) AS n FROM (SELECT DISTINCT stratum FROM binned WHERE NOT choosing)
+), parts AS (
+    SELECT 0.05::DOUBLE / greatest(1, (SELECT count(*) FROM wanted)) AS share, 0.05::DOUBLE / greatest(1, (SELECT count(*) FROM wanted) * (SELECT n FROM strata)) AS error
+), tested AS (
+    SELECT stratum, b.rule, step, last, count(*) FILTER (good) AS n, count(*) FILTER (good AND bin <= step) AS k
+    FROM binned b JOIN wanted USING (rule), steps WHERE NOT choosing AND step <= last GROUP BY ALL
+), judged AS (
+    SELECT *, n > k AND list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(share) + (n - i) * ln(1 - share)))) <= error AS proven
+    FROM tested, parts
+), cutoffs AS (
+    SELECT stratum, rule, coalesce(min(step) FILTER (NOT proven), last + 1) - 1 AS step FROM judged GROUP BY stratum, rule, last
+), broken AS (
+    SELECT DISTINCT m.id FROM measured m JOIN cutoffs c ON m.stratum IS NOT DISTINCT FROM c.stratum WHERE c.step >= 0 AND m.measures[c.rule] > ({_GRID})[c.step + 1]
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND id NOT IN (SELECT id FROM broken) AS kept FROM measured
+"""
