@@ -1,9 +1,11 @@
 """Connected groups from bucketed candidates, with every link confirmed and no bucket expanded into all its pairs.
 
 Rows of a bucket are first compared with one leader, which is linear in the bucket. Rows that end up
-in one group need no further comparison. What remains are the buckets that still hold several
-groups: there each row meets the rows of the *other* groups, once, so that no link that could join
-two groups is missed. Two rows of one group are never paired.
+in one group need no further comparison. A bucket that still holds several groups goes into another
+round without its leader: either with a new leader from outside the group of the last one, or refined
+into smaller buckets that every link still possible shares. Buckets that have become small, or stay
+open over all rounds, name the pairs of different groups outright, so that no link is missed. Two rows
+of one group are never paired.
 """
 
 from __future__ import annotations
@@ -16,7 +18,12 @@ from pyspark.sql import functions as F
 from relist.llm.runtime import cut_lineage
 
 Confirm = Callable[[DataFrame], DataFrame]
-Crossing = Callable[[DataFrame], DataFrame]
+Refine = Callable[[DataFrame], DataFrame]
+
+#: An open bucket of at most this many rows names its pairs outright; how a larger one is compared leads to the same links.
+SMALL_BUCKET = 8
+#: Rounds of leaders before what is still open names its pairs.
+ROUNDS = 6
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -56,42 +63,61 @@ def _star(directed: DataFrame, wanted: Column, own: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
-def linked_groups(keyed: DataFrame, confirm: Confirm, may_link: Column, crossing: Crossing | None = None) -> DataFrame:
+def linked_groups(keyed: DataFrame, confirm: Confirm, may_link: Column, refine: Refine | None = None) -> DataFrame:
     """(node, root) of all nodes that are linked with another one.
 
     ``keyed``: (key, id, size), one row per bucket of a node. ``confirm`` keeps the true links among
     the pairs (a, b, size_a, size_b) that it gets. ``may_link`` is a cheap necessary condition on
-    size_a and size_b. ``crossing`` may name fewer pairs of different groups than ``crossing_pairs``,
-    as long as it leaves out no link.
+    size_a and size_b. ``refine`` may replace the open buckets (``key, id, size, lead, root, lead_root``,
+    without their leaders) by others, ``key, id, size, root, lead_root, weight``, as long as two rows
+    of different groups that can be linked still share one; the row of the greatest weight leads.
 
-    The leader of a bucket is the node that meets most others over all its buckets, which in a group
+    The first leader of a bucket is the node that meets most others over all its buckets, which in a group
     of edited copies tends to be the one that is nearest to all of them.
     """
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
     members = cut_lineage(keyed.join(shared.select("key", "rows"), "key"))
-    met = members.groupBy("id").agg(F.sum("rows").alias("met"))
-    leaders = members.select("key", "id", "size").join(met, "id").groupBy("key").agg(F.max(F.struct("met", -F.col("id"), "size")).alias("top"))
-    leaders = leaders.select("key", (-F.col("top.col2")).alias("lead"), F.col("top.size").alias("lead_size"))
-    members = cut_lineage(members.join(leaders, "key"))
-    stars = members.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b"), F.col("lead_size").alias("size_a"), F.col("size").alias("size_b"))
-    links = cut_lineage(confirm(stars.where(may_link).distinct()).select("a", "b"))
-    roots = components(links)
-
-    rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    lead_root = F.max(F.when(F.col("id") == F.col("lead"), F.col("root"))).alias("lead_root")
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), lead_root).where("low < high")
-    rest = cut_lineage(rooted.where("id <> lead").join(open_keys.select("key", "lead_root"), "key"))
-    pairs = (crossing or crossing_pairs)(rest).where(may_link).distinct()
-    more = cut_lineage(confirm(pairs).select("a", "b"))
-    if more.isEmpty():
-        return roots
-    return components(links.unionByName(more))
+    met = members.groupBy("id").agg(F.sum("rows").alias("weight"))
+    members = members.select("key", "id", "size").join(met, "id").withColumns({"root": F.col("id"), "lead_root": F.lit(None).cast("bigint")})
+    links, roots = None, None
+    for turn in range(ROUNDS):
+        outside = F.coalesce(F.col("root") != F.col("lead_root"), F.lit(True))
+        leaders = members.groupBy("key").agg(F.max(F.struct(outside.alias("out"), F.col("weight"), (-F.col("id")).alias("id"), F.col("size"), F.col("root"))).alias("top"))
+        leaders = leaders.select("key", (-F.col("top.id")).alias("lead"), F.col("top.size").alias("lead_size"), F.col("top.root").alias("of"))
+        members = cut_lineage(members.drop("lead_root").join(leaders, "key"))
+        stars = members.where("root <> of").select(F.col("lead").alias("a"), F.col("id").alias("b"), F.col("lead_size").alias("size_a"), F.col("size").alias("size_b"))
+        found = cut_lineage(confirm(stars.where(may_link).distinct()).select("a", "b"))
+        if turn == 0 or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
+        rooted = members.drop("root", "of").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        lead_root = F.max(F.when(F.col("id") == F.col("lead"), F.col("root"))).alias("lead_root")
+        sides = rooted.groupBy("key").agg(
+            F.min(F.when(F.col("id") != F.col("lead"), F.col("root"))).alias("low"),
+            F.max(F.when(F.col("id") != F.col("lead"), F.col("root"))).alias("high"),
+            lead_root,
+            F.count(F.lit(1)).alias("rows"),
+        )
+        rest = cut_lineage(rooted.where("id <> lead").join(sides.where("low < high").select("key", "lead_root", "rows"), "key"))
+        if rest.isEmpty():
+            return roots
+        last = turn == ROUNDS - 1
+        direct = crossing_pairs(rest if last else rest.where(F.col("rows") - 1 <= SMALL_BUCKET)).where(may_link).distinct()
+        found = cut_lineage(confirm(direct).select("a", "b"))
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = components(links)
+        large = rest.where(F.col("rows") - 1 > SMALL_BUCKET)
+        if last or large.isEmpty():
+            return roots
+        members = refine(large) if refine else large.select("key", "id", "size", "root", "lead_root", "weight")
+    return roots
 
 
 def crossing_pairs(rest: DataFrame) -> DataFrame:
-    """(a, b, size_a, size_b): rows outside their leader's group with all rows of other groups in the bucket.
+    """(a, b, size_a, size_b): the rows of different groups in each bucket.
 
-    ``rest``: (key, id, size, lead, root, lead_root), the rows of buckets with several groups, without their leaders.
+    ``rest``: (key, id, size, root, lead_root). Rows of the group of the bucket's last leader meet those outside it alone.
     """
     left = rest.where("root <> lead_root").select("key", F.col("id").alias("x"), F.col("size").alias("size_x"), F.col("root").alias("root_x"))
     right = rest.select("key", F.col("id").alias("y"), F.col("size").alias("size_y"), F.col("root").alias("root_y"), (F.col("root") == F.col("lead_root")).alias("led"))

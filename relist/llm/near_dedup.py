@@ -19,18 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relist.llm.grouping import crossing_pairs, linked_groups, ordered_pairs
+from relist.llm.grouping import linked_groups
 from relist.llm.hashing import Words, digest, mix, shingles, signed
 from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, texts
 
 
-#: A bucket of at most this many rows names its pairs outright; how a larger one is compared leads to the same links.
-SMALL_BUCKET = 8
-
-
 @dataclass(frozen=True)
 class NearDedup:
     """words: shingle width; percent: least Jaccard similarity of a link, in percent."""
@@ -106,41 +102,39 @@ def confirmed(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
     return overlaps(pairs, docs, plan).where(F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * plan.percent)
 
 
-def crossing_by_difference(rest: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
-    """Pairs of different groups that can still be links, by how the sets differ from that of their leader.
+def by_additions(rest: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
+    """Buckets that all links still possible share, by how the sets differ from that of their leader.
 
-    A small bucket names all its pairs. In a large one, x and y share with their leader c_x and c_y
-    elements and have further ones, their additions. Their intersection is at most min(c_x, c_y) plus
-    the additions they share. So either both share enough with the leader, or they have an addition
-    in common, and only such pairs are named. Random edits of one text have few common additions.
+    x and y share with the leader c_x and c_y elements and have further ones, their additions. Their
+    intersection is at most min(c_x, c_y) and what their additions share. Whatever the size of y, a
+    link of x thus needs at least k = (percent * size - 100 * c) / (100 + percent) common additions.
+    A row for which this is not above zero is *near*. Near rows share a bucket of their own and find a
+    new leader there. Any other link has a row that is not near, so its additions have a prefix
+    filter: in order of frequency, two sets that share k elements have one in common among all
+    but the last k - 1 of each. Additions that only one group has cannot be shared by a link, and go first.
+    A common addition thus becomes a key only for rows that share many. Random edits of one text share few.
     """
-    large = rest.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > SMALL_BUCKET).select("key")
-    rest = rest.join(large.withColumn("large", F.lit(True)), "key", "left")
-    direct = crossing_pairs(rest.where("large is null"))
-    grouped = cut_lineage(rest.where("large").select("lead", "id", "size", "root", "lead_root").distinct())
-    if grouped.isEmpty():
-        return direct
+    grouped = cut_lineage(rest.select("lead", "id", "size", "root", "lead_root").distinct())
     additions = F.array_except("right", "left").alias("additions")
     star = overlaps(grouped.select(F.col("lead").alias("a"), F.col("id").alias("b")), docs, plan)
-    known = cut_lineage(grouped.join(star.select(F.col("a").alias("lead"), F.col("b").alias("id"), "common", additions), ["lead", "id"]))
-    columns = ["id", "size", "root", "common"]
-    near = known.where(F.col("common") * 100 >= F.col("size") * plan.percent)
-    plain = known.select("lead", "lead_root", *columns, F.explode("additions").alias("addition"))
-    frequent = plain.groupBy("lead", "addition").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("lead", "addition")
-    shared = cut_lineage(plain.join(frequent, ["lead", "addition"]))
-
-    def met(rows: DataFrame, keys: list[str]) -> DataFrame:
-        left = rows.where("root <> lead_root").select(*keys, *(F.col(c).alias(f"{c}_x") for c in columns))
-        right = rows.select(*keys, *(F.col(c).alias(f"{c}_y") for c in columns), (F.col("root") == F.col("lead_root")).alias("led"))
-        return left.join(right, keys).where("root_x <> root_y and (led or id_x < id_y)")
-
-    smaller = F.least("common_x", "common_y")
-    needed = (F.col("size_x") + F.col("size_y")) * plan.percent
-    both_near = met(near, ["lead"]).where(smaller * (100 + plan.percent) >= needed)
-    possible = smaller + F.least(F.col("size_x") - F.col("common_x"), F.col("size_y") - F.col("common_y"))
-    by_addition = met(shared, ["lead", "addition"]).where(possible * (100 + plan.percent) >= needed)
-    pairs = both_near.drop("lead").unionByName(by_addition.drop("lead", "addition")).withColumnsRenamed({"id_x": "x", "id_y": "y"})
-    return direct.unionByName(ordered_pairs(pairs))
+    needed = F.col("size") * plan.percent - F.col("common") * 100
+    known = grouped.join(star.select(F.col("a").alias("lead"), F.col("b").alias("id"), "common", additions), ["lead", "id"])
+    known = cut_lineage(known.withColumns({"near": needed <= 0, "k": F.ceil(needed / (100 + plan.percent))}))
+    rows = known.select("lead", "id", "root", "near", "k", F.explode("additions").alias("addition"))
+
+    def open_keys(rows: DataFrame) -> DataFrame:
+        sides = rows.groupBy("lead", "addition").agg(
+            F.count(F.lit(1)).alias("times"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("near").alias("all_near")
+        )
+        return sides.where("low < high and not all_near").select("lead", "addition", "times")
+
+    of_row = Window.partitionBy("lead", "id")
+    ranked = rows.join(open_keys(rows), ["lead", "addition"])
+    ranked = ranked.withColumns({"place": F.row_number().over(of_row.orderBy("times", "addition")), "many": F.count(F.lit(1)).over(of_row)})
+    ranked = cut_lineage(ranked.where(F.col("near") | (F.col("place") <= F.col("many") - F.col("k") + 1)).drop("times"))
+    keyed = ranked.join(open_keys(ranked).drop("times"), ["lead", "addition"]).select(F.xxhash64("lead", "addition").alias("key"), "lead", "id")
+    near = known.where("near").select(F.xxhash64("lead").alias("key"), "lead", "id")
+    return keyed.unionByName(near).join(grouped, ["lead", "id"]).select("key", "id", "size", "root", "lead_root", F.col("size").alias("weight"))
 
 
 def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame:
@@ -163,7 +157,7 @@ def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame
         keyed,
         lambda pairs: confirmed(pairs, docs, plan),
         smaller * 100 >= larger * plan.percent,
-        lambda rest: crossing_by_difference(rest, docs, plan),
+        lambda rest: by_additions(rest, docs, plan),
     )
     named = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("low", "high", F.coalesce("root", "id").alias("node_root"))
     found = rows.drop("bands").join(named, ["low", "high"], "left")

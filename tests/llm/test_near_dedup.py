@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-import relist.llm.near_dedup as near
+import relist.llm.grouping as grouping
 from relist.llm.grouping import components
 from relist.llm.near_dedup import NearDedup, near_duplicates, one_of_each, sketch
 from tests.llm.cases import edited, frame, odd_rows, prose
@@ -48,13 +48,25 @@ def test_equals_all_pairs(spark, words, percent, bands):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
-def test_small_and_large_buckets_lead_to_the_same_groups(spark, monkeypatch):
-    docs = frame(spark, group_rows())
-    results = []
-    for size in (0, 10_000):
-        monkeypatch.setattr(near, "SMALL_BUCKET", size)
-        results.append({tuple(r) for r in near_duplicates(docs, NearDedup(3, 85, 24, 4)).collect()})
-    assert results[0] == results[1]
+def layered_rows():
+    """Parts of one text, copies of it with common and with own additions, and additions shared by rows far from the base."""
+    base = prose(5, 160).split()
+    rows = [(1000 + k, " ".join(base[:k])) for k in range(60, 160, 3)]
+    rows += [(2000 + k, " ".join(base[k:])) for k in range(5, 60, 5)]
+    for block in range(4):
+        extra = prose(50 + block, 30).split()
+        rows += [(3000 + 100 * block + k, " ".join(base[: 150 - 2 * k] + extra[: 10 + 2 * k])) for k in range(9)]
+        rows += [(4000 + 100 * block + k, edited(" ".join(base + extra), 7 * block + k, k)) for k in range(12)]
+    return rows
+
+
+@pytest.mark.parametrize(("size", "rounds"), [(0, 6), (0, 2), (10_000, 6)])
+def test_small_and_large_buckets_lead_to_the_same_groups(spark, monkeypatch, size, rounds):
+    monkeypatch.setattr(grouping, "SMALL_BUCKET", size)
+    monkeypatch.setattr(grouping, "ROUNDS", rounds)
+    rows = group_rows() + layered_rows()
+    found = near_duplicates(frame(spark, rows), NearDedup(3, 85, 24, 4)).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in found} == {(k, *v) for k, v in brute(rows, 3, 85).items()}
 
 
 def test_broadcast_and_shuffle_lead_to_the_same_groups(spark, monkeypatch):

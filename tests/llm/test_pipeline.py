@@ -48,5 +48,5 @@ def test_stages_on_odd_rows(spark):
 
 
 def test_registered(spark):
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
