@@ -11,7 +11,7 @@ from relist.llm.decontaminate import Decontamination, contaminated
 from relist.llm.fingerprint import Fingerprints, fingerprints
 from relist.llm.dialogue import damaged as damaged_conversations, repaired_conversations
 from relist.llm.fixity import Fixity, audit
-from relist.llm.line_dedup import WHOLE, without_repeats
+from relist.llm.line_dedup import without_repeats
 from relist.llm.mixing import Mixing, mixed
 from relist.llm.near_dedup import NearDedup, near_duplicates
 from relist.llm import pii, quality, toxicity
@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated lines, and the numbers of the lines that went."""
-    return without_repeats(table(spark, sf_dir, "documents"), WHOLE).select("doc_id", "n_lines", "dropped", "text")
+    return without_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "dropped", "text")
 
 
 @query

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from relist.llm.hashing import Words, mix, signed
 from relist.llm.line_dedup import normalised
-from relist.llm.runtime import column, cut_lineage, map_rows, split_evenly, texts
+from relist.llm.runtime import column, cut_lineage, map_rows, shared, sliced, split_evenly, texts
 
 HITS = "doc_id bigint, item_id bigint, score double, start_word int, end_word int"
 
@@ -198,7 +198,7 @@ def item_blocks(items: DataFrame, plan: Decontamination) -> Iterator[Block]:
 
 def gram_documents(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
     """In how many documents each n-gram of the block occurs, and of how many; each task sends a count per n-gram and one more at most."""
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+    sent = shared(docs.sparkSession, block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(sent.value.table)
@@ -226,7 +226,7 @@ def contaminated(docs: DataFrame, items: DataFrame, plan: Decontamination = Deco
     source = split_evenly(docs.select("doc_id", "text"))
     found = source.sparkSession.createDataFrame([], HITS)
     for block in item_blocks(items, plan):
-        sent = source.sparkSession.sparkContext.broadcast(block.seeded(*gram_documents(source, block)))
+        sent = shared(source.sparkSession, block.seeded(*gram_documents(source, block)))
 
         def run(batch: pa.RecordBatch, sent=sent) -> dict[str, object]:
             own = sent.value
@@ -241,3 +241,24 @@ def contaminated(docs: DataFrame, items: DataFrame, plan: Decontamination = Deco
 
         found = found.unionByName(map_rows(source, HITS, run))
     return found
+
+
+def without_copies(docs: DataFrame, items: DataFrame, plan: Decontamination = Decontamination()) -> DataFrame:
+    """The rows of ``docs`` that hold no copy of a test item, all columns as they are; each row is judged by its own text, no join.
+
+    Null and empty texts stay, and so does all where there are no items. Rows without doc_id or with a repeated one are judged like any other.
+    """
+    kept = split_evenly(docs)
+    for block in item_blocks(items, plan):
+        sent = shared(docs.sparkSession, block.seeded(*gram_documents(docs, block)))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own = sent.value
+            lookup = Lookup(np.unique(own.seed))
+            for whole in batches:
+                for batch in sliced(whole):
+                    clean = [next(own.matches(word_hashes(text), lookup), None) is None for text in texts(batch)]
+                    yield batch.filter(pa.array(clean, pa.bool_()))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept

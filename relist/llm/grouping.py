@@ -1,10 +1,10 @@
 """Connected groups from bucketed candidates, with every link confirmed and no bucket expanded into all its pairs.
 
 Rows of a bucket are first compared with one leader, which is linear in the bucket. Rows that end up
-in one group need no further comparison. A bucket that still holds several groups goes into another
-round without its leader: either with a new leader from outside the group of the last one, or refined
-into smaller buckets that every link still possible shares. Buckets that have become small, or stay
-open over all rounds, name the pairs of different groups outright, so that no link is missed. Two rows
+in one group need no further comparison. A bucket that still holds several groups, if small, names the pairs of
+different groups outright. Of a large one, a caller that knows more of its rows finds the remaining links
+itself; otherwise it goes into another round without its leader, with a new one from outside the group
+of the last, and what stays open over all rounds names its pairs, so that no link is missed. Two rows
 of one group are never paired.
 """
 
@@ -15,10 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.runtime import cut_lineage
+from relist.llm.runtime import cut_lineage, stored
 
 Confirm = Callable[[DataFrame], DataFrame]
-Refine = Callable[[DataFrame], DataFrame]
+Finish = Callable[[DataFrame], DataFrame]
 
 #: An open bucket of at most this many rows names its pairs outright; how a larger one is compared leads to the same links.
 SMALL_BUCKET = 8
@@ -63,20 +63,23 @@ def _star(directed: DataFrame, wanted: Column, own: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
-def linked_groups(keyed: DataFrame, confirm: Confirm, may_link: Column, refine: Refine | None = None) -> DataFrame:
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """(key, id, size, rows): the rows of keys that several ids have, with how many rows; written once."""
+    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
+    return stored(keyed.join(shared.select("key", "rows"), "key"), "shared-keys")
+
+
+def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish: Finish | None = None) -> DataFrame:
     """(node, root) of all nodes that are linked with another one.
 
-    ``keyed``: (key, id, size), one row per bucket of a node. ``confirm`` keeps the true links among
+    ``members``: (key, id, size, rows), one row per bucket of a node, as ``shared_keys`` gives them. ``confirm`` keeps the true links among
     the pairs (a, b, size_a, size_b) that it gets. ``may_link`` is a cheap necessary condition on
-    size_a and size_b. ``refine`` may replace the open buckets (``key, id, size, lead, root, lead_root``,
-    without their leaders) by others, ``key, id, size, root, lead_root, weight``, as long as two rows
-    of different groups that can be linked still share one; the row of the greatest weight leads.
+    size_a and size_b. ``finish`` may take the large open buckets (key, id, size, lead, root, lead_root;
+    without their leaders) and give all links (a, b) between their groups.
 
     The first leader of a bucket is the node that meets most others over all its buckets, which in a group
     of edited copies tends to be the one that is nearest to all of them.
     """
-    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
-    members = cut_lineage(keyed.join(shared.select("key", "rows"), "key"))
     met = members.groupBy("id").agg(F.sum("rows").alias("weight"))
     members = members.select("key", "id", "size").join(met, "id").withColumns({"root": F.col("id"), "lead_root": F.lit(None).cast("bigint")})
     links, roots = None, None
@@ -110,7 +113,10 @@ def linked_groups(keyed: DataFrame, confirm: Confirm, may_link: Column, refine:
         large = rest.where(F.col("rows") - 1 > SMALL_BUCKET)
         if last or large.isEmpty():
             return roots
-        members = refine(large) if refine else large.select("key", "id", "size", "root", "lead_root", "weight")
+        if finish:
+            more = cut_lineage(finish(large))
+            return roots if more.isEmpty() else components(links.unionByName(more))
+        members = large.select("key", "id", "size", "root", "lead_root", "weight")
     return roots
 
 

@@ -1,16 +1,21 @@
-"""Fuzzy line deduplication: weighted minwise hashes of the words of a line, verified edit similarity.
+"""Fuzzy line deduplication: SimHash blocks of normalised lines, verified edit similarity.
 
 A line is normalised to its lower-case words, with ASCII punctuation and white space as one space.
-Equal normalised lines are one node, aggregated before anything is compared. A node has ten bands of
-three weighted minwise hashes of its words; a word weighs by the square of its length, so that lines
-do not look alike for their short common words. Two lines that share a band are candidates. The edit
-similarity bounds the ratio of two lengths, so a coarse length class is part of each key; a line near
+Equal normalised lines are one node, aggregated before anything is compared. The SimHash of a node has
+``BLOCKS`` blocks of 32 bits. A bit is the weighted majority of that bit of the word hashes; the weight
+of a word is its squared length over an exponential draw, cubed, with draws of its own for
+each block. So a few words, other ones in each block, decide a block, and an edit leaves the
+blocks alone that its words do not decide. By the pigeonhole principle, edits that reach at most three of
+the five blocks leave two as they were: every two blocks are a key, and lines that share one are candidates.
+
+Lines of few words, and of scripts without spaces, have blocks over their character triples too.
+A coarse length class is part of each key, as edit similarity bounds the ratio of two lengths; a line near
 the end of its class also looks into the next one. Candidates are verified by edit distance
 on the full normalised lines, and one occurrence of each connected group stays: the first by doc_id
 and line number.
 
-Two lines at the least similarity share a band with high probability where whole words differ, less
-often where changed characters are spread over most words; the README has measured figures.
+The README has measured recall. Edits scattered over most words of a line are missed the more often the
+more there are.
 """
 
 from __future__ import annotations
@@ -18,44 +23,42 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
-from itertools import pairwise
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.grouping import linked_groups
+from relist.llm.grouping import linked_groups, shared_keys
 from relist.llm.hashing import Words, mix, signed
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, stored, texts
+from relist.llm.runtime import bounded, column, cut_lineage, map_rows, release, split_evenly, stored, texts
 
 _PUNCTUATION = b"\t\r\x0b\x0c" + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _PLAIN = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 
 #: Runs of scripts that are written without spaces: Thai, Lao, Myanmar, Khmer, Kana, Han.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]{2,}")
-#: Bands of a line, and minwise hashes in each.
-BANDS, DEPTH = 10, 3
-_SEEDS = mix(np.arange(101, 101 + -(-BANDS * DEPTH // 2), dtype=np.uint64))
-_BAND = tuple(f"band{n}" for n in range(BANDS))
-LENGTH_CLASS = 2.0
+#: Blocks of a SimHash; two of them make a key.
+BLOCKS = 5
+KEYS = tuple(combinations(range(BLOCKS), 2))
+#: A line of at most this many words has blocks over its character triples too; one of fewer words than ``WORDS`` has these alone.
+FEW_WORDS, WORDS = 6, 3
+_SEEDS = mix(np.arange(101, 101 + BLOCKS, dtype=np.uint64))
+_WORD_BLOCKS = tuple(f"block{n}" for n in range(BLOCKS))
+_TRIPLE_BLOCKS = tuple(f"triple{n}" for n in range(BLOCKS))
+#: The signs of four bits, each in 16 bits of a number, so that one addition counts four majorities.
+_LANES = np.array([sum(1 << 16 * k for k in range(4) if nibble >> k & 1) for nibble in range(16)], np.uint64)
+LENGTH_CLASS = 4.0
 #: Characters that are hashed together in one go, for speed alone.
 JOINED = 100_000
 
 
 @dataclass(frozen=True)
 class LineDedup:
-    """min_words: a line with fewer words is left alone; percent: least edit similarity of a link, in percent; most_bits: of their SimHashes in which linked lines may differ, None for no such condition; every_line: whether equal normalised lines are folded whatever their length, and a line of scripts without spaces with ``min_points`` code points or more is linked by similarity too, like one with enough words."""
+    """percent: least edit similarity of a link, in percent."""
 
-    min_words: int = 5
     percent: int = 80
-    most_bits: int | None = 3
-    every_line: bool = False
-    min_points: int = 20
-
-
-#: Links by edit similarity alone, equal lines of any length; what the queries use.
-WHOLE = LineDedup(most_bits=None, every_line=True)
 
 
 def normalised(text: str) -> bytes:
@@ -63,18 +66,12 @@ def normalised(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
-def line_features(text: str, min_words: int) -> tuple[np.ndarray, ...]:
-    """Line number, two digests, SimHash and length in code points (words and single spaces) of each line with enough words."""
-    found = line_table(text, LineDedup(min_words=min_words, most_bits=64))
-    return tuple(found[name] for name in ("line_no", "low", "high", "sim", "chars"))
-
-
-def line_table(text: str, plan: LineDedup) -> dict[str, np.ndarray]:
-    """Line number, two digests, length in code points, bands and, if asked, SimHash of each line with enough words, or of each line with words; ``fuzzy`` says which may be linked by similarity."""
+def line_table(text: str) -> dict[str, np.ndarray]:
+    """Line number, two digests, length in code points and blocks of each line with words; blocks over triples are 0 where the line has none (``triples``)."""
     data = normalised(text)
     words = Words(data)
     if not len(words):
-        return {name: np.zeros(0, np.int64) for name in ("line_no", "low", "high", "sim", "chars", *_BAND)} | {"fuzzy": np.zeros(0, bool)}
+        return {name: np.zeros(0, np.int64) for name in ("line_no", "low", "high", "chars", *_WORD_BLOCKS, *_TRIPLE_BLOCKS)} | {name: np.zeros(0, bool) for name in ("by_words", "by_triples")}
     breaks = np.flatnonzero(words.raw == 10)
     line = np.searchsorted(breaks, words.start)
     first = np.flatnonzero(np.diff(line, prepend=-1))
@@ -82,66 +79,60 @@ def line_table(text: str, plan: LineDedup) -> dict[str, np.ndarray]:
     term = mix(words.hash + mix((np.arange(len(line)) - np.repeat(first, count)).astype(np.uint64)))
     low = np.add.reduceat(term, first)
     high = np.add.reduceat(mix(term ^ np.uint64(0x2545F491)), first)
-    sim = simhashes(words, first) if plan.most_bits is not None else np.zeros(len(first), np.uint64)
     points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
     chars = np.add.reduceat(points[words.end] - points[words.start], first) + count - 1
-    fuzzy = count >= plan.min_words
-    columns = {"line_no": line[first], "low": signed(low), "high": signed(high), "sim": signed(sim), "chars": chars, **bands(words, first)}
-    if plan.every_line:
-        lines = columns["line_no"]
-        for name, values in unspaced_bands(text, plan, lines, chars).items():
-            if name == "line_no":
-                at = np.searchsorted(lines, values)
-                fuzzy[at] = True
-            else:
-                columns[name][at] = values
-        return columns | {"fuzzy": fuzzy}
-    return {name: values[fuzzy] for name, values in columns.items()} | {"fuzzy": fuzzy[fuzzy]}
-
-
-def unspaced_bands(text: str, plan: LineDedup, lines: np.ndarray, chars: np.ndarray) -> dict[str, np.ndarray]:
-    """Line number and bands of the long enough lines with a run of an unspaced script, each two neighbours of a run taken as a word."""
-    split, found = normalised(text).split(b"\n"), {}
-    for number, length in zip(lines, chars, strict=True):
-        if length < plan.min_points or len(split[number]) == length:
-            continue
-        paired, runs = UNSPACED.subn(in_pairs, split[number].decode("utf-8", "replace"))
-        if runs:
-            found[int(number)] = paired
-    if not found:
-        return {}
-    words = Words("\n".join(found.values()).encode())
+    found = {"line_no": line[first], "low": signed(low), "high": signed(high), "chars": chars}
+    found |= dict(zip(_WORD_BLOCKS, simhash_blocks(words, first, count, by_length=True), strict=True))
+    return found | triple_blocks(data, words.raw, line[first], count) | {"by_words": count >= WORDS}
+
+
+def triple_blocks(data: bytes, raw: np.ndarray, lines: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+    """Blocks over the character triples of the lines of few words or of a script without spaces, 0 for all others."""
+    found = {name: np.zeros(len(lines), np.int32) for name in _TRIPLE_BLOCKS} | {"by_triples": np.zeros(len(lines), bool)}
+    wide = np.unique(np.searchsorted(np.flatnonzero(raw == 10), np.flatnonzero(raw >= 0xE0)))  # lines with a character of three bytes or more
+    chosen = np.flatnonzero((count <= FEW_WORDS) | np.isin(lines, wide))
+    if not len(chosen):
+        return found
+    split, parts, places = data.split(b"\n"), [], []
+    for place in chosen:
+        line = b" ".join(split[lines[place]].split()).decode("utf-8", "replace")
+        if count[place] <= FEW_WORDS or UNSPACED.search(line):
+            marked = f"_{line.replace(' ', '_')}_"
+            parts.append(" ".join(marked[k : k + 3] for k in range(len(marked) - 2)))
+            places.append(place)
+    if not places:
+        return found
+    words = Words("\n".join(parts).encode("utf-8", "surrogatepass"))
     line = np.searchsorted(np.flatnonzero(words.raw == 10), words.start)
-    return {"line_no": np.array(list(found)), **bands(words, np.flatnonzero(np.diff(line, prepend=-1)))}
-
-
-def in_pairs(run: re.Match[str]) -> str:
-    return " " + " ".join(map("".join, pairwise(run.group()))) + " "
-
+    first = np.flatnonzero(np.diff(line, prepend=-1))
+    for name, block in zip(_TRIPLE_BLOCKS, simhash_blocks(words, first, np.diff(first, append=len(line)), by_length=False), strict=True):
+        found[name][places] = block
+    found["by_triples"][places] = True
+    return found
 
-def simhashes(words: Words, first: np.ndarray) -> np.ndarray:
-    """The bitwise majority of the word hashes of each line, words weighted by length."""
-    weight = np.clip(words.end - words.start - 2, 1, 16).astype(np.float32)
-    bits = np.unpackbits(words.hash.view(np.uint8).reshape(-1, 8), axis=1)
-    ones = np.add.reduceat(np.multiply(bits, weight[:, None], dtype=np.float32), first, axis=0)
-    return np.packbits(2 * ones > np.add.reduceat(weight, first)[:, None], axis=1).view(np.uint64).ravel()
 
+def simhash_blocks(words: Words, first: np.ndarray, count: np.ndarray, by_length: bool) -> list[np.ndarray]:
+    """The blocks of each line: ``first`` and ``count`` say which words it has.
 
-def bands(words: Words, first: np.ndarray) -> dict[str, np.ndarray]:
-    """A 32-bit hash per band and line: ``DEPTH`` minwise hashes over exponential draws, whose rate is the weight of the word."""
-    scale = -1 / np.square(np.clip(words.end - words.start - 2, 0.2, 16)).astype(np.float32)
-    least = []
+    The weights of a line are scaled to a sum below 2^16, so that the majorities of four bits add up side by side in one number.
+    """
+    weight = np.square(np.clip(words.end - words.start - 2, 0.2, 16)) if by_length else np.ones(len(words))
+    blocks = []
     for seed in _SEEDS:
         drawn = mix(words.hash ^ seed)
-        for half in (drawn & np.uint64(0xFFFFFFFF), drawn >> np.uint64(32)):
-            least.append(np.minimum.reduceat(np.log((half.astype(np.float32) + 1) / np.float32(1 << 32)) * scale, first).view(np.uint32))
-    found = {}
-    for n, name in enumerate(_BAND):
-        total = np.full(len(first), n, np.uint64)
-        for values in least[n * DEPTH : (n + 1) * DEPTH]:
-            total = mix(total + values)
-        found[name] = (total >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return found
+        heavy = weight / -np.log(((drawn >> np.uint64(32)).astype(np.float64) + 0.5) / (1 << 32))
+        heavy = heavy * heavy * heavy
+        scaled = (heavy * np.repeat(65_000 / np.add.reduceat(heavy, first), count)).astype(np.uint64)
+        half = np.add.reduceat(scaled, first) // np.uint64(2)
+        block = np.zeros(len(first), np.uint32)
+        for nibble in range(8):
+            bits = (drawn >> np.uint64(4 * nibble)).astype(np.uint8) & 15
+            total = np.add.reduceat(_LANES[bits] * scaled, first)
+            for k in range(4):
+                ones = (total >> np.uint64(16 * k)) & np.uint64(0xFFFF)
+                block |= (ones > half).astype(np.uint32) << np.uint32(4 * nibble + k)
+        blocks.append(block.view(np.int32))
+    return blocks
 
 
 def within(a: str, b: str, limit: int) -> bool:
@@ -183,8 +174,8 @@ def within(a: str, b: str, limit: int) -> bool:
     return score <= limit
 
 
-def line_rows(docs: DataFrame, plan: LineDedup) -> DataFrame:
-    """(doc_id, row, line_no, low, high, sim, chars, fuzzy, bands) of the lines of ``line_table``; ``row`` tells texts of one doc_id apart."""
+def line_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, line_no, ...) of the lines of ``line_table``; ``row`` tells texts of one doc_id apart."""
 
     def run(batch: pa.RecordBatch) -> dict[str, object] | None:
         if not batch.num_rows:
@@ -196,7 +187,7 @@ def line_rows(docs: DataFrame, plan: LineDedup) -> DataFrame:
             held.append(text)
             size += len(text)
             if size > JOINED or place == batch.num_rows - 1:
-                found = line_table("\n".join(held), plan)
+                found = line_table("\n".join(held))
                 found["line_no"] = found["line_no"] + begin[first]
                 parts.append(found)
                 held, size, first = [], 0, place + 1
@@ -206,7 +197,8 @@ def line_rows(docs: DataFrame, plan: LineDedup) -> DataFrame:
         doc_id, row = (column(batch, name).to_numpy()[owner] for name in ("doc_id", "row"))
         return whole | {"doc_id": doc_id, "row": row, "line_no": (number - begin[owner]).astype(np.int32)}
 
-    schema = "doc_id bigint, row bigint, line_no int, low bigint, high bigint, sim bigint, chars bigint, fuzzy boolean, " + ", ".join(f"{name} int" for name in _BAND)
+    blocks = ", ".join(f"{name} int" for name in (*_WORD_BLOCKS, *_TRIPLE_BLOCKS))
+    schema = f"doc_id bigint, row bigint, line_no int, low bigint, high bigint, chars bigint, by_words boolean, by_triples boolean, {blocks}"
     return map_rows(split_evenly(named(docs)), schema, run)
 
 
@@ -215,31 +207,30 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def block_keys(nodes: DataFrame, plan: LineDedup) -> DataFrame:
-    """(key, id, size): a key per band of a node and length class looked into, those of several nodes alone; ``size`` has the length and, if asked, the SimHash."""
+    """(key, id, size, rows): a key per two blocks of a node and length class looked into, those of several nodes alone; ``size`` is the length."""
     step = math.log(LENGTH_CLASS)
     own = F.floor(F.log(F.col("chars").cast("double")) / step)
     upper = F.floor(F.log(F.col("chars") * (100.0 / plan.percent) * 1.000001) / step)
-    keys = [F.xxhash64(F.lit(n), name, "class") for n, name in enumerate(_BAND)]
+
+    def keys(names: tuple[str, ...], kind: str) -> Column:
+        return F.array(*(F.xxhash64(F.lit(f"{kind}{a}{b}"), names[a], names[b], "class") for a, b in KEYS))
+
+    none = F.array().cast("array<bigint>")
+    both = F.concat(F.when(F.col("by_words"), keys(_WORD_BLOCKS, "w")).otherwise(none), F.when(F.col("by_triples"), keys(_TRIPLE_BLOCKS, "t")).otherwise(none))
     classed = nodes.withColumn("class", F.explode(F.array_distinct(F.array(own, upper))))
-    size = F.struct("chars") if plan.most_bits is None else F.struct("chars", "sim")
-    keyed = classed.select(F.explode(F.array(*keys)).alias("key"), "id", size.alias("size"))
-    shared = cut_lineage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("key"))
-    return keyed.join(bounded(shared), "key", "left_semi")
+    keyed = classed.select(F.explode(both).alias("key"), "id", F.col("chars").alias("size"))
+    return shared_keys(keyed)
 
 
 def may_link(plan: LineDedup) -> Column:
-    """What the lengths of two lines within the edit distance meet, and the SimHashes if the plan has a bound."""
-    longer = F.greatest("size_a.chars", "size_b.chars")
-    near = F.abs(F.col("size_a.chars") - F.col("size_b.chars")) * 100 <= longer * (100 - plan.percent)
-    if plan.most_bits is None:
-        return near
-    return near & (F.bit_count(F.col("size_a.sim").bitwiseXOR(F.col("size_b.sim"))) <= plan.most_bits)
+    """What the lengths of two lines within the edit distance meet."""
+    return F.abs(F.col("size_a") - F.col("size_b")) * 100 <= F.greatest("size_a", "size_b") * (100 - plan.percent)
 
 
 def first_lines(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, line): the normalised line of each node in ``ids``, read again from the first document that has it."""
     places = nodes.join(bounded(ids), "id", "left_semi").select("id", "first.doc_id", "first.row", "first.line_no")
-    places = cut_lineage(places.groupBy("doc_id", "row").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted")))
+    places = places.groupBy("doc_id", "row").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         found, lines = [], []
@@ -250,14 +241,12 @@ def first_lines(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
                 lines.append(b" ".join(split[place["line_no"]].split()).decode("utf-8", "replace"))
         return {"id": found, "line": lines}
 
-    return map_rows(named(docs).join(bounded(places), ["doc_id", "row"]).select("text", "wanted"), "id bigint, line string", run)
+    once = named(docs).join(places, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
+    return map_rows(once.select("text", "wanted"), "id bigint, line string", run)
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, plan: LineDedup) -> DataFrame:
+def confirmed(pairs: DataFrame, lines: DataFrame, plan: LineDedup) -> DataFrame:
     """The pairs (a, b) whose whole lines are within the edit distance."""
-    pairs = cut_lineage(pairs)
-    ids = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    lines = cut_lineage(first_lines(ids, nodes, docs))
     both = pairs.join(lines.select(F.col("id").alias("b"), F.col("line").alias("right")), "b").join(
         lines.select(F.col("id").alias("a"), F.col("line").alias("left")), "a"
     )
@@ -272,17 +261,24 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, plan: LineDed
 
 def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:
     """(doc_id, row, dropped): the numbers of the lines to drop, for the documents that have any."""
-    rows = stored(line_rows(docs, plan), "lines")
-    nodes = rows.groupBy("low", "high").agg(
-        F.min(F.struct("doc_id", "row", "line_no")).alias("first"), F.count(F.lit(1)).alias("times"), *(F.min(name).alias(name) for name in ("sim", "chars", "fuzzy", *_BAND))
+    rows = stored(line_rows(docs), "lines")
+    merged = rows.groupBy("low", "high").agg(
+        F.min(F.struct("doc_id", "row", "line_no")).alias("first"),
+        F.count(F.lit(1)).alias("times"),
+        *(F.min(name).alias(name) for name in ("chars", "by_words", "by_triples", *_WORD_BLOCKS, *_TRIPLE_BLOCKS)),
     )
-    nodes = stored(nodes.withColumn("id", F.col("low")), "line-nodes")
-    roots = linked_groups(block_keys(nodes.where("fuzzy"), plan), lambda pairs: confirmed(pairs, nodes, docs, plan), may_link(plan))
-    grouped = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left")
+    nodes = stored(merged.withColumn("id", F.monotonically_increasing_id()), "line-nodes")
+    release(docs.sparkSession)
+    members = block_keys(nodes, plan)
+    release(docs.sparkSession)
+    lines = stored(first_lines(cut_lineage(members.select("id").distinct()), nodes, docs), "line-texts")
+    roots = linked_groups(members, lambda pairs: confirmed(pairs, lines, plan), may_link(plan))
+    grouped = nodes.select("low", "high", "id", "first", "times").join(roots.withColumnRenamed("node", "id"), "id", "left")
     leaders = grouped.where("root is not null").groupBy("root").agg(F.min("first").alias("leader"))
     repeated = grouped.where("times > 1 or root is not null").join(leaders, "root", "left")
     repeated = cut_lineage(repeated.select("low", "high", F.coalesce("leader", "first").alias("leader")))
-    dropped = rows.join(bounded(repeated), ["low", "high"]).where(F.struct("doc_id", "row", "line_no") != F.col("leader"))
+    dropped = rows.select("doc_id", "row", "line_no", "low", "high").join(bounded(repeated), ["low", "high"])
+    dropped = dropped.where(F.struct("doc_id", "row", "line_no") != F.col("leader")).distinct()
     return dropped.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("line_no")).alias("dropped"))
 
 
@@ -292,11 +288,18 @@ def without_repeats(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame
     Line breaks are \\n. A null or empty text has no line to drop and stays as it is; a row without
     doc_id is left alone. Rows that repeat a doc_id with the same text keep the same lines; with
     another text they count as another document. Ties go to the smaller doc_id and line number.
-    Columns named n_lines or dropped are replaced, all others pass through.
+    Columns named n_lines or dropped are replaced, all others pass through, whatever their names.
     """
-    drops = cut_lineage(repeated_lines(docs, plan)).withColumnsRenamed({"doc_id": "_id", "row": "_row", "dropped": "_dropped"})
-    joined = docs.join(bounded(drops), (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_row")), "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_dropped"))
-    text = F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.concat_ws("\n", F.transform(kept, lambda n: F.get(lines, n))))
-    return joined.withColumns({"text": text, "n_lines": F.size(lines), "dropped": F.coalesce("_dropped", F.array().cast("array<int>"))}).drop("_id", "_row", "_dropped")
+    drops = cut_lineage(repeated_lines(docs, plan)).select(F.struct("doc_id", "row").alias("of"), "dropped")
+    kept = docs.drop("n_lines", "dropped")
+    whole = kept.select(F.struct(*kept.columns).alias("doc"), F.struct("doc_id", F.xxhash64("text").alias("row")).alias("of"))
+    joined = whole.join(drops, "of", "left")
+    text, dropped = F.col("doc.text"), F.col("dropped")
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped), lambda n: F.get(lines, n))
+    cut = F.when(dropped.isNull(), text).otherwise(F.concat_ws("\n", left))
+    return joined.select(
+        *(cut.alias("text") if name == "text" else F.col("doc").getField(name).alias(name) for name in kept.columns),
+        F.size(lines).alias("n_lines"),
+        F.coalesce(dropped, F.array().cast("array<int>")).alias("dropped"),
+    )

@@ -19,12 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.grouping import linked_groups
+from relist.llm.grouping import linked_groups, shared_keys
 from relist.llm.hashing import Words, digest, mix, shingles, signed
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, texts
+from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, stored, texts
 
 
 @dataclass(frozen=True)
@@ -82,59 +82,67 @@ def sketches(docs: DataFrame, plan: NearDedup) -> DataFrame:
     return map_rows(split_evenly(docs.select("doc_id", "text")), "doc_id bigint, n_shingles bigint, low bigint, high bigint, bands array<bigint>", run)
 
 
-def overlaps(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
-    """The pairs (a, b) with ``left`` and ``right``, their full sets, and ``common``, the size of the intersection."""
-    pairs = cut_lineage(pairs)
-    wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+def candidate_sets(ids: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
+    """(id, elements): the full sets of the documents in ``ids``, written once for all rounds of comparison.
+
+    A doc_id that occurs with several texts has a row for each.
+    """
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
-        return {"doc_id": column(batch, "doc_id"), "elements": [signed(shingle_set(text, plan.words)) for text in texts(batch)]}
+        return {"id": column(batch, "doc_id"), "elements": [signed(shingle_set(text, plan.words)) for text in texts(batch)]}
 
-    named = docs.select("doc_id", "text").join(bounded(wanted), "doc_id", "left_semi")
-    sets = map_rows(named, "doc_id bigint, elements array<bigint>", run)
-    both = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("right")), "b")
-    both = both.join(sets.select(F.col("doc_id").alias("a"), F.col("elements").alias("left")), "a")
+    named = docs.select("doc_id", "text").join(bounded(ids.withColumnRenamed("id", "doc_id")), "doc_id", "left_semi")
+    return stored(map_rows(named, "id bigint, elements array<bigint>", run), "near-sets")
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with ``left`` and ``right``, their full sets, and ``common``, the size of the intersection."""
+    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("right")), "b")
+    both = both.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("left")), "a")
     return both.withColumn("common", F.size(F.array_intersect("left", "right")))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, plan: NearDedup) -> DataFrame:
     """The pairs (a, b, size_a, size_b) whose full sets are similar enough."""
-    return overlaps(pairs, docs, plan).where(F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * plan.percent)
+    return overlaps(pairs, sets).where(F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * plan.percent)
 
 
-def by_additions(rest: DataFrame, docs: DataFrame, plan: NearDedup) -> DataFrame:
-    """Buckets that all links still possible share, by how the sets differ from that of their leader.
+def links_by_differences(rest: DataFrame, sets: DataFrame, plan: NearDedup) -> DataFrame:
+    """The links (a, b) between different groups of large buckets, by how the sets differ from that of their leader.
 
-    x and y share with the leader c_x and c_y elements and have further ones, their additions. Their
-    intersection is at most min(c_x, c_y) and what their additions share. Whatever the size of y, a
-    link of x thus needs at least k = (percent * size - 100 * c) / (100 + percent) common additions.
-    A row for which this is not above zero is *near*. Near rows share a bucket of their own and find a
-    new leader there. Any other link has a row that is not near, so its additions have a prefix
-    filter: in order of frequency, two sets that share k elements have one in common among all
-    but the last k - 1 of each. Additions that only one group has cannot be shared by a link, and go first.
-    A common addition thus becomes a key only for rows that share many. Random edits of one text share few.
+    D(x) is what x and the leader do not share, c(x) what they share. Then |x & y| is exactly
+    c(x) + c(y) - |leader| + |D(x) & D(y)|, so x and y are linked if and only if their differences share at
+    least f(x) + f(y) elements, with f(x) = percent * |x| / (100 + percent) - c(x) + |leader| / 2. A row outside the
+    group of the leader has an f so large that this is always above zero, whatever the other row. So only
+    elements count that some row outside has and a row of another group too. A row that has fewer of
+    them than it needs with the best of partners is done; the rest is looked at once more without it. Random
+    edits of one text share few differences, so few pairs are left whose counts allow a link.
     """
-    grouped = cut_lineage(rest.select("lead", "id", "size", "root", "lead_root").distinct())
-    additions = F.array_except("right", "left").alias("additions")
-    star = overlaps(grouped.select(F.col("lead").alias("a"), F.col("id").alias("b")), docs, plan)
-    needed = F.col("size") * plan.percent - F.col("common") * 100
-    known = grouped.join(star.select(F.col("a").alias("lead"), F.col("b").alias("id"), "common", additions), ["lead", "id"])
-    known = cut_lineage(known.withColumns({"near": needed <= 0, "k": F.ceil(needed / (100 + plan.percent))}))
-    rows = known.select("lead", "id", "root", "near", "k", F.explode("additions").alias("addition"))
-
-    def open_keys(rows: DataFrame) -> DataFrame:
-        sides = rows.groupBy("lead", "addition").agg(
-            F.count(F.lit(1)).alias("times"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("near").alias("all_near")
-        )
-        return sides.where("low < high and not all_near").select("lead", "addition", "times")
-
-    of_row = Window.partitionBy("lead", "id")
-    ranked = rows.join(open_keys(rows), ["lead", "addition"])
-    ranked = ranked.withColumns({"place": F.row_number().over(of_row.orderBy("times", "addition")), "many": F.count(F.lit(1)).over(of_row)})
-    ranked = cut_lineage(ranked.where(F.col("near") | (F.col("place") <= F.col("many") - F.col("k") + 1)).drop("times"))
-    keyed = ranked.join(open_keys(ranked).drop("times"), ["lead", "addition"]).select(F.xxhash64("lead", "addition").alias("key"), "lead", "id")
-    near = known.where("near").select(F.xxhash64("lead").alias("key"), "lead", "id")
-    return keyed.unionByName(near).join(grouped, ["lead", "id"]).select("key", "id", "size", "root", "lead_root", F.col("size").alias("weight"))
+    grouped = cut_lineage(rest.select("lead", "id", "root", "lead_root").distinct())
+    star = overlaps(grouped.select(F.col("lead").alias("a"), F.col("id").alias("b")), sets)
+    differing = F.concat(F.array_except("right", "left"), F.array_except("left", "right"))
+    unit = 2 * (100 + plan.percent)  # f is counted in whole numbers: times this
+    f = 2 * plan.percent * F.size("right") - unit * F.col("common") + (100 + plan.percent) * F.size("left")
+    star = star.select(F.col("a").alias("lead"), F.col("b").alias("id"), F.xxhash64("left").alias("of"), f.cast("bigint").alias("f"), differing.alias("elements"))
+    known = grouped.join(star, ["lead", "id"]).withColumn("out", F.col("root") != F.col("lead_root")).drop("lead_root")
+    leader = ["lead", "of"]
+    for _ in range(2):
+        rows = cut_lineage(known).withColumn("row", F.xxhash64("elements"))
+        each = rows.select(*leader, "id", "row", "root", "f", "out", F.explode("elements").alias("element"))
+        sides = each.groupBy(*leader, "element").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("out").alias("some_out"))
+        shared = each.join(sides.where("low < high and some_out").select(*leader, "element"), [*leader, "element"])
+        kept = shared.groupBy(*leader, "id", "row", "root", "f", "out").agg(F.collect_list("element").alias("elements"))
+        least = kept.groupBy(*leader).agg(F.min("f").alias("least"), F.min(F.when(F.col("out"), F.col("f"))).alias("least_out"))
+        best = F.when(F.col("out"), F.col("least")).otherwise(F.col("least_out"))
+        known = kept.join(least, leader).where(F.col("f") + best <= unit * F.size("elements")).drop("least", "least_out", "row")
+    known = cut_lineage(known.withColumn("many", F.size("elements")))
+    x, y = (known.select(*leader, *(F.col(name).alias(f"{name}_{side}") for name in ("id", "root", "f", "out", "many", "elements"))) for side in "xy")
+    open_pairs = F.col("out_x") & (F.col("root_x") != F.col("root_y")) & (~F.col("out_y") | (F.col("id_x") < F.col("id_y")))
+    enough = F.col("f_x") + F.col("f_y") <= unit * F.least("many_x", "many_y")
+    same_leader = (x["lead"] == y["lead"]) & (x["of"] == y["of"])
+    met = x.join(y, same_leader & open_pairs & enough)
+    linked = met.where(F.size(F.array_intersect("elements_x", "elements_y")) * unit >= F.col("f_x") + F.col("f_y"))
+    return linked.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame:
@@ -151,13 +159,14 @@ def near_duplicates(docs: DataFrame, plan: NearDedup = NearDedup()) -> DataFrame
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("bands").alias("bands"))
     )
     nodes = cut_lineage(nodes)
-    keyed = nodes.select(F.explode("bands").alias("key"), "id", "size")
+    keyed = shared_keys(nodes.select(F.explode("bands").alias("key"), "id", "size"))
+    sets = candidate_sets(cut_lineage(keyed.select("id").distinct()), docs, plan)
     smaller, larger = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     roots = linked_groups(
         keyed,
-        lambda pairs: confirmed(pairs, docs, plan),
+        lambda pairs: confirmed(pairs, sets, plan),
         smaller * 100 >= larger * plan.percent,
-        lambda rest: by_additions(rest, docs, plan),
+        lambda rest: links_by_differences(rest, sets, plan),
     )
     named = nodes.join(roots.withColumnRenamed("node", "id"), "id", "left").select("low", "high", F.coalesce("root", "id").alias("node_root"))
     found = rows.drop("bands").join(named, ["low", "high"], "left")

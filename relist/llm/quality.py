@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relist.llm.hashing import Words, mix
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, texts
+from relist.llm.runtime import bounded, column, cut_lineage, map_rows, shared, split_evenly, texts
 
 SHAPES = 512
 
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, plan: Quality = Quality()) -> Netw
     known = cut_lineage(labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")))
     share = min(1.0, plan.sample / max(1, known.count()))
     drawn = cut_lineage(known.where(F.pmod(F.xxhash64("doc_id", F.lit(plan.seed)), F.lit(1_000_000)) < int(share * 1_000_000)))
-    sent = docs.sparkSession.sparkContext.broadcast(vectors)
+    sent = shared(docs.sparkSession, vectors)
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         return {"doc_id": column(batch, "doc_id"), "quality": column(batch, "quality"), "pooled": [pooled(text, sent.value) for text in texts(batch)]}
@@ -200,7 +200,7 @@ def scored(docs: DataFrame, net: Network | None) -> DataFrame:
 
     A null text scores as an empty one. Without a network, as without labels, every score is 0.5. More columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(net)
+    sent = shared(docs.sparkSession, net)
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         own = sent.value

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,7 +17,29 @@ from relist.runtime import cut_lineage, scratch_path
 #: A key table of at most this many rows (some tens of MB) is sent to every executor; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
-__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "scratch_folder", "split_evenly", "stored", "texts"]
+#: A batch with more bytes is worked through in slices, so that what a task holds for it does not grow with the length of texts.
+SLICE_BYTES = 4_000_000
+_SHARED: list[Broadcast] = []
+
+__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "release", "scratch_folder", "shared", "sliced", "split_evenly", "stored", "texts"]
+
+
+def shared(spark: SparkSession, value: object) -> Broadcast:
+    """``value`` on every executor, until ``release`` takes it off."""
+    sent = spark.sparkContext.broadcast(value)
+    _SHARED.append(sent)
+    return sent
+
+
+def release(spark: SparkSession) -> None:
+    """Take models off the executors, and let Spark delete the shuffle files of steps that nothing refers to any more.
+
+    For use between steps whose results are written: a plan that still needs a model fetches it again from the driver.
+    """
+    while _SHARED:
+        _SHARED.pop().unpersist()
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -58,15 +82,27 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``SLICE_BYTES``, or of one row."""
+    if batch.nbytes <= SLICE_BYTES or batch.num_rows <= 1:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from sliced(batch.slice(0, half))
+        yield from sliced(batch.slice(half))
+
+
 def map_rows(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], dict[str, object] | None]) -> DataFrame:
-    """Apply ``function`` to every Arrow batch; it returns columns in the order of ``schema``."""
+    """Apply ``function`` to every Arrow batch, or to its slices if it is large; it returns the columns of ``schema``."""
     target = StructType.fromDDL(schema)
     arrow = to_arrow_schema(target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = function(batch)
-            if columns is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+        for whole in batches:
+            for batch in sliced(whole):
+                columns = function(batch)
+                if columns is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, target)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from relist.llm.decontaminate import Lookup
 from relist.llm.hashing import Words, signed
 from relist.llm.line_dedup import normalised
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, split_evenly, texts
+from relist.llm.runtime import bounded, column, cut_lineage, map_rows, shared, sliced, split_evenly, texts
 
 #: What a digit or symbol may stand for in a disguised word.
 LOOKALIKES = {
@@ -45,6 +45,8 @@ _LETTER = _CODE < _STATES
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKALIKES if ord(c) < 128]] = True
 _NEVER = -1e9
+#: Cells (positions x words x letters) of the lattices that are decoded together: a long word has few beside it.
+LATTICE_CELLS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -89,11 +91,14 @@ class Channel:
     def decode(self, words: list[str]) -> list[str]:
         """The likeliest hidden word of each seen word."""
         decoded = [""] * len(words)
-        order = sorted(range(len(words)), key=lambda n: len(words[n]))
-        for first in range(0, len(order), 512):
-            chosen = order[first : first + 512]
+        order = sorted(range(len(words)), key=lambda n: -len(words[n]))
+        first = 0
+        while first < len(order):
+            most = max(1, min(512, LATTICE_CELLS // (_STATES * max(1, len(words[order[first]])))))
+            chosen = order[first : first + most]
             for n, word in zip(chosen, self._decode([words[n] for n in chosen]), strict=True):
                 decoded[n] = word
+            first += most
         return decoded
 
     def _decode(self, words: list[str]) -> list[str]:
@@ -250,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, plan: Toxicity = Toxicity()) -> Mo
     known = cut_lineage(labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     share = min(1.0, plan.sample / max(1, known.count()))
     drawn = cut_lineage(known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000)))
-    sent = docs.sparkSession.sparkContext.broadcast(channel)
+    sent = shared(docs.sparkSession, channel)
     chosen = docs.select("doc_id", "text").join(bounded(drawn), "doc_id").withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)))
 
     def counted(batch: pa.RecordBatch) -> dict[str, object] | None:
@@ -287,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, plan: Toxicity = Toxicity()) -> Mo
 
 def evidence_of(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, toxic, strongest, number): the evidence in each document, with its label where ``docs`` has one."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
     labelled = docs if "toxic" in docs.columns else docs.withColumn("toxic", F.lit(None).cast("int"))
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
@@ -310,14 +315,15 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, all columns as they are; one pass, no join."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         lookup = Lookup(own.hashes)
-        for batch in batches:
-            if batch.num_rows:
-                evidence = np.array([own.evidence(x, lookup) for x in batch_features(batch, own.channel)])
-                yield batch.filter(pa.array(own.scores(evidence) < threshold))
+        for whole in batches:
+            for batch in sliced(whole):
+                if batch.num_rows:
+                    evidence = np.array([own.evidence(x, lookup) for x in batch_features(batch, own.channel)])
+                    yield batch.filter(pa.array(own.scores(evidence) < threshold))
 
     return split_evenly(docs).mapInArrow(run, docs.schema)

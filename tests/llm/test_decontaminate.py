@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from relist.llm.decontaminate import Decontamination, align, contaminated, word_hashes
+from relist.llm.decontaminate import Decontamination, align, contaminated, without_copies, word_hashes
 from tests.llm.cases import edited, frame, odd_rows, prose
 
 
@@ -85,3 +85,17 @@ def test_evidence_of_short_items_and_long_runs(spark):
     docs += [(55, f"{prose(58, 9)} alpha beta gamma delta epsilon zeta eta theta iota {prose(59, 9)}")]
     found = contaminated(frame(spark, docs), items(spark, tests)).collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(51, 3), (53, 5), (55, 4)}
+
+
+def test_rows_without_copies_stay(spark):
+    tests, docs = corpus()
+    copied = docs[0][1]
+    rows = [*docs, (None, copied), (None, prose(9, 30)), (5, prose(10, 30)), (5, copied), (6, None), (7, "")]
+    frame_ = frame(spark, rows)
+    hit = {r.doc_id for r in contaminated(frame_, items(spark, tests)).collect()}
+    assert hit - {None, 5} and {None, 5} <= hit
+    kept = without_copies(frame_, items(spark, tests))
+    assert kept.columns == frame_.columns
+    want = [(doc_id, text) for doc_id, text in rows if (doc_id not in hit) or text in (rows[-5][1], rows[-4][1])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert without_copies(frame_, items(spark, tests).limit(0)).count() == len(rows)

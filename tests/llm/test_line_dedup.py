@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
-import re
 
 import numpy as np
 
-from relist.llm.line_dedup import WHOLE, LineDedup, line_features, normalised, within, without_repeats
+from relist.llm import line_dedup
+from relist.llm.hashing import Words, mix
+from relist.llm.line_dedup import line_table, normalised, simhash_blocks, within, without_repeats
 from tests.llm.cases import edited, frame, odd_rows, prose
 
 
@@ -18,16 +20,13 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, plan):
-    """All pairs of distinct lines: linked when SimHashes are within three bits and the edit distance is small."""
-    places, sims = {}, {}
+def brute(rows, percent=80):
+    """Places to drop: every pair of distinct normalised lines within the edit similarity is linked, whatever its length."""
+    places = {}
     for doc_id, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
-        number, low, high, sim, _ = line_features(text, plan.min_words)
-        split = normalised(text).split(b"\n")
-        for n, s in zip(number, sim, strict=True):
-            line = b" ".join(split[n].split()).decode()
-            places.setdefault(line, []).append((doc_id, int(n)))
-            sims[line] = int(s) & (2**64 - 1)
+        for n, line in enumerate(normalised(text).split(b"\n")):
+            if line.split():
+                places.setdefault(b" ".join(line.split()).decode(), set()).add((doc_id, n))
     lines = list(places)
     root = {line: line for line in lines}
 
@@ -38,12 +37,12 @@ def brute(rows, plan):
 
     for i, a in enumerate(lines):
         for b in lines[:i]:
-            longer = max(len(a), len(b))
-            if bin(sims[a] ^ sims[b]).count("1") <= 3 and distance(a, b) <= longer * (100 - plan.percent) // 100:
+            most = max(len(a), len(b)) * (100 - percent) // 100
+            if abs(len(a) - len(b)) <= most and distance(a, b) <= most:
                 root[find(a)] = find(b)
     groups = {}
     for line in lines:
-        groups.setdefault(find(line), []).extend(places[line])
+        groups.setdefault(find(line), set()).update(places[line])
     return {place for group in groups.values() for place in group if place != min(group)}
 
 
@@ -60,9 +59,8 @@ def rows():
 
 
 def test_equals_all_pairs(spark):
-    plan = LineDedup()
-    want = brute(rows(), plan)
-    found = without_repeats(frame(spark, rows()), plan).collect()
+    want = brute(rows())
+    found = without_repeats(frame(spark, rows())).collect()
     assert len(want) > 20
     assert {(r.doc_id, n) for r in found for n in r.dropped} == want
     texts = dict(rows())
@@ -73,11 +71,11 @@ def test_equals_all_pairs(spark):
 
 
 def test_odd_rows_and_columns(spark):
-    docs = frame(spark, odd_rows()).withColumnsRenamed({"size": "dropped", "base": "n_lines"})
-    found = without_repeats(docs)
-    assert set(found.columns) == set(docs.columns)
-    kept = {(r.doc_id, r.text) for r in found.collect()}
-    assert kept == {(r[0], r[1]) for r in odd_rows()}
+    docs = frame(spark, odd_rows()).withColumnsRenamed({"size": "dropped", "base": "n_lines", "root": "_id", "key": "_row", "part": "of", "row": "doc"})
+    found = without_repeats(docs.withColumn("_dropped", docs.doc))
+    assert set(found.columns) == {*docs.columns, "_dropped"}
+    kept = {(r.doc_id, r.text, r._id, r._row, r.of, r.doc, r._dropped) for r in found.collect()}
+    assert kept == {(r[0], r[1], "root", "key", "part", 0.5, 0.5) for r in odd_rows()}
     assert without_repeats(frame(spark, [])).count() == 0
 
 
@@ -88,12 +86,30 @@ def test_lines_of_one_document_repeat(spark):
 
 
 def test_features_follow_the_words():
-    text = "Alpha beta, gamma; delta EPSILON\nalpha  beta gamma delta epsilon!\n\nfew words"
-    number, low, high, sim, chars = line_features(text, 5)
-    assert number.tolist() == [0, 1] and low[0] == low[1] and high[0] == high[1] and sim[0] == sim[1]
-    assert chars.tolist() == [len(re.sub(r"[,;]", "", "alpha beta, gamma; delta epsilon"))] * 2
-    turned = line_features("beta alpha gamma delta epsilon", 5)
-    assert turned[1][0] != low[0] and np.array_equal(turned[3], sim[:1])
+    text = "Alpha beta, gamma; delta EPSILON\nalpha  beta gamma delta epsilon!\n\nfew words\n- -"
+    found = line_table(text)
+    assert found["line_no"].tolist() == [0, 1, 3] and found["by_words"].tolist() == [True, True, False] and found["by_triples"].all()
+    for name in ("low", "high", "chars", "block0", "block4", "triple0", "triple4"):
+        assert found[name][0] == found[name][1]
+    assert found["chars"].tolist() == [len("alpha beta gamma delta epsilon")] * 2 + [9]
+    turned = line_table("beta alpha gamma delta epsilon")
+    assert turned["low"][0] != found["low"][0] and turned["block2"][0] == found["block2"][0]
+
+
+def test_blocks_are_weighted_majorities():
+    """Against a plain sum over words and bits."""
+    text = prose(3, 40)
+    words = Words(text.encode())
+    (blocks,) = zip(*simhash_blocks(words, np.array([0]), np.array([len(words)]), by_length=True), strict=True)
+    for seed, block in zip(line_dedup._SEEDS, blocks, strict=True):
+        sums = np.zeros(32)
+        for h, length in zip(words.hash, words.end - words.start, strict=True):
+            drawn = int(mix(np.array([h ^ seed]))[0])
+            weight = (min(max(length - 2, 0.2), 16) ** 2 / -math.log(((drawn >> 32) + 0.5) / 2**32)) ** 3
+            sums += [weight if drawn >> bit & 1 else -weight for bit in range(32)]
+        clear = np.abs(sums) > 1e-3 * np.abs(sums).max()
+        assert clear.sum() > 28
+        assert [(int(block) >> bit & 1) == (sums[bit] > 0) for bit in range(32) if clear[bit]] == [True] * int(clear.sum())
 
 
 def test_edit_distance_equals_the_matrix():
@@ -105,23 +121,39 @@ def test_edit_distance_equals_the_matrix():
         assert [within(a, b, k) for k in range(16)] == [exact <= k for k in range(16)]
 
 
-def test_links_by_edit_distance_alone(spark):
-    """Two changed words of twenty are within the similarity, whatever the SimHashes say."""
-    made = [(k, "\n".join(prose(7000 + k, 20) for k in range(3 * k, 3 * k + 3))) for k in range(30)]
-    made += [(100 + k, "\n".join(edited(line, k, 2) for line in text.split("\n"))) for k, text in made]
-    places = [(doc_id, n, line) for doc_id, text in made for n, line in enumerate(text.split("\n"))]
-    want = set()
-    for k, (doc_id, n, line) in enumerate(places):
-        if any(distance(line, other) <= max(len(line), len(other)) * 20 // 100 for _, _, other in places[:k]):
-            want.add((doc_id, n))
-    got = {(r.doc_id, n) for r in without_repeats(frame(spark, made), WHOLE).collect() for n in r.dropped}
-    assert len(want) > 80 and got <= want and len(got) >= 0.95 * len(want)
+def scattered(line, seed, share):
+    """Some of the letters replaced at random places."""
+    draw = random.Random(seed)
+    letters = list(line)
+    for place in draw.sample(range(len(letters)), max(1, round(len(letters) * share))):
+        letters[place] = draw.choice("aeioust") if letters[place] != " " else " "
+    return "".join(letters)
+
+
+def test_recall_of_changed_words_and_letters(spark):
+    """Links by edit distance alone, over lines of 3 to 40 words: words replaced, letters replaced, short lines."""
+    lines = [prose(7000 + k, 3 + k % 38) for k in range(400)]
+    kinds = {
+        "words": [(k, edited(line, k, max(1, len(line.split()) // 10))) for k, line in enumerate(lines) if len(line.split()) >= 8],
+        "letters": [(k, scattered(line, k, 0.03)) for k, line in enumerate(lines)],
+        "short": [(k, scattered(line, 5000 + k, 0.03)) for k, line in enumerate(lines) if len(line.split()) < 8],
+    }
+    docs = [(k, line) for k, line in enumerate(lines)]
+    docs += [(1000 * n + k, line) for n, made in enumerate(kinds.values(), 1) for k, line in made]
+    near = {1000 * n + k for n, made in enumerate(kinds.values(), 1) for k, line in made if distance(line, lines[k]) <= max(len(line), len(lines[k])) // 5}
+    dropped = {r.doc_id for r in without_repeats(frame(spark, docs)).collect() if r.dropped}
+    for n, name in enumerate(kinds, 1):
+        of = {k for k in near if k // 1000 == n}
+        assert len(of) > 40
+        assert len(of & dropped) >= 0.9 * len(of), name
+    assert dropped <= {doc_id for doc_id, _ in brute(docs)}
 
 
 def test_short_and_unspaced_lines(spark):
     draw = random.Random(4)
     passage = "".join(chr(draw.randint(0x4E00, 0x5FFF)) for _ in range(60))
     other = passage[:30] + "国" + passage[31:]
-    rows = [(1, f"All rights reserved.\n\nonly here\n{passage}"), (2, f"ALL rights, reserved\n\n{other}\n---\n---"), (3, f"{passage[:10]}\nall rights\n{passage}")]
-    found = {r.doc_id: r.dropped for r in without_repeats(frame(spark, rows), WHOLE).collect()}
-    assert found == {1: [], 2: [0, 2], 3: [2]}
+    rows = [(4, "Copyright reserved Example Corporation"), (5, "Copyright reserved, Example Corporations"), (6, "Copyright")]
+    rows += [(1, f"All rights reserved.\n\nonly here\n{passage}"), (2, f"ALL rights, reserved\n\n{other}\n---\n---"), (3, f"{passage[:10]}\nall rights\n{passage}")]
+    found = {r.doc_id: r.dropped for r in without_repeats(frame(spark, rows)).collect()}
+    assert found == {1: [], 2: [0, 2], 3: [2], 4: [], 5: [0], 6: []}
