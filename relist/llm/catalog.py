@@ -89,10 +89,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged(pages: DataFrame) -> DataFrame:
-    """A replica of ``pages`` with a byte of some pages changed and the last page of each thousand lost."""
-    hurt = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2) < "05"
-    html = F.when(hurt & (F.substring("html", 1, 1) == "<"), F.concat(F.lit("#"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
-    return pages.where("page_id % 1000 <> 999").withColumn("html", html)
+    """A replica of ``pages``: of some pages a byte is changed, some are a byte longer, two of each thousand are lost, and one is there again with other content."""
+    sign = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
+    hurt = F.when((sign < "05") & (F.substring("html", 1, 1) == "<"), F.concat(F.lit("#"), F.substring("html", 2, 1 << 30)))
+    longer = F.when((sign >= "05") & (sign < "08"), F.concat("html", F.lit("!")))
+    kept = pages.where("page_id % 1000 not in (500, 999)").withColumn("html", F.coalesce(hurt, longer, "html"))
+    inserted = pages.where("page_id % 1000 = 250").withColumns({"url": F.lit("inserted"), "html": F.lit("more")})
+    return kept.unionByName(inserted)
 
 
 @query

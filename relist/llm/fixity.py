@@ -118,24 +118,41 @@ def differing_ranges(ours: DataFrame, theirs: DataFrame, plan: Fixity) -> DataFr
 def audit(pages: DataFrame, replica: DataFrame, plan: Fixity = Fixity()) -> DataFrame:
     """(file, offset, length, page_id, kind, expected_sha256, found_sha256): the records in which ``replica`` departs from ``pages``.
 
-    kind: ``changed`` where both have a record at the offset, ``missing`` or ``extra`` where one has;
-    length and page_id are those of the sound record where there is one. A record of another length
-    moves those behind it in its file, which then are missing and extra. Equal or empty replicas give
-    no row.
+    The trees lead to the ranges that differ. There the records are aligned by page_id and digest, so a record of another
+    length, an inserted or a lost one moves those behind it without their being reported. What is left of a page on
+    both sides is ``changed``, in the order of the digests; on one side it is ``missing`` or ``extra``. A record whose number of
+    copies differs is changed too. offset, length and page_id are those of the sound record where there is one.
+    Equal or empty replicas give no row. Rows without page_id are aligned by digest alone, and so are never changed.
     """
     good, found = (stored(records(p, plan), "records") for p in (pages, replica))
     wrong = differing_ranges(cut_lineage(leaves(good, plan)), cut_lineage(leaves(found, plan)), plan)
+    columns = ("offset", "length", "copies", "page_id", "sha256")
 
-    def suspects(placed: DataFrame, tag: str) -> DataFrame:
+    def suspects(placed: DataFrame) -> DataFrame:
         named = placed.withColumn("node", F.floor(F.col("offset") / plan.range_bytes).cast("bigint")).join(wrong, ["file", "node"], "left_semi")
-        return named.select("file", "offset", *(F.col(c).alias(f"{c}_{tag}") for c in ("length", "copies", "page_id", "sha256")))
+        return named.withColumn("name", F.coalesce(F.col("page_id").cast("string"), F.lit(""))).select("file", "name", *columns)
 
-    both = suspects(good, "a").join(suspects(found, "b"), ["file", "offset"], "full")
+    def tagged(rows: DataFrame, tag: str) -> DataFrame:
+        return rows.withColumnsRenamed({name: f"{name}_{tag}" for name in columns})
+
+    ours, theirs = cut_lineage(suspects(good)), cut_lineage(suspects(found))
+    record = ["file", "name", "sha256"]
+    both = ours.join(theirs.select(*record, F.col("copies").alias("found_copies")), record)
+    recounted = tagged(both.where("copies <> found_copies").drop("found_copies"), "a").withColumns({"sha256_b": F.col("sha256_a"), "page_id_b": F.col("page_id_a")})
+    known = both.select(*record)
+    nth = Window.partitionBy("file", "name").orderBy("sha256")
+
+    def unmatched(rows: DataFrame, tag: str) -> DataFrame:
+        left = rows.join(known, record, "left_anti")
+        nameless = F.when(F.col("page_id").isNull(), F.concat(F.lit(tag), "sha256"))
+        return tagged(left.withColumn("nth", F.coalesce(nameless, F.row_number().over(nth).cast("string"))), tag)
+
+    paired = unmatched(ours, "a").join(unmatched(theirs, "b"), ["file", "name", "nth"], "full")
+    differing_records = paired.unionByName(recounted, allowMissingColumns=True)
     kind = F.when(F.col("sha256_b").isNull(), "missing").when(F.col("sha256_a").isNull(), "extra").otherwise("changed")
-    same = F.col("sha256_a").eqNullSafe(F.col("sha256_b")) & F.col("copies_a").eqNullSafe(F.col("copies_b"))
-    return both.where(~same).select(
+    return differing_records.select(
         "file",
-        "offset",
+        F.coalesce("offset_a", "offset_b").alias("offset"),
         F.coalesce("length_a", "length_b").alias("length"),
         F.coalesce("page_id_a", "page_id_b").alias("page_id"),
         kind.alias("kind"),

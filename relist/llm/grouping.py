@@ -69,13 +69,13 @@ def shared_keys(keyed: DataFrame) -> DataFrame:
     return stored(keyed.join(shared.select("key", "rows"), "key"), "shared-keys")
 
 
-def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish: Finish | None = None) -> DataFrame:
+def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish: Finish | None = None, small: int | None = None, rounds: int | None = None) -> DataFrame:
     """(node, root) of all nodes that are linked with another one.
 
     ``members``: (key, id, size, rows), one row per bucket of a node, as ``shared_keys`` gives them. ``confirm`` keeps the true links among
     the pairs (a, b, size_a, size_b) that it gets. ``may_link`` is a cheap necessary condition on
     size_a and size_b. ``finish`` may take the large open buckets (key, id, size, lead, root, lead_root;
-    without their leaders) and give all links (a, b) between their groups.
+    without their leaders) and give all links (a, b) between their groups. Buckets of at most ``small`` rows name their pairs, larger ones after ``rounds`` leaders.
 
     The first leader of a bucket is the node that meets most others over all its buckets, which in a group
     of edited copies tends to be the one that is nearest to all of them.
@@ -83,7 +83,8 @@ def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish
     met = members.groupBy("id").agg(F.sum("rows").alias("weight"))
     members = members.select("key", "id", "size").join(met, "id").withColumns({"root": F.col("id"), "lead_root": F.lit(None).cast("bigint")})
     links, roots = None, None
-    for turn in range(ROUNDS):
+    small, rounds = SMALL_BUCKET if small is None else small, ROUNDS if rounds is None else rounds
+    for turn in range(rounds):
         outside = F.coalesce(F.col("root") != F.col("lead_root"), F.lit(True))
         leaders = members.groupBy("key").agg(F.max(F.struct(outside.alias("out"), F.col("weight"), (-F.col("id")).alias("id"), F.col("size"), F.col("root"))).alias("top"))
         leaders = leaders.select("key", (-F.col("top.id")).alias("lead"), F.col("top.size").alias("lead_size"), F.col("top.root").alias("of"))
@@ -104,13 +105,13 @@ def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish
         rest = cut_lineage(rooted.where("id <> lead").join(sides.where("low < high").select("key", "lead_root", "rows"), "key"))
         if rest.isEmpty():
             return roots
-        last = turn == ROUNDS - 1
-        direct = crossing_pairs(rest if last else rest.where(F.col("rows") - 1 <= SMALL_BUCKET)).where(may_link).distinct()
+        last = turn == rounds - 1
+        direct = crossing_pairs(rest if last else rest.where(F.col("rows") - 1 <= small), may_link)
         found = cut_lineage(confirm(direct).select("a", "b"))
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = components(links)
-        large = rest.where(F.col("rows") - 1 > SMALL_BUCKET)
+        large = rest.where(F.col("rows") - 1 > small)
         if last or large.isEmpty():
             return roots
         if finish:
@@ -120,23 +121,24 @@ def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish
     return roots
 
 
-def crossing_pairs(rest: DataFrame) -> DataFrame:
-    """(a, b, size_a, size_b): the rows of different groups in each bucket.
+def crossing_pairs(rest: DataFrame, may_link: Column) -> DataFrame:
+    """(a, b, size_a, size_b): the rows of different groups in each bucket that may be linked, each pair once.
 
     ``rest``: (key, id, size, root, lead_root). Rows of the group of the bucket's last leader meet those outside it alone.
     """
-    left = rest.where("root <> lead_root").select("key", F.col("id").alias("x"), F.col("size").alias("size_x"), F.col("root").alias("root_x"))
-    right = rest.select("key", F.col("id").alias("y"), F.col("size").alias("size_y"), F.col("root").alias("root_y"), (F.col("root") == F.col("lead_root")).alias("led"))
-    met = left.join(right, "key").where("root_x <> root_y and (led or x < y)")
-    return ordered_pairs(met)
-
-
-def ordered_pairs(met: DataFrame) -> DataFrame:
-    """Pairs (x, y) with their sizes, the smaller node first."""
-    first = F.col("x") < F.col("y")
-    return met.select(
-        F.least("x", "y").alias("a"),
-        F.greatest("x", "y").alias("b"),
-        F.when(first, F.col("size_x")).otherwise(F.col("size_y")).alias("size_a"),
-        F.when(first, F.col("size_y")).otherwise(F.col("size_x")).alias("size_b"),
-    )
+    left = rest.where("root <> lead_root").select("key", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("root").alias("root_a"))
+    right = rest.select("key", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"), (F.col("root") == F.col("lead_root")).alias("led"))
+    once = (left["root_a"] != right["root_b"]) & (right["led"] | (left["a"] < right["b"]))
+    met = left.join(right, (left["key"] == right["key"]) & once & may_link)
+    return met.select(*ordered("a", "b", "size_a", "size_b")).distinct()
+
+
+def ordered(a: str, b: str, size_a: str, size_b: str) -> list[Column]:
+    """A pair with its sizes, the smaller node first."""
+    first = F.col(a) < F.col(b)
+    return [
+        F.least(a, b).alias("a"),
+        F.greatest(a, b).alias("b"),
+        F.when(first, F.col(size_a)).otherwise(F.col(size_b)).alias("size_a"),
+        F.when(first, F.col(size_b)).otherwise(F.col(size_a)).alias("size_b"),
+    ]

@@ -3,10 +3,11 @@
 A line is normalised to its lower-case words, with ASCII punctuation and white space as one space.
 Equal normalised lines are one node, aggregated before anything is compared. The SimHash of a node has
 ``BLOCKS`` blocks of 32 bits. A bit is the weighted majority of that bit of the word hashes; the weight
-of a word is its squared length over an exponential draw, cubed, with draws of its own for
+of a word is its squared length times its rarity over an exponential draw, cubed, with draws of its own for
 each block. So a few words, other ones in each block, decide a block, and an edit leaves the
 blocks alone that its words do not decide. By the pigeonhole principle, edits that reach at most three of
-the five blocks leave two as they were: every two blocks are a key, and lines that share one are candidates.
+the five blocks leave two as they were: every two blocks are a key, and lines that share one are candidates,
+unless the SimHashes differ in more than ``MOST_BITS`` of their 160 bits, as those of strangers do that share two words.
 
 Lines of few words, and of scripts without spaces, have blocks over their character triples too.
 A coarse length class is part of each key, as edit similarity bounds the ratio of two lengths; a line near
@@ -23,7 +24,9 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from relist.llm.grouping import linked_groups, shared_keys
 from relist.llm.hashing import Words, mix, signed
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, release, split_evenly, stored, texts
+from relist.llm.runtime import bounded, column, cut_lineage, map_rows, release, shared, split_evenly, stored, texts
 
 _PUNCTUATION = b"\t\r\x0b\x0c" + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _PLAIN = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -50,6 +53,12 @@ _TRIPLE_BLOCKS = tuple(f"triple{n}" for n in range(BLOCKS))
 #: The signs of four bits, each in 16 bits of a number, so that one addition counts four majorities.
 _LANES = np.array([sum(1 << 16 * k for k in range(4) if nibble >> k & 1) for nibble in range(16)], np.uint64)
 LENGTH_CLASS = 4.0
+#: Bits in which the SimHashes of candidates may differ; three blocks of strangers differ in 48.
+MOST_BITS = 40
+#: A word is frequent if more than this share of all words are it; there cannot be more than 1 / FREQUENT of these.
+FREQUENT = 1e-5
+#: Buckets of lines up to this many rows are compared in pairs of numbers, before any text is read; larger ones have had this many leaders by then.
+SMALL, LEADERS = 200, 2
 #: Characters that are hashed together in one go, for speed alone.
 JOINED = 100_000
 
@@ -66,7 +75,41 @@ def normalised(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
-def line_table(text: str) -> dict[str, np.ndarray]:
+@dataclass
+class Rarity:
+    """Sorted hashes of the frequent words, and a factor below one for the weight of each; all other words have one."""
+
+    hashes: np.ndarray
+    factor: np.ndarray
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.ones(len(words))
+        slot = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+        return np.where(self.hashes[slot] == words, self.factor[slot], 1.0)
+
+
+def rarity(docs: DataFrame) -> Rarity:
+    """How frequent the frequent words of all lines are; a task sends a count per word of a batch."""
+
+    def run(batch: pa.RecordBatch) -> dict[str, object] | None:
+        hashes = [Words(normalised(text)).hash for text in texts(batch)]
+        if not hashes:
+            return None
+        found, times = np.unique(np.concatenate(hashes), return_counts=True)
+        return {"word": signed(found), "times": times}
+
+    counts = cut_lineage(map_rows(split_evenly(docs.select("text")), "word bigint, times bigint", run).groupBy("word").agg(F.sum("times").alias("times")))
+    total = counts.agg(F.sum("times")).first()[0] or 1
+    rows = counts.where(F.col("times") > total * FREQUENT).collect()
+    table = np.array(sorted((r.word % (1 << 64), r.times) for r in rows), np.uint64).reshape(-1, 2)
+    return Rarity(table[:, 0], np.square(np.log(table[:, 1].astype(np.float64) / total) / math.log(FREQUENT)))
+
+
+NO_RARITY = Rarity(np.zeros(0, np.uint64), np.zeros(0))
+
+
+def line_table(text: str, rare: Rarity = NO_RARITY) -> dict[str, np.ndarray]:
     """Line number, two digests, length in code points and blocks of each line with words; blocks over triples are 0 where the line has none (``triples``)."""
     data = normalised(text)
     words = Words(data)
@@ -82,7 +125,7 @@ def line_table(text: str) -> dict[str, np.ndarray]:
     points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
     chars = np.add.reduceat(points[words.end] - points[words.start], first) + count - 1
     found = {"line_no": line[first], "low": signed(low), "high": signed(high), "chars": chars}
-    found |= dict(zip(_WORD_BLOCKS, simhash_blocks(words, first, count, by_length=True), strict=True))
+    found |= dict(zip(_WORD_BLOCKS, simhash_blocks(words, first, count, word_weights(words, rare)), strict=True))
     return found | triple_blocks(data, words.raw, line[first], count) | {"by_words": count >= WORDS}
 
 
@@ -105,18 +148,21 @@ def triple_blocks(data: bytes, raw: np.ndarray, lines: np.ndarray, count: np.nda
     words = Words("\n".join(parts).encode("utf-8", "surrogatepass"))
     line = np.searchsorted(np.flatnonzero(words.raw == 10), words.start)
     first = np.flatnonzero(np.diff(line, prepend=-1))
-    for name, block in zip(_TRIPLE_BLOCKS, simhash_blocks(words, first, np.diff(first, append=len(line)), by_length=False), strict=True):
+    for name, block in zip(_TRIPLE_BLOCKS, simhash_blocks(words, first, np.diff(first, append=len(line)), np.ones(len(words))), strict=True):
         found[name][places] = block
     found["by_triples"][places] = True
     return found
 
 
-def simhash_blocks(words: Words, first: np.ndarray, count: np.ndarray, by_length: bool) -> list[np.ndarray]:
+def word_weights(words: Words, rare: Rarity) -> np.ndarray:
+    return np.square(np.clip(words.end - words.start - 2, 0.2, 16)) * rare.of(words.hash)
+
+
+def simhash_blocks(words: Words, first: np.ndarray, count: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     """The blocks of each line: ``first`` and ``count`` say which words it has.
 
     The weights of a line are scaled to a sum below 2^16, so that the majorities of four bits add up side by side in one number.
     """
-    weight = np.square(np.clip(words.end - words.start - 2, 0.2, 16)) if by_length else np.ones(len(words))
     blocks = []
     for seed in _SEEDS:
         drawn = mix(words.hash ^ seed)
@@ -174,8 +220,9 @@ def within(a: str, b: str, limit: int) -> bool:
     return score <= limit
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
+def line_rows(docs: DataFrame, rare: Rarity) -> DataFrame:
     """(doc_id, row, line_no, ...) of the lines of ``line_table``; ``row`` tells texts of one doc_id apart."""
+    sent = shared(docs.sparkSession, rare)
 
     def run(batch: pa.RecordBatch) -> dict[str, object] | None:
         if not batch.num_rows:
@@ -187,7 +234,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
             held.append(text)
             size += len(text)
             if size > JOINED or place == batch.num_rows - 1:
-                found = line_table("\n".join(held))
+                found = line_table("\n".join(held), sent.value)
                 found["line_no"] = found["line_no"] + begin[first]
                 parts.append(found)
                 held, size, first = [], 0, place + 1
@@ -207,7 +254,7 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def block_keys(nodes: DataFrame, plan: LineDedup) -> DataFrame:
-    """(key, id, size, rows): a key per two blocks of a node and length class looked into, those of several nodes alone; ``size`` is the length."""
+    """(key, id, size, rows): a key per two blocks of a node and length class looked into, those of several nodes alone; ``size`` is the length and the SimHash behind the key."""
     step = math.log(LENGTH_CLASS)
     own = F.floor(F.log(F.col("chars").cast("double")) / step)
     upper = F.floor(F.log(F.col("chars") * (100.0 / plan.percent) * 1.000001) / step)
@@ -215,16 +262,19 @@ def block_keys(nodes: DataFrame, plan: LineDedup) -> DataFrame:
     def keys(names: tuple[str, ...], kind: str) -> Column:
         return F.array(*(F.xxhash64(F.lit(f"{kind}{a}{b}"), names[a], names[b], "class") for a, b in KEYS))
 
-    none = F.array().cast("array<bigint>")
-    both = F.concat(F.when(F.col("by_words"), keys(_WORD_BLOCKS, "w")).otherwise(none), F.when(F.col("by_triples"), keys(_TRIPLE_BLOCKS, "t")).otherwise(none))
-    classed = nodes.withColumn("class", F.explode(F.array_distinct(F.array(own, upper))))
-    keyed = classed.select(F.explode(both).alias("key"), "id", F.col("chars").alias("size"))
-    return shared_keys(keyed)
+    def of(names: tuple[str, ...], kind: str, wanted: str) -> DataFrame:
+        classed = nodes.where(wanted).withColumn("class", F.explode(F.array_distinct(F.array(own, upper))))
+        size = F.struct("chars", *(F.col(name).alias(f"b{n}") for n, name in enumerate(names)))
+        return classed.select(F.explode(keys(names, kind)).alias("key"), "id", size.alias("size"))
+
+    return shared_keys(of(_WORD_BLOCKS, "w", "by_words").unionByName(of(_TRIPLE_BLOCKS, "t", "by_triples")))
 
 
 def may_link(plan: LineDedup) -> Column:
-    """What the lengths of two lines within the edit distance meet."""
-    return F.abs(F.col("size_a") - F.col("size_b")) * 100 <= F.greatest("size_a", "size_b") * (100 - plan.percent)
+    """What the lengths of two lines within the edit distance meet, and the SimHashes of candidates."""
+    near = F.abs(F.col("size_a.chars") - F.col("size_b.chars")) * 100 <= F.greatest("size_a.chars", "size_b.chars") * (100 - plan.percent)
+    bits = reduce(add, (F.bit_count(F.col(f"size_a.b{n}").bitwiseXOR(F.col(f"size_b.b{n}")).bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))) for n in range(BLOCKS)))
+    return near & (bits <= MOST_BITS)
 
 
 def first_lines(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -261,7 +311,7 @@ def confirmed(pairs: DataFrame, lines: DataFrame, plan: LineDedup) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:
     """(doc_id, row, dropped): the numbers of the lines to drop, for the documents that have any."""
-    rows = stored(line_rows(docs), "lines")
+    rows = stored(line_rows(docs, rarity(docs)), "lines")
     merged = rows.groupBy("low", "high").agg(
         F.min(F.struct("doc_id", "row", "line_no")).alias("first"),
         F.count(F.lit(1)).alias("times"),
@@ -272,7 +322,7 @@ def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:
     members = block_keys(nodes, plan)
     release(docs.sparkSession)
     lines = stored(first_lines(cut_lineage(members.select("id").distinct()), nodes, docs), "line-texts")
-    roots = linked_groups(members, lambda pairs: confirmed(pairs, lines, plan), may_link(plan))
+    roots = linked_groups(members, lambda pairs: confirmed(pairs, lines, plan), may_link(plan), small=SMALL, rounds=LEADERS)
     grouped = nodes.select("low", "high", "id", "first", "times").join(roots.withColumnRenamed("node", "id"), "id", "left")
     leaders = grouped.where("root is not null").groupBy("root").agg(F.min("first").alias("leader"))
     repeated = grouped.where("times > 1 or root is not null").join(leaders, "root", "left")

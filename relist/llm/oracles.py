@@ -80,20 +80,25 @@ def _record(html: str) -> str:
 
 
 FIXITY_SQL = f"""
-WITH damage AS (
-    SELECT page_id, url, coalesce(html, '') AS sound,
-        CASE WHEN substring(md5(page_id::VARCHAR), 1, 2) < '05' AND html[1] = '<' THEN '#' || html[2:] ELSE coalesce(html, '') END AS hurt
-    FROM pages
+WITH marked AS (
+    SELECT page_id, url, coalesce(html, '') AS html, substring(md5(page_id::VARCHAR), 1, 2) AS sign FROM pages
+), replica AS (
+    SELECT page_id, url, CASE WHEN sign < '05' AND html[1] = '<' THEN '#' || html[2:] WHEN sign >= '05' AND sign < '08' THEN html || '!' ELSE html END AS html
+    FROM marked WHERE page_id % 1000 NOT IN (500, 999)
+    UNION ALL SELECT page_id, 'inserted', 'more' FROM pages WHERE page_id % 1000 = 250
 ), recorded AS (
-    SELECT page_id, page_id // 1000 AS file, {_record("sound")} AS a, {_record("hurt")} AS b FROM damage
+    SELECT 'a' AS side, page_id, {_record("html")} AS record FROM marked UNION ALL SELECT 'b', page_id, {_record("html")} FROM replica
 ), placed AS (
-    SELECT page_id, file, strlen(a)::BIGINT AS length, sha256(a) AS expected_sha256,
-        CASE WHEN page_id % 1000 <> 999 THEN sha256(b) END AS found_sha256,
-        (sum(strlen(a)) OVER (PARTITION BY file ORDER BY page_id) - strlen(a))::BIGINT AS "offset"
+    SELECT side, page_id, page_id // 1000 AS file, strlen(record)::BIGINT AS length, sha256(record) AS sha256,
+        (sum(strlen(record)) OVER (PARTITION BY side, page_id // 1000 ORDER BY page_id, sha256(record)) - strlen(record))::BIGINT AS "offset"
     FROM recorded
+), alone AS (
+    SELECT *, row_number() OVER (PARTITION BY side, page_id ORDER BY sha256) AS nth FROM placed p
+    WHERE NOT EXISTS (SELECT 1 FROM placed o WHERE o.side <> p.side AND o.page_id = p.page_id AND o.sha256 = p.sha256)
 )
-SELECT file, "offset", length, page_id, CASE WHEN found_sha256 IS NULL THEN 'missing' ELSE 'changed' END AS kind, expected_sha256, found_sha256
-FROM placed WHERE expected_sha256 IS DISTINCT FROM found_sha256
+SELECT coalesce(a.file, b.file) AS file, coalesce(a."offset", b."offset") AS "offset", coalesce(a.length, b.length) AS length, coalesce(a.page_id, b.page_id) AS page_id,
+    CASE WHEN b.sha256 IS NULL THEN 'missing' WHEN a.sha256 IS NULL THEN 'extra' ELSE 'changed' END AS kind, a.sha256 AS expected_sha256, b.sha256 AS found_sha256
+FROM (SELECT * FROM alone WHERE side = 'a') a FULL JOIN (SELECT * FROM alone WHERE side = 'b') b ON a.page_id = b.page_id AND a.nth = b.nth
 """
 
 

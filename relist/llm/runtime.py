@@ -21,7 +21,7 @@ BROADCAST_ROWS = 500_000
 SLICE_BYTES = 4_000_000
 _SHARED: list[Broadcast] = []
 
-__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "release", "scratch_folder", "shared", "sliced", "split_evenly", "stored", "texts"]
+__all__ = ["BROADCAST_ROWS", "bounded", "column", "cut_lineage", "map_rows", "release", "scratch_folder", "shared", "sliced", "small_batches", "split_evenly", "stored", "texts"]
 
 
 def shared(spark: SparkSession, value: object) -> Broadcast:
@@ -69,7 +69,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def split_evenly(df: DataFrame) -> DataFrame:
     """Use all cores on a scan that came in fewer splits than there are; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return small_batches(df.repartition(cores) if df.rdd.getNumPartitions() < cores else df)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -92,6 +92,14 @@ def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield from sliced(batch.slice(half))
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session sending texts to Python by a thousand rows at once, unless it has a number of its own: both sides hold whole batches, outside of what Spark accounts for."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name) == "10000":
+        df.sparkSession.conf.set(name, "1000")
+    return df
+
+
 def map_rows(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], dict[str, object] | None]) -> DataFrame:
     """Apply ``function`` to every Arrow batch, or to its slices if it is large; it returns the columns of ``schema``."""
     target = StructType.fromDDL(schema)
@@ -105,4 +113,4 @@ def map_rows(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], di
                     yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in arrow], schema=arrow)
         pa.default_memory_pool().release_unused()
 
-    return df.mapInArrow(run, target)
+    return small_batches(df).mapInArrow(run, target)

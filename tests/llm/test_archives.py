@@ -43,16 +43,23 @@ def test_offsets_lie_one_behind_another(spark):
 
 
 def test_audit_finds_exactly_the_damage(spark):
+    """Changed, longer, lost and inserted records, in the middle and at the end of files: one row each, none for those that only moved."""
     sound = page_rows()
-    hurt = [(i, u, "#" + h[1:] if i in (3, 99, 250) and h else h) for i, u, h in sound if i not in (39, 399)]
-    hurt.append((19, "new", "<p>more</p>"))
+    hurt = [(i, u, "#" + h[1:] if i in (3, 99, 250) and h else h + "!!" if i in (41, 260) and h else h) for i, u, h in sound if i not in (39, 65, 399)]
+    hurt += [(19, "new", "<p>more</p>"), (108, "new", "<p>more</p>"), (None, "w", "<p>other</p>")]
     found = audit(pages(spark, sound), pages(spark, hurt), SMALL).collect()
-    assert {(r.page_id, r.kind) for r in found if r.page_id != 19} == {(3, "changed"), (99, "changed"), (250, "changed"), (39, "missing"), (399, "missing")}
-    assert {r.kind for r in found if r.page_id == 19} <= {"changed", "extra"}
-    before = {(r.file, r.offset): r.sha256 for r in records(pages(spark, sound), SMALL).collect()}
-    after = {(r.file, r.offset): r.sha256 for r in records(pages(spark, hurt), SMALL).collect()}
-    differ = {k: (before.get(k), after.get(k)) for k in before.keys() | after.keys() if before.get(k) != after.get(k)}
-    assert {(r.file, r.offset): (r.expected_sha256, r.found_sha256) for r in found} == differ
+    want = {(i, "changed") for i in (3, 99, 250, 41, 260)} | {(i, "missing") for i in (39, 65, 399)} | {(19, "extra"), (108, "extra"), (None, "extra")}
+    assert {(r.page_id, r.kind) for r in found} == want and len(found) == len(want)
+    text = {i: (u, h) for i, u, h in sound}
+    for r in found:
+        if r.kind != "extra":
+            assert r.expected_sha256 == hashlib.sha256(record(*text[r.page_id])).hexdigest() != r.found_sha256
+    before = {(r.file, r.offset, r.sha256) for r in records(pages(spark, sound), SMALL).collect()}
+    after = {(r.file, r.offset, r.sha256) for r in records(pages(spark, hurt), SMALL).collect()}
+    assert all((r.file, r.offset, r.expected_sha256) in before if r.kind != "extra" else (r.file, r.offset, r.found_sha256) in after for r in found)
+    several = [(5, "a", "1"), (5, "b", "2"), (5, "c", "3")]
+    kinds = [r.kind for r in audit(pages(spark, several), pages(spark, [(5, "b", "2"), (5, "d", "4")]), SMALL).collect()]
+    assert sorted(kinds) == ["changed", "missing"]
 
 
 def test_audit_of_equal_empty_and_copied_rows(spark):

@@ -7,7 +7,7 @@ import numpy as np
 
 from relist.llm import line_dedup
 from relist.llm.hashing import Words, mix
-from relist.llm.line_dedup import line_table, normalised, simhash_blocks, within, without_repeats
+from relist.llm.line_dedup import NO_RARITY, Rarity, line_table, normalised, simhash_blocks, within, without_repeats, word_weights
 from tests.llm.cases import edited, frame, odd_rows, prose
 
 
@@ -100,7 +100,7 @@ def test_blocks_are_weighted_majorities():
     """Against a plain sum over words and bits."""
     text = prose(3, 40)
     words = Words(text.encode())
-    (blocks,) = zip(*simhash_blocks(words, np.array([0]), np.array([len(words)]), by_length=True), strict=True)
+    (blocks,) = zip(*simhash_blocks(words, np.array([0]), np.array([len(words)]), word_weights(words, NO_RARITY)), strict=True)
     for seed, block in zip(line_dedup._SEEDS, blocks, strict=True):
         sums = np.zeros(32)
         for h, length in zip(words.hash, words.end - words.start, strict=True):
@@ -112,6 +112,14 @@ def test_blocks_are_weighted_majorities():
         assert [(int(block) >> bit & 1) == (sums[bit] > 0) for bit in range(32) if clear[bit]] == [True] * int(clear.sum())
 
 
+def test_frequent_words_weigh_less(spark):
+    rows = [(k, f"common {prose(k, 6)}") for k in range(50)]
+    found = line_dedup.rarity(frame(spark, rows))
+    words = Words(b"common never")
+    assert found.of(words.hash)[0] < 0.2 and found.of(words.hash)[1] == 1.0 and NO_RARITY.of(words.hash).tolist() == [1.0, 1.0]
+    assert word_weights(words, Rarity(words.hash[:1], np.array([0.5]))).tolist() == [8.0, 9.0]
+
+
 def test_edit_distance_equals_the_matrix():
     draw = random.Random(2)
     for _ in range(300):
