@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relist.llm.runtime import cut_lineage, stored
+from relist.llm.runtime import bounded, cut_lineage, stored
 
 Confirm = Callable[[DataFrame], DataFrame]
 Finish = Callable[[DataFrame], DataFrame]
@@ -63,10 +63,15 @@ def _star(directed: DataFrame, wanted: Column, own: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
+#: Shared keys, of two numbers each, up to which they are sent to every executor instead of all keys being shuffled.
+BROADCAST_KEYS = 2_000_000
+
+
 def shared_keys(keyed: DataFrame) -> DataFrame:
     """(key, id, size, rows): the rows of keys that several ids have, with how many rows; written once."""
     shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("rows")).where("low < high")
-    return stored(keyed.join(shared.select("key", "rows"), "key"), "shared-keys")
+    shared = bounded(cut_lineage(shared.select("key", "rows")), BROADCAST_KEYS)
+    return stored(keyed.join(shared, "key"), "shared-keys")
 
 
 def linked_groups(members: DataFrame, confirm: Confirm, may_link: Column, finish: Finish | None = None, small: int | None = None, rounds: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ of a word is its squared length times its rarity over an exponential draw, cubed
 each block. So a few words, other ones in each block, decide a block, and an edit leaves the
 blocks alone that its words do not decide. By the pigeonhole principle, edits that reach at most three of
 the five blocks leave two as they were: every two blocks are a key, and lines that share one are candidates,
-unless the SimHashes differ in more than ``MOST_BITS`` of their 160 bits, as those of strangers do that share two words.
+unless their plain SimHashes, without draws, differ in more than ``MOST_BITS`` of 64 bits, as those of strangers do that share two words.
 
 Lines of few words, and of scripts without spaces, have blocks over their character triples too.
 A coarse length class is part of each key, as edit similarity bounds the ratio of two lengths; a line near
@@ -24,9 +24,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
-from functools import reduce
 from itertools import combinations
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +33,7 @@ from pyspark.sql import functions as F
 
 from relist.llm.grouping import linked_groups, shared_keys
 from relist.llm.hashing import Words, mix, signed
-from relist.llm.runtime import bounded, column, cut_lineage, map_rows, release, shared, split_evenly, stored, texts
+from relist.llm.runtime import BROADCAST_ROWS, bounded, column, cut_lineage, map_rows, release, shared, split_evenly, stored, texts
 
 _PUNCTUATION = b"\t\r\x0b\x0c" + bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _PLAIN = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -53,8 +51,8 @@ _TRIPLE_BLOCKS = tuple(f"triple{n}" for n in range(BLOCKS))
 #: The signs of four bits, each in 16 bits of a number, so that one addition counts four majorities.
 _LANES = np.array([sum(1 << 16 * k for k in range(4) if nibble >> k & 1) for nibble in range(16)], np.uint64)
 LENGTH_CLASS = 4.0
-#: Bits in which the SimHashes of candidates may differ; three blocks of strangers differ in 48.
-MOST_BITS = 40
+#: Bits in which the plain SimHashes of candidates may differ. Where half of the words are the same it is 21 on average, where one in ten is 30.
+MOST_BITS = 27
 #: A word is frequent if more than this share of all words are it; there cannot be more than 1 / FREQUENT of these.
 FREQUENT = 1e-5
 #: Buckets of lines up to this many rows are compared in pairs of numbers, before any text is read; larger ones have had this many leaders by then.
@@ -103,7 +101,7 @@ def rarity(docs: DataFrame) -> Rarity:
     total = counts.agg(F.sum("times")).first()[0] or 1
     rows = counts.where(F.col("times") > total * FREQUENT).collect()
     table = np.array(sorted((r.word % (1 << 64), r.times) for r in rows), np.uint64).reshape(-1, 2)
-    return Rarity(table[:, 0], np.square(np.log(table[:, 1].astype(np.float64) / total) / math.log(FREQUENT)))
+    return Rarity(table[:, 0], np.sqrt(np.log(table[:, 1].astype(np.float64) / total) / math.log(FREQUENT)))
 
 
 NO_RARITY = Rarity(np.zeros(0, np.uint64), np.zeros(0))
@@ -114,7 +112,7 @@ def line_table(text: str, rare: Rarity = NO_RARITY) -> dict[str, np.ndarray]:
     data = normalised(text)
     words = Words(data)
     if not len(words):
-        return {name: np.zeros(0, np.int64) for name in ("line_no", "low", "high", "chars", *_WORD_BLOCKS, *_TRIPLE_BLOCKS)} | {name: np.zeros(0, bool) for name in ("by_words", "by_triples")}
+        return {name: np.zeros(0, np.int64) for name in ("line_no", "low", "high", "chars", "sim", "triple_sim", *_WORD_BLOCKS, *_TRIPLE_BLOCKS)} | {name: np.zeros(0, bool) for name in ("by_words", "by_triples")}
     breaks = np.flatnonzero(words.raw == 10)
     line = np.searchsorted(breaks, words.start)
     first = np.flatnonzero(np.diff(line, prepend=-1))
@@ -125,13 +123,15 @@ def line_table(text: str, rare: Rarity = NO_RARITY) -> dict[str, np.ndarray]:
     points = np.concatenate([[0], np.cumsum((words.raw & 0xC0) != 0x80)])
     chars = np.add.reduceat(points[words.end] - points[words.start], first) + count - 1
     found = {"line_no": line[first], "low": signed(low), "high": signed(high), "chars": chars}
-    found |= dict(zip(_WORD_BLOCKS, simhash_blocks(words, first, count, word_weights(words, rare)), strict=True))
+    weight = word_weights(words, rare)
+    found["sim"] = plain_simhash(words, first, count, word_weights(words, NO_RARITY))
+    found |= dict(zip(_WORD_BLOCKS, simhash_blocks(words, first, count, weight), strict=True))
     return found | triple_blocks(data, words.raw, line[first], count) | {"by_words": count >= WORDS}
 
 
 def triple_blocks(data: bytes, raw: np.ndarray, lines: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
     """Blocks over the character triples of the lines of few words or of a script without spaces, 0 for all others."""
-    found = {name: np.zeros(len(lines), np.int32) for name in _TRIPLE_BLOCKS} | {"by_triples": np.zeros(len(lines), bool)}
+    found = {name: np.zeros(len(lines), np.int32) for name in _TRIPLE_BLOCKS} | {"triple_sim": np.zeros(len(lines), np.int64), "by_triples": np.zeros(len(lines), bool)}
     wide = np.unique(np.searchsorted(np.flatnonzero(raw == 10), np.flatnonzero(raw >= 0xE0)))  # lines with a character of three bytes or more
     chosen = np.flatnonzero((count <= FEW_WORDS) | np.isin(lines, wide))
     if not len(chosen):
@@ -148,36 +148,48 @@ def triple_blocks(data: bytes, raw: np.ndarray, lines: np.ndarray, count: np.nda
     words = Words("\n".join(parts).encode("utf-8", "surrogatepass"))
     line = np.searchsorted(np.flatnonzero(words.raw == 10), words.start)
     first = np.flatnonzero(np.diff(line, prepend=-1))
-    for name, block in zip(_TRIPLE_BLOCKS, simhash_blocks(words, first, np.diff(first, append=len(line)), np.ones(len(words))), strict=True):
+    each, weight = np.diff(first, append=len(line)), np.ones(len(words))
+    found["triple_sim"][places] = plain_simhash(words, first, each, weight)
+    for name, block in zip(_TRIPLE_BLOCKS, simhash_blocks(words, first, each, weight), strict=True):
         found[name][places] = block
     found["by_triples"][places] = True
     return found
 
 
+def majorities(drawn: np.ndarray, weight: np.ndarray, first: np.ndarray, count: np.ndarray, nibbles: int) -> np.ndarray:
+    """The weighted majority of each of the lowest bits of ``drawn``, by line.
+
+    The weights of a line are scaled to a sum below 2^16, so that the sums of four bits stand side by side in one number.
+    """
+    scaled = (weight * np.repeat(65_000 / np.add.reduceat(weight, first), count)).astype(np.uint64)
+    half = np.add.reduceat(scaled, first) // np.uint64(2)
+    found = np.zeros(len(first), np.uint64)
+    for nibble in range(nibbles):
+        bits = (drawn >> np.uint64(4 * nibble)).astype(np.uint8) & 15
+        total = np.add.reduceat(_LANES[bits] * scaled, first)
+        for k in range(4):
+            ones = (total >> np.uint64(16 * k)) & np.uint64(0xFFFF)
+            found |= (ones > half).astype(np.uint64) << np.uint64(4 * nibble + k)
+    return found
+
+
+def plain_simhash(words: Words, first: np.ndarray, count: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    return majorities(mix(words.hash ^ np.uint64(0x5157)), weight, first, count, 16).view(np.int64)
+
+
 def word_weights(words: Words, rare: Rarity) -> np.ndarray:
     return np.square(np.clip(words.end - words.start - 2, 0.2, 16)) * rare.of(words.hash)
 
 
 def simhash_blocks(words: Words, first: np.ndarray, count: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
     """The blocks of each line: ``first`` and ``count`` say which words it has.
-
-    The weights of a line are scaled to a sum below 2^16, so that the majorities of four bits add up side by side in one number.
     """
     blocks = []
     for seed in _SEEDS:
         drawn = mix(words.hash ^ seed)
         heavy = weight / -np.log(((drawn >> np.uint64(32)).astype(np.float64) + 0.5) / (1 << 32))
         heavy = heavy * heavy * heavy
-        scaled = (heavy * np.repeat(65_000 / np.add.reduceat(heavy, first), count)).astype(np.uint64)
-        half = np.add.reduceat(scaled, first) // np.uint64(2)
-        block = np.zeros(len(first), np.uint32)
-        for nibble in range(8):
-            bits = (drawn >> np.uint64(4 * nibble)).astype(np.uint8) & 15
-            total = np.add.reduceat(_LANES[bits] * scaled, first)
-            for k in range(4):
-                ones = (total >> np.uint64(16 * k)) & np.uint64(0xFFFF)
-                block |= (ones > half).astype(np.uint32) << np.uint32(4 * nibble + k)
-        blocks.append(block.view(np.int32))
+        blocks.append(majorities(drawn, heavy, first, count, 8).astype(np.uint32).view(np.int32))
     return blocks
 
 
@@ -245,7 +257,7 @@ def line_rows(docs: DataFrame, rare: Rarity) -> DataFrame:
         return whole | {"doc_id": doc_id, "row": row, "line_no": (number - begin[owner]).astype(np.int32)}
 
     blocks = ", ".join(f"{name} int" for name in (*_WORD_BLOCKS, *_TRIPLE_BLOCKS))
-    schema = f"doc_id bigint, row bigint, line_no int, low bigint, high bigint, chars bigint, by_words boolean, by_triples boolean, {blocks}"
+    schema = f"doc_id bigint, row bigint, line_no int, low bigint, high bigint, chars bigint, sim bigint, triple_sim bigint, by_words boolean, by_triples boolean, {blocks}"
     return map_rows(split_evenly(named(docs)), schema, run)
 
 
@@ -262,41 +274,44 @@ def block_keys(nodes: DataFrame, plan: LineDedup) -> DataFrame:
     def keys(names: tuple[str, ...], kind: str) -> Column:
         return F.array(*(F.xxhash64(F.lit(f"{kind}{a}{b}"), names[a], names[b], "class") for a, b in KEYS))
 
-    def of(names: tuple[str, ...], kind: str, wanted: str) -> DataFrame:
+    def of(names: tuple[str, ...], kind: str, wanted: str, sim: str) -> DataFrame:
         classed = nodes.where(wanted).withColumn("class", F.explode(F.array_distinct(F.array(own, upper))))
-        size = F.struct("chars", *(F.col(name).alias(f"b{n}") for n, name in enumerate(names)))
-        return classed.select(F.explode(keys(names, kind)).alias("key"), "id", size.alias("size"))
+        return classed.select(F.explode(keys(names, kind)).alias("key"), "id", F.struct("chars", F.col(sim).alias("sim")).alias("size"))
 
-    return shared_keys(of(_WORD_BLOCKS, "w", "by_words").unionByName(of(_TRIPLE_BLOCKS, "t", "by_triples")))
+    return shared_keys(of(_WORD_BLOCKS, "w", "by_words", "sim").unionByName(of(_TRIPLE_BLOCKS, "t", "by_triples", "triple_sim")))
 
 
 def may_link(plan: LineDedup) -> Column:
     """What the lengths of two lines within the edit distance meet, and the SimHashes of candidates."""
     near = F.abs(F.col("size_a.chars") - F.col("size_b.chars")) * 100 <= F.greatest("size_a.chars", "size_b.chars") * (100 - plan.percent)
-    bits = reduce(add, (F.bit_count(F.col(f"size_a.b{n}").bitwiseXOR(F.col(f"size_b.b{n}")).bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint"))) for n in range(BLOCKS)))
+    bits = F.bit_count(F.col("size_a.sim").bitwiseXOR(F.col("size_b.sim")))
     return near & (bits <= MOST_BITS)
 
 
 def first_lines(ids: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, line): the normalised line of each node in ``ids``, read again from the first document that has it."""
-    places = nodes.join(bounded(ids), "id", "left_semi").select("id", "first.doc_id", "first.row", "first.line_no")
-    places = places.groupBy("doc_id", "row").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
+    wanted = cut_lineage(nodes.join(bounded(ids), "id", "left_semi").select("id", "first.doc_id", "first.row", "first.line_no"))
+    by_text = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
+    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # of the lists' members, not of the lists
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         found, lines = [], []
-        for text, wanted in zip(texts(batch), column(batch, "wanted"), strict=True):
+        for text, members in zip(texts(batch), column(batch, "wanted"), strict=True):
             split = normalised(text).split(b"\n")
-            for place in wanted.as_py():
+            for place in members.as_py():
                 found.append(place["id"])
                 lines.append(b" ".join(split[place["line_no"]].split()).decode("utf-8", "replace"))
         return {"id": found, "line": lines}
 
-    once = named(docs).join(places, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
-    return map_rows(once.select("text", "wanted"), "id bigint, line string", run)
+    read = named(docs).join(F.broadcast(by_text) if few else by_text, ["doc_id", "row"]).select("text", "wanted")
+    return map_rows(read, "id bigint, line string", run)
 
 
-def confirmed(pairs: DataFrame, lines: DataFrame, plan: LineDedup) -> DataFrame:
+def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, plan: LineDedup) -> DataFrame:
     """The pairs (a, b) whose whole lines are within the edit distance."""
+    pairs = cut_lineage(pairs.select("a", "b"))
+    lines = first_lines(cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()), nodes, docs)
+    lines = cut_lineage(lines.dropDuplicates(["id"]))  # a text that is there again gives its lines again
     both = pairs.join(lines.select(F.col("id").alias("b"), F.col("line").alias("right")), "b").join(
         lines.select(F.col("id").alias("a"), F.col("line").alias("left")), "a"
     )
@@ -315,14 +330,13 @@ def repeated_lines(docs: DataFrame, plan: LineDedup = LineDedup()) -> DataFrame:
     merged = rows.groupBy("low", "high").agg(
         F.min(F.struct("doc_id", "row", "line_no")).alias("first"),
         F.count(F.lit(1)).alias("times"),
-        *(F.min(name).alias(name) for name in ("chars", "by_words", "by_triples", *_WORD_BLOCKS, *_TRIPLE_BLOCKS)),
+        *(F.min(name).alias(name) for name in ("chars", "sim", "triple_sim", "by_words", "by_triples", *_WORD_BLOCKS, *_TRIPLE_BLOCKS)),
     )
     nodes = stored(merged.withColumn("id", F.monotonically_increasing_id()), "line-nodes")
     release(docs.sparkSession)
     members = block_keys(nodes, plan)
     release(docs.sparkSession)
-    lines = stored(first_lines(cut_lineage(members.select("id").distinct()), nodes, docs), "line-texts")
-    roots = linked_groups(members, lambda pairs: confirmed(pairs, lines, plan), may_link(plan), small=SMALL, rounds=LEADERS)
+    roots = linked_groups(members, lambda pairs: confirmed(pairs, nodes, docs, plan), may_link(plan), small=SMALL, rounds=LEADERS)
     grouped = nodes.select("low", "high", "id", "first", "times").join(roots.withColumnRenamed("node", "id"), "id", "left")
     leaders = grouped.where("root is not null").groupBy("root").agg(F.min("first").alias("leader"))
     repeated = grouped.where("times > 1 or root is not null").join(leaders, "root", "left")
