@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relist.catalog import adapters as A
@@ -298,10 +298,44 @@ DRY_WHERE = "EXISTS (SELECT 1 FROM span WHERE span.site = listings.site_name AND
     "ext AS (SELECT count(DISTINCT d_id) AS n FROM picked WHERE d_id NOT IN (SELECT doc_id FROM inside)) "
     "SELECT true AS ok, true AS idempotent, CAST(0 AS BIGINT) AS changed_docs, (SELECT count(*) FROM picked) AS linked, true AS is_valid, "
     "(SELECT count(*) FROM inside) AS checked_docs, (SELECT count(*) FROM inside) + (SELECT n FROM ext) AS resolved_docs, (SELECT n FROM ext) AS resolved_external_refs, "
-    + ", ".join(f"CAST(0 AS BIGINT) AS {kind}" for kind in V.REPORT_KINDS),
+    + ", ".join(f"CAST(0 AS BIGINT) AS {kind}" for kind in V.REPORT_KINDS)
+    + ", (SELECT count(*) FROM inside) AS processed, (SELECT count(*) FROM picked) AS matches_found, "
+    "(SELECT string_agg(c_id || '>' || d_id, ',' ORDER BY c_id) FROM (SELECT * FROM picked ORDER BY c_id LIMIT 20)) AS matched, "
+    "(SELECT string_agg(doc_id, ',' ORDER BY doc_id) FROM (SELECT doc_id FROM inside WHERE doc_id NOT IN (SELECT c_id FROM picked) AND doc_id NOT IN (SELECT d_id FROM picked) ORDER BY doc_id LIMIT 20)) AS unmatched, "
+    "CAST(0 AS BIGINT) AS failures, CAST(0 AS BIGINT) AS changed_rows",
 )
 def match_dry_run(spark: SparkSession, sf: str) -> DataFrame:
     stored = A.listings(spark, sf).withColumn(
         "predecessor_id", F.when(F.col("parapi_unique_id") % 9 == 0, F.lit("left from before"))
     )
-    return dry_run.match_dry_run(stored, 240, 20, RULES, A.ntz(A.NOW)).summary
+    run = dry_run.match_dry_run(stored, 240, 20, RULES, A.ntz(A.NOW))
+
+    def joined(rows: DataFrame, value: Column) -> Column:
+        return rows.agg(F.array_join(F.sort_array(F.collect_list(value)), ",").alias("v")).scalar()
+
+    return run.summary.select(
+        "*",
+        run.metrics.agg(F.sum("processed").alias("v")).scalar().alias("processed"),
+        run.metrics.agg(F.sum("matches_found").alias("v")).scalar().alias("matches_found"),
+        joined(run.matched, F.concat_ws(">", "candidate_id", "predecessor_id")).alias("matched"),
+        joined(run.unmatched, F.col("id")).alias("unmatched"),
+        run.failures.agg(F.count("*").alias("v")).scalar().alias("failures"),
+        run.changed.agg(F.count("*").alias("v")).scalar().alias("changed_rows"),
+    )
+
+
+# Every listing should be linked as it is, but for every hundredth one.
+
+
+@query(
+    "scenario_invariants",
+    f"WITH RECURSIVE {LINKS_CTE}, {WHOLE_CYCLES} SELECT 'unexpected_links' AS kind, doc_id AS example FROM links WHERE CAST(substr(doc_id, 2) AS BIGINT) % 100 = 7 "
+    "UNION ALL SELECT 'missing_successors', doc_id || ' -> ' || successor_id FROM links WHERE successor_id IS NOT NULL AND successor_id NOT IN (SELECT doc_id FROM links) "
+    "UNION ALL SELECT 'shared_successor', successor_id FROM links WHERE successor_id IS NOT NULL GROUP BY successor_id HAVING count(*) > 1 "
+    "UNION ALL SELECT 'cycles', text FROM cycle_text",
+)
+def scenario_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    rows = A.chains(spark, sf)
+    other = F.substring("doc_id", 2, 20).cast("bigint") % 100 == 7
+    expected = links(spark, sf).withColumn("predecessor_id", F.when(other, F.lit("other")).otherwise(F.col("predecessor_id")))
+    return V.scenario_violations(rows, expected)

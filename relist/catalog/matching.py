@@ -226,7 +226,7 @@ def best_duplicate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("score_gate", match_sql("contended", BEST_SELECT + " WHERE score >= 0.7 AND d_start < c_start"))
 def score_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return C.score_gate(C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES), RULES)
+    return C.score_gate(C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES, min_score=RULES.min_score), RULES)
 
 
 # --- windows and sites -----------------------------------------------------------------------
@@ -300,7 +300,7 @@ def site_subset(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def claim(spark: SparkSession, sf: str) -> DataFrame:
-    best = C.score_gate(C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES), RULES)
+    best = C.score_gate(C.best_duplicate(candidates(spark, sf), A.listings(spark, sf), RULES, min_score=RULES.min_score), RULES)
     proposals = best.select(
         F.col("c_id").alias("candidate_id"),
         F.col("c_start").alias("offer_start"),
@@ -343,7 +343,7 @@ def greedy_links_split(spark: SparkSession, sf: str) -> DataFrame:
 )
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     asked, rows = candidates(spark, sf), A.listings(spark, sf)
-    gated = C.score_gate(C.best_duplicate(asked, rows, RULES), RULES)
+    gated = C.score_gate(C.best_duplicate(asked, rows, RULES, min_score=RULES.min_score), RULES)
     return R.run_metrics(rows, R.resolve_links(asked, rows, RULES), gated)
 
 
@@ -380,9 +380,13 @@ PROGRESS_SQL = (
     "max(ts) AS updated_at FROM {events} WHERE event_type <> 'signup' GROUP BY event_type"
 )
 PROGRESS_CTE = f"progress AS ({PROGRESS_SQL.format(events='events', ntz='')})"
+# Links from before: sound ones, to the next event, at the site that was reset before; at all others they lead nowhere and are reset.
+PAIR = "OVER (PARTITION BY floor(event_id / 2) ORDER BY event_id)"
 PRESET = A.CONTENDED | {
-    "predecessor_id": "CASE WHEN event_id % 50 = 0 THEN 'p' || CAST(event_id AS STRING) END",
-    "successor_id": "CASE WHEN event_id % 60 = 0 THEN 's' || CAST(event_id AS STRING) END",
+    "predecessor_id": "CASE WHEN event_type <> 'click' THEN CASE WHEN event_id % 50 = 0 THEN 'p' || CAST(event_id AS STRING) END "
+    f"WHEN event_id % 6 = 1 AND lag(event_type) {PAIR} = 'click' THEN '[click]' || CAST(event_id - 1 AS STRING) END",
+    "successor_id": "CASE WHEN event_type <> 'click' THEN CASE WHEN event_id % 60 = 0 THEN 's' || CAST(event_id AS STRING) END "
+    f"WHEN event_id % 6 = 0 AND lead(event_type) {PAIR} = 'click' THEN '[click]' || CAST(event_id + 1 AS STRING) END",
 }
 A.LISTING_SETS["preset"] = PRESET
 RESET_CTE = (
@@ -407,7 +411,7 @@ def progress(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("backfill_links", BACKFILL_SQL)
 def backfill_links(spark: SparkSession, sf: str) -> DataFrame:
-    run = run_backfill(A.listings(spark, sf, "preset"), progress(spark, sf), A.ntz(A.NOW), RULES, validate=False)
+    run = run_backfill(A.listings(spark, sf, "preset"), progress(spark, sf), A.ntz(A.NOW), RULES)
     linked = F.col("predecessor_id").isNotNull() | F.col("successor_id").isNotNull()
     return run.listings.select("doc_id", "predecessor_id", "successor_id").where(linked)
 

@@ -11,13 +11,13 @@ from relist.catalog.registry import query, table
 from relist.functions.payload import text
 from relist.functions.text import to_double
 from relist.operators import archiving as R
-from relist.operators import cursors as K
 from relist.plans.archive import archived_ids, run_archive
 from relist.plans.full_run import LINKS_SCHEMA
 from relist.plans.full_run import full_run as run_everything
 from relist.runtime import scratch_path
 from relist.sources import archive_store, feed, state, tables
-from relist.streaming.ingest import ingest, load_cursors
+from relist.schemas import LINK_COLUMNS, SITE_RUN_SCHEMA
+from relist.streaming.ingest import ingest, load_cursors, load_faults, persist_batch
 
 # --- feed ------------------------------------------------------------------------------------
 
@@ -104,11 +104,18 @@ def raw_scan_limit(spark: SparkSession, sf: str) -> DataFrame:
 UPSERT_BASE = "SELECT *, 'kept' || CAST(parapi_unique_id AS STRING) AS is_duplicate FROM listings WHERE parapi_unique_id % 3 <> 0"
 
 
+UPSERT_CHANGED = {"latest_price": "i.new_price", "name": "'changed'"}
+UPSERT_COLUMNS = ", ".join(
+    f"s.{name}" if name in LINK_COLUMNS else f"CASE WHEN i.doc_id IS NOT NULL THEN {UPSERT_CHANGED.get(name, f'i.{name}')} ELSE s.{name} END AS {name}"
+    for name in A.DIRTY
+    if name != "doc_id"
+)
+
+
 @query(
     "listing_upsert",
     f"WITH {A.listings_cte('dirty')}, s AS ({UPSERT_BASE}), i AS (SELECT *, value2 AS new_price FROM (SELECT *, coalesce(latest_price, 0) + 5 AS value2 FROM listings WHERE parapi_unique_id % 2 = 0) x) "
-    "SELECT coalesce(i.doc_id, s.doc_id) AS doc_id, CASE WHEN i.doc_id IS NOT NULL THEN i.new_price ELSE s.latest_price END AS latest_price, "
-    "CASE WHEN i.doc_id IS NOT NULL THEN 'changed' ELSE s.name END AS name, s.predecessor_id, s.successor_id, s.is_duplicate, "
+    f"SELECT coalesce(i.doc_id, s.doc_id) AS doc_id, {UPSERT_COLUMNS}, s.is_duplicate, "
     f"CASE WHEN i.doc_id IS NOT NULL THEN {A.NOW_SQL} END AS updated_at FROM s FULL JOIN i ON s.doc_id = i.doc_id",
 )
 def listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,9 +130,7 @@ def listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
             "predecessor_id": F.lit("ignored"),
         }
     )
-    return tables.upsert_listings(stored, incoming, A.ntz(A.NOW)).select(
-        "doc_id", "latest_price", "name", "predecessor_id", "successor_id", "is_duplicate", "updated_at"
-    )
+    return tables.upsert_listings(stored, incoming, A.ntz(A.NOW))
 
 
 @query(
@@ -229,55 +234,13 @@ def cursor_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "max_checked",
-    f"WITH {A.RAW_CTE} SELECT source AS site, max(TRY_CAST(r_checked AS TIMESTAMP)) AS ts FROM raw WHERE r_checked <> '' GROUP BY source",
+    f"WITH {A.RAW_CTE} SELECT source AS site, max(TRY_CAST(r_checked AS TIMESTAMP)) AS ts, count(*) FILTER (TRY_CAST(r_checked AS TIMESTAMP) IS NULL) AS unreadable FROM raw GROUP BY source",
 )
 def max_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """All ads, those without a time too: they are what keeps a site's cursor where it is."""
     raw = A.raw_ads(spark, sf).select("source", F.try_parse_json("payload").alias("payload"))
     ads = raw.select(F.col("source").alias("site"), text(F.col("payload"), "checked").alias("checked"))
-    return feed.max_checked(ads.where(F.col("checked") != ""), F.col("checked"))
-
-
-# One batch per site and 500 events; 'view' gets an empty batch, 'error' one that goes back.
-BATCHES_SQL = (
-    "SELECT site, seq, CASE WHEN site = 'view' AND seq = {empty} THEN CAST(0 AS BIGINT) ELSE count(*) END AS ads, "
-    "CASE WHEN site = 'view' AND seq = {empty} THEN NULL WHEN site = 'error' AND seq = {back} THEN min(ts) - INTERVAL '20' DAY ELSE max(ts) END AS max_checked "
-    "FROM (SELECT event_type AS site, CAST((event_id - event_id % 100) / 100 AS BIGINT) AS seq, ts FROM {events}) e GROUP BY site, seq"
-)
-STARTS_SQL = "SELECT event_type AS site, min(ts) - INTERVAL '1' DAY AS ts FROM {events} WHERE event_type <> 'click' GROUP BY event_type"
-
-
-@query(
-    "cursor_progress",
-    f"WITH RECURSIVE batches AS ({BATCHES_SQL.format(empty=6, back=4, events='events')}), starts AS ({STARTS_SQL.format(events='events')}), "
-    "numbered AS (SELECT b.*, row_number() OVER (PARTITION BY site ORDER BY seq) AS n FROM batches b), "
-    "walk AS (SELECT site, CAST(-1 AS BIGINT) AS seq, CAST(0 AS BIGINT) AS ads, CAST(NULL AS TIMESTAMP) AS max_checked, ts AS cursor_before, ts AS cursor_after, "
-    "CAST(0 AS BIGINT) AS n, true AS fetched, true AS advanced, false AS stopped FROM starts UNION ALL "
-    "SELECT b.site, b.seq, b.ads, b.max_checked, w.cursor_after, CASE WHEN g.go AND b.max_checked > w.cursor_after THEN b.max_checked ELSE w.cursor_after END, b.n, g.go, "
-    "g.go AND coalesce(b.max_checked > w.cursor_after, false), w.stopped OR (g.go AND NOT coalesce(b.max_checked > w.cursor_after, false)) "
-    "FROM walk w JOIN numbered b ON b.site = w.site AND b.n = w.n + 1, LATERAL (SELECT NOT w.stopped AND w.cursor_after < TIMESTAMP '2024-01-15' AS go) g) "
-    "SELECT site, seq, ads, max_checked, fetched, fetched AND ads > 0 AS persisted, advanced FROM walk WHERE n > 0",
-)
-def cursor_progress(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events")
-    batches = spark.sql(BATCHES_SQL.replace("{empty}", "6").replace("{back}", "4"), events=events)
-    starts = spark.sql(STARTS_SQL, events=events)
-    return K.cursor_progress(batches, starts, A.ntz("2024-01-15")).drop("cursor_before")
-
-
-STATUS_SQL = "SELECT event_type AS site, CASE WHEN max(value) > {limit} THEN 'value ' || CAST(max(value) AS STRING) END AS error FROM {events} GROUP BY event_type"
-
-
-@query(
-    "site_status",
-    f"WITH r AS ({STATUS_SQL.format(limit=300, events='events')}), f AS (SELECT min(site) AS site FROM r WHERE error IS NOT NULL) "
-    "SELECT site, 'isolated' AS mode, CASE WHEN error IS NULL THEN 'ok' ELSE 'failed' END AS status, error FROM r UNION ALL "
-    "SELECT r.site, 'strict', CASE WHEN r.site > (SELECT site FROM f) THEN 'not_run' WHEN error IS NULL THEN 'ok' ELSE 'failed' END, "
-    "CASE WHEN r.site > (SELECT site FROM f) THEN NULL ELSE error END FROM r",
-)
-def site_status(spark: SparkSession, sf: str) -> DataFrame:
-    results = spark.sql(STATUS_SQL.replace("{limit}", "300"), events=table(spark, sf, "events"))
-    isolated = K.site_status(results, strict=False).withColumn("mode", F.lit("isolated"))
-    return isolated.unionByName(K.site_status(results, strict=True).withColumn("mode", F.lit("strict")))
+    return feed.checked_times(ads, F.col("checked"))
 
 
 # --- archive ---------------------------------------------------------------------------------
@@ -409,17 +372,21 @@ FEED_COLUMNS = {
 AGAIN_CHECKED = "2024-02-05 00:00:00"
 
 
-def land(spark: SparkSession, sf: str, landing: str, part: int) -> None:
-    """Write one delivery of responses, a JSON list of up to 100 ads per line."""
+def delivery(spark: SparkSession, sf: str, part: str) -> DataFrame:
+    """Responses (site, body) of one delivery, a JSON list of up to 100 ads each.
+
+    ``first`` and ``second`` split the events in time, ``second`` with some of the first again; ``old`` repeats
+    the first days; ``faulty`` is ``second`` with a page of one site and an ad of another that cannot be read.
+    """
     rows = A.spark_view(spark, sf, "events", FEED_COLUMNS)
     first = rows.where(F.col("ts") < F.expr(SPLIT))
-    if part == 2:
+    if part in ("second", "faulty"):
         again = first.where("event_id % 10 = 0").withColumns(
             {"checked": F.lit(AGAIN_CHECKED), "price": (to_double(F.col("price")) + 1).cast("string")}
         )
         rows = rows.where(F.col("ts") >= F.expr(SPLIT)).unionByName(again)
     else:
-        rows = first
+        rows = first.where(F.col("ts") < F.expr(OLD)) if part == "old" else first
     ad = F.to_json(F.struct("unique_id", "checked", "added", "actual", "name", "mark", "model", "price", "run"))
     pages = (
         rows.select("site", F.floor(F.col("event_id") / 100).alias("page"), "event_id", ad.alias("ad"))
@@ -427,26 +394,95 @@ def land(spark: SparkSession, sf: str, landing: str, part: int) -> None:
         .agg(F.sort_array(F.collect_list(F.struct("event_id", "ad"))).alias("ads"))
     )
     body = F.concat(F.lit("["), F.array_join(F.transform("ads", lambda a: a["ad"]), ","), F.lit("]"))
-    pages.select("site", body.alias("value")).write.mode("append").partitionBy("site").text(landing)
+    pages = pages.select("site", body.alias("body"))
+    if part == "faulty":
+        pages = pages.unionByName(spark.createDataFrame([("error", "<html>busy</html>"), ("signup", UNREADABLE_AD)], "site string, body string"))
+    return pages
+
+
+OLD = "TIMESTAMP_NTZ '2024-01-05'"
+UNREADABLE_AD = '[{"unique_id": "999999999", "checked": "soon", "added": "2024-01-25 00:00:00", "actual": "1", "price": "5"}]'
+
+
+def land(spark: SparkSession, sf: str, landing: str, part: str) -> None:
+    delivery(spark, sf, part).withColumnRenamed("body", "value").write.mode("append").partitionBy("site").text(landing)
+
+
+FED_CTE = (
+    "f AS (SELECT *, ts < TIMESTAMP '2024-01-20' AS early, ts < TIMESTAMP '2024-01-20' AND event_id % 10 = 0 AS again, "
+    "date_trunc('second', ts) + (event_id % 72) * INTERVAL 1 HOUR AS checked, event_id // 100 AS page FROM events)"
+)
 
 
 @query(
     "ingest_batch",
-    "WITH f AS (SELECT *, ts < TIMESTAMP '2024-01-20' AND event_id % 10 = 0 AS again FROM events) "
-    "SELECT '[' || event_type || ']' || event_id AS doc_id, event_type AS site_name, date_trunc('second', ts) AS offer_start, "
-    f"CASE WHEN again THEN TIMESTAMP '{AGAIN_CHECKED}' ELSE date_trunc('second', ts) + (event_id % 72) * INTERVAL 1 HOUR END AS offer_end, "
-    "CASE WHEN again THEN value + 1 ELSE value END AS latest_price, "
-    f"(SELECT max(CASE WHEN g.again THEN TIMESTAMP '{AGAIN_CHECKED}' ELSE date_trunc('second', g.ts) + (g.event_id % 72) * INTERVAL 1 HOUR END) FROM f g WHERE g.event_type = f.event_type) AS cursor_ts FROM f",
+    f"WITH {FED_CTE}, cursors AS (SELECT event_type AS site, CASE WHEN event_type IN ('error', 'signup') THEN max(checked) FILTER (early) "
+    f"ELSE max(CASE WHEN again THEN TIMESTAMP '{AGAIN_CHECKED}' ELSE checked END) END AS ts FROM f GROUP BY event_type) "
+    "SELECT '[' || event_type || ']' || event_id AS doc_id, event_type AS site_name, date_trunc('second', f.ts) AS offer_start, "
+    f"CASE WHEN again THEN TIMESTAMP '{AGAIN_CHECKED}' ELSE checked END AS offer_end, "
+    "CASE WHEN again THEN value + 1 ELSE value END AS latest_price, cursors.ts AS cursor_ts, CASE WHEN event_type IN ('error', 'signup') THEN CAST(1 AS BIGINT) ELSE 0 END AS faults "
+    "FROM f JOIN cursors ON site = event_type UNION ALL "
+    "SELECT '[signup]999999999', 'signup', TIMESTAMP '2024-01-25 00:00:00', NULL, 5, (SELECT ts FROM cursors WHERE site = 'signup'), 1 WHERE EXISTS (SELECT 1 FROM cursors WHERE site = 'signup')",
 )
 def ingest_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deliveries through the streaming job, listings with their site's cursor."""
+    """Two deliveries through the streaming job, the second with a bad page of one site and a bad ad of another: all listings, with their site's cursor and faults."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "ingested")
-    for part in (1, 2):
+    for part in ("first", "faulty"):
         land(spark, sf, landing, part)
         ingest(spark, landing, out, A.ntz(A.NOW)).awaitTermination()
     current = tables.read_listings(spark, f"{out}/listings")
     cursors = load_cursors(spark, out).select(F.col("site").alias("site_name"), F.col("ts").alias("cursor_ts"))
-    return current.select("doc_id", "site_name", "offer_start", "offer_end", "latest_price").join(cursors, "site_name")
+    faults = load_faults(spark, out, 1).groupBy(F.col("site").alias("site_name")).agg(F.count("reason").alias("faults"))
+    listed = current.select("doc_id", "site_name", "offer_start", "offer_end", "latest_price").join(cursors, "site_name")
+    return listed.join(faults, "site_name", "left").fillna(0, "faults")
+
+
+def ingested(spark: SparkSession, sf: str, parts: list[tuple[str, str | None]]) -> DataFrame:
+    """What each of the deliveries (part, upper bound) did for each site."""
+    out = scratch_path(spark, "site-runs")
+    for number, (part, bound) in enumerate(parts):
+        persist_batch(delivery(spark, sf, part), number, out, A.ntz(A.NOW), load_till=None if bound is None else A.ntz(bound))
+    runs = spark.read.schema(SITE_RUN_SCHEMA).parquet(f"{out}/site_runs")
+    return runs.withColumnRenamed("version", "delivery")
+
+
+PARTS_CTE = (
+    f"{FED_CTE}, sent AS (SELECT event_type AS site, 'first' AS part, page, checked FROM f WHERE early UNION ALL "
+    "SELECT event_type, 'old', page, checked FROM f WHERE ts < TIMESTAMP '2024-01-05' UNION ALL "
+    f"SELECT event_type, 'second', page, CASE WHEN again THEN TIMESTAMP '{AGAIN_CHECKED}' ELSE checked END FROM f WHERE again OR NOT early), "
+    "sums AS (SELECT site, part, count(DISTINCT page) AS pages, count(*) AS ads, max(checked) AS max_checked FROM sent GROUP BY ALL)"
+)
+BOUND = "2024-01-22 21:00:00"
+
+
+@query(
+    "cursor_progress",
+    f"WITH {PARTS_CTE}, one AS (SELECT site, max_checked AS c FROM sums WHERE part = 'first'), "
+    f"three AS (SELECT one.site, c, c >= TIMESTAMP '{BOUND}' AS waits, s.pages, s.ads, s.max_checked FROM one JOIN sums s ON s.site = one.site AND s.part = 'second') "
+    "SELECT 0 AS delivery, site, 'ok' AS status, pages, ads, max_checked, NULL::TIMESTAMP AS cursor_before, max_checked AS cursor_after FROM sums WHERE part = 'first' UNION ALL "
+    "SELECT 1, s.site, 'ok', pages, ads, max_checked, c, c FROM sums s JOIN one ON one.site = s.site WHERE part = 'old' UNION ALL "
+    "SELECT 2, site, CASE WHEN waits THEN 'waiting' ELSE 'ok' END, CASE WHEN waits THEN 0 ELSE pages END, CASE WHEN waits THEN 0 ELSE ads END, "
+    "CASE WHEN NOT waits THEN max_checked END, c, CASE WHEN waits THEN c ELSE greatest(c, max_checked) END FROM three UNION ALL "
+    "SELECT 3, t.site, 'ok', CASE WHEN waits THEN t.pages ELSE 0 END + s.pages, CASE WHEN waits THEN t.ads ELSE 0 END + s.ads, "
+    "CASE WHEN waits THEN t.max_checked ELSE s.max_checked END, CASE WHEN waits THEN c ELSE greatest(c, t.max_checked) END, greatest(c, t.max_checked) "
+    "FROM three t JOIN sums s ON s.site = t.site AND s.part = 'old'",
+)
+def cursor_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Cursors over four deliveries: one that does not advance, one with a bound that some sites have reached, and one that takes what waited."""
+    runs = ingested(spark, sf, [("first", None), ("old", None), ("second", BOUND), ("old", None)])
+    return runs.select("delivery", "site", "status", "pages", "ads", "max_checked", "cursor_before", "cursor_after")
+
+
+@query(
+    "site_status",
+    f"WITH {PARTS_CTE} SELECT 0 AS delivery, site, 'ok' AS status, pages, ads, CAST(0 AS BIGINT) AS faults, NULL::VARCHAR AS error FROM sums WHERE part = 'first' UNION ALL "
+    "SELECT 1, site, CASE WHEN site IN ('error', 'signup') THEN 'failed' ELSE 'ok' END, pages + CASE WHEN site IN ('error', 'signup') THEN 1 ELSE 0 END, "
+    "ads + CASE WHEN site = 'signup' THEN 1 ELSE 0 END, CASE WHEN site IN ('error', 'signup') THEN 1 ELSE 0 END, "
+    f"CASE site WHEN 'error' THEN '{feed.BAD_PAGE.replace(chr(39), chr(39) * 2)}' WHEN 'signup' THEN '{feed.UNREADABLE.replace(chr(39), chr(39) * 2)}' END FROM sums WHERE part = 'second'",
+)
+def site_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Status of each site in a sound delivery and in one with faults of two sites."""
+    return ingested(spark, sf, [("first", None), ("faulty", None)]).select("delivery", "site", "status", "pages", "ads", "faults", "error")
 
 
 # The listings the two deliveries leave behind, with every block field the feed does not fill missing.
@@ -488,9 +524,9 @@ def full_run(spark: SparkSession, sf: str) -> DataFrame:
     The first match run only sets the markers; by the second run the first delivery has expired.
     """
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "run")
-    for part, now in ((1, A.NOW), (2, "2024-06-01 00:00:00")):
+    for run_no, (part, now) in enumerate((("first", A.NOW), ("second", "2024-06-01 00:00:00")), 1):
         land(spark, sf, landing, part)
-        report = run_everything(spark, landing, out, part, A.ntz(now), M.RULES)
+        report = run_everything(spark, landing, out, run_no, A.ntz(now), M.RULES)
         if report.failed:
             raise RuntimeError(f"{report.failed}: {report.error}")
     raw = feed.live_raw(spark.read.parquet(f"{out}/raw"), archived_ids(spark, out))

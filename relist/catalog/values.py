@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relist.catalog import adapters as A
@@ -78,10 +78,14 @@ def parse_iso(spark: SparkSession, sf: str) -> DataFrame:
     return A.scalars(spark, sf).select("event_id", D.iso_datetime(F.col("iso")).alias("v"))
 
 
-@query("parse_ingested_at", _scalar(DUCK_ISO, "v") + " WHERE event_id % 8 <> 5")
+@query(
+    "parse_ingested_at",
+    f"WITH {A.SCALARS_CTE} SELECT event_id, {DUCK_ISO} AS v, CASE WHEN event_id % 8 = 5 THEN 'Invalid ingested_at value: ' || coalesce(iso, 'null') END AS error FROM scalars",
+)
 def parse_ingested_at(spark: SparkSession, sf: str) -> DataFrame:
-    readable = A.scalars(spark, sf).where(F.col("iso") != "x")
-    return readable.select("event_id", D.required_ingested_at(F.col("iso")).alias("v"))
+    """Every value, or the error with which the strict form fails the job."""
+    value = F.col("iso")
+    return A.scalars(spark, sf).select("event_id", D.ingested_at(value).alias("v"), D.ingested_at_error(value).alias("error"))
 
 
 def duck_image(expression: str) -> str:
@@ -153,7 +157,8 @@ HISTORY_CTE = "history AS (" + " UNION ALL ".join(
     for i in range(len(A.RAW_HISTORY))
 ) + ")"
 BOUNDS_CTE = (
-    "bounds AS (SELECT event_id, count(*) AS items, arg_min(price, (moment, position)) AS first_price, "
+    "bounds AS (SELECT event_id, string_agg(epoch_us(moment) || ':' || CAST(round(price * 100) AS BIGINT) || ':' || coalesce(CAST(views AS VARCHAR), '-') || ':' || coalesce(kind, '-'), ';' "
+    "ORDER BY moment, position) AS items, arg_min(price, (moment, position)) AS first_price, "
     "arg_max(price, (moment, position)) AS last_price FROM history GROUP BY event_id)"
 )
 
@@ -269,7 +274,7 @@ DUCK_LISTING: dict[str, str] = (
         "last_checked": DUCK_CHECKED,
         "parsed_at": A.NOW_SQL,
         "offer_start": DUCK_ADDED,
-        "history_items": "coalesce(items, 0)",
+        "history": "coalesce(items, '')",
         "initial_price": DUCK_INITIAL,
         "latest_price": f"coalesce(last_price, {DUCK_INITIAL})",
         "is_new": f"coalesce({duck_bool('r_is_new')}, false)",
@@ -302,8 +307,12 @@ def mapped(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("map_listing", DUCK_LISTINGS)
 def map_listing(spark: SparkSession, sf: str) -> DataFrame:
+    def written(item: Column) -> Column:
+        views, kind = (F.coalesce(item[name].cast("string"), F.lit("-")) for name in ("views", "event_type"))
+        return F.concat_ws(":", D.epoch_micros(item["datetime"]).cast("string"), F.round(item["price"] * 100).cast("bigint").cast("string"), views, kind)
+
     shaped = {
-        "history_items": F.size("trans_history").cast("bigint"),
+        "history": F.array_join(F.transform("trans_history", written), ";"),
         "lat": F.col("location.lat"),
         "lon": F.col("location.lon"),
         "images": F.array_join("images", " "),
@@ -371,25 +380,41 @@ def month_bounds(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# Every tenth ad is not an object, every tenth holds a nested text field, every tenth a broken image.
+# Of ten ads one each is not an object, has a nested text field, a broken image, a number in a text field, a nested
+# parameter, a history type that is no text, and all three of the last.
+VIN, PARAM, TYPE = "vin must be text, not bigint", "params: состояние must be text, not object", "advert_info: type must be text, not boolean"
+
+
 @query(
     "invalid_split",
-    "SELECT event_id, CASE event_id % 10 WHEN 1 THEN 'payload is not an object' WHEN 2 THEN 'text field holds a nested value' "
-    "WHEN 3 THEN 'invalid image url' END AS reason FROM events",
+    "SELECT event_id, CASE event_id % 10 WHEN 1 THEN 'payload is not an object' WHEN 2 THEN 'city must be text, not object' "
+    f"WHEN 3 THEN 'invalid image url' WHEN 4 THEN '{VIN}' WHEN 5 THEN '{PARAM}' WHEN 6 THEN '{TYPE}' WHEN 7 THEN '{VIN}; {PARAM}; {TYPE}' END AS reasons FROM events",
 )
 def invalid_split(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_id") % 10
     payload = F.col("payload")
+
+    def field(value: str) -> Column:
+        """The payload with one more field in front, and the field of that name out of the way."""
+        name = value.split('"')[1]
+        renamed = F.replace(payload, F.lit(f'"{name}":'), F.lit(f'"{name}_old":'))
+        return F.concat(F.lit("{" + value + ","), F.substring(renamed, 2, 1 << 30))
+
+    vin, city = '"vin":5', '"city":{"a":1}'
+    param, typed = '"params":[{"name":"Состояние","value":{"a":1}}]', '"advert_info":[{"price":1,"type":true},{"type":1}]'
     broken = (
         F.when(kind == 1, F.concat(F.lit("["), payload, F.lit("]")))
-        .when(kind == 2, F.replace(payload, F.lit('"region":'), F.lit('"city":{"a":1},"region_old":')))
+        .when(kind == 2, field(city))
         .when(kind == 3, F.replace(payload, F.lit("//img.example.com/last"), F.lit("//img example/last")))
+        .when(kind == 4, field(vin))
+        .when(kind == 5, field(param))
+        .when(kind == 6, field(typed))
         .otherwise(payload)
     )
     raw = A.raw_ads(spark, sf).withColumn("payload", broken)
-    # the second "city" of kind 2 would be a duplicate key
-    raw = raw.withColumn("payload", F.when(kind == 2, F.replace("payload", F.lit('"city":"'), F.lit('"city_old":"'))).otherwise(F.col("payload")))
+    for value in (vin, param, typed):
+        raw = raw.withColumn("payload", F.when(kind == 7, field(value)).otherwise(payload))
     valid, invalid = mapping.split_invalid(mapping.parse_payload(raw))
-    return valid.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(
-        invalid.select("event_id", F.col("invalid_reason").alias("reason"))
+    return valid.select("event_id", F.lit(None).cast("string").alias("reasons")).unionByName(
+        invalid.select("event_id", F.array_join("invalid_reasons", "; ").alias("reasons"))
     )

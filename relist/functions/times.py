@@ -48,14 +48,20 @@ def iso_datetime(value: Column) -> Column:
     )
 
 
+def ingested_at(value: Column) -> Column:
+    """Like :func:`iso_datetime` on stripped text."""
+    return iso_datetime(strip(value))
+
+
+def ingested_at_error(value: Column) -> Column:
+    """Why a value is no ingestion time; null when it is one."""
+    reason = F.concat(F.lit("Invalid ingested_at value: "), F.coalesce(value, F.lit("null")))
+    return F.when(ingested_at(value).isNull(), reason)
+
+
 def required_ingested_at(value: Column) -> Column:
-    """Like :func:`iso_datetime` on stripped text, but an unreadable value fails the job."""
-    return F.coalesce(
-        iso_datetime(strip(value)),
-        F.raise_error(
-            F.concat(F.lit("Invalid ingested_at value: "), F.coalesce(value, F.lit("null")))
-        ).cast("timestamp_ntz"),
-    )
+    """The ingestion time; an unreadable value fails the job."""
+    return F.coalesce(ingested_at(value), F.raise_error(ingested_at_error(value)).cast("timestamp_ntz"))
 
 
 def month_start(value: Column) -> Column:

@@ -44,6 +44,8 @@ DOUBLE_FIELDS = ("engine_power", "engine_volume_liters")
 HOT_BLOCK_ROWS = 10_000
 # Hot blocks are broadcast up to this number of 8-byte hashes.
 BROADCAST_ROWS = 1_000_000
+# Most ways over which the rows of a hot block that no bound splits are dealt.
+MOST_WAYS = 64
 # Marks "not split on this dimension"; real cells are small integers.
 WHOLE = -(2**31)
 
@@ -160,20 +162,39 @@ def _candidate_cells(hot: Column, name: str, tolerance: float) -> Column:
     return F.when(split, F.sequence(_cell(low, tolerance), _cell(high, tolerance))).otherwise(F.array(F.lit(WHOLE)))
 
 
-def hot_blocks(documents: DataFrame, hot_rows: int = HOT_BLOCK_ROWS) -> DataFrame | None:
-    """Hashes of blocks too large to be one join key, or None when there are none.
+def hot_blocks(documents: DataFrame, hot_rows: int = HOT_BLOCK_ROWS, candidates: DataFrame | None = None) -> DataFrame | None:
+    """Hashes of blocks too large to be one join key and the ways their unsplit rows are dealt, or None when there are none.
 
-    Counted once up front, since the usual answer saves both sides a join. There are at most
-    rows / hot_rows of them; the list is broadcast only up to a checked size.
+    A block is hot by the rows of either side. Counted once up front, since the usual answer saves both
+    sides a join. There are at most rows / hot_rows of them; the list is broadcast only up to a checked size.
     """
-    sizes = documents.groupBy(F.col("d_block").alias("hot_block")).count()
-    hot = cut_lineage(sizes.where(F.col("count") > hot_rows).select("hot_block"))
+    sides = [documents.select(F.col("d_block").alias("hot_block"))]
+    if candidates is not None:
+        sides.append(candidates.select(F.col("c_block").alias("hot_block")))
+    sizes = [side.groupBy("hot_block").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > hot_rows) for side in sides]
+    larger = reduce(DataFrame.unionByName, sizes).groupBy("hot_block").agg(F.max("rows").alias("rows"))
+    ways = F.least(F.ceil(F.col("rows") / F.lit(hot_rows)), F.lit(MOST_WAYS)).cast("int")
+    hot = cut_lineage(larger.select("hot_block", ways.alias("ways")))
     found = hot.count()
     if not found:
         return None
     return F.broadcast(hot) if found <= BROADCAST_ROWS else hot
 
 
+def _dealt(df: DataFrame, prefix: str, every: bool) -> DataFrame:
+    """Spread the rows of hot blocks that no bound splits over the block's ways.
+
+    Searching rows take one way each by hash; listings are there in every way, as an unsplit searching
+    row may claim any of them. All other rows go way 0.
+    """
+    whole = (F.col(f"{prefix}_cell_price") == WHOLE) & (F.col(f"{prefix}_cell_mileage") == WHOLE) & (F.col("ways") > 1)
+    if every:
+        ways = F.when(whole, F.sequence(F.lit(0), F.col("ways") - 1)).otherwise(F.array(F.lit(0)))
+        return df.withColumn(f"{prefix}_way", F.explode(ways)).drop("ways")
+    way = F.when(whole, F.pmod(F.xxhash64(f"{prefix}_id"), F.col("ways")).cast("int")).otherwise(F.lit(0))
+    return df.withColumn(f"{prefix}_way", way).drop("ways")
+
+
 def _add_cells(df: DataFrame, prefix: str, cells: dict[str, Column]) -> DataFrame:
     """One row per combination of cells; every listed dimension becomes a join key."""
     grid = F.transform(cells["day"], lambda day: F.struct(day.alias("day")))
@@ -226,6 +247,9 @@ def pair_listings(
             right_cells[name] = _document_cells(is_hot, F.col(f"d_{name}"), tolerance)
     left, right = _add_cells(candidates, "c", left_cells), _add_cells(documents, "d", right_cells)
     same_cells = [F.col(f"c_cell_{name}") == F.col(f"d_cell_{name}") for name in left_cells]
+    if hot is not None:
+        left, right = _dealt(left, "c", every=False), _dealt(right, "d", every=True)
+        same_cells.append(F.col("c_way") == F.col("d_way"))
     condition = (
         (F.col("c_block") == F.col("d_block"))
         & reduce(and_, same_cells)
@@ -249,11 +273,12 @@ def score_pairs(pairs: DataFrame, rules: MatchRules) -> DataFrame:
 
 
 def candidate_pairs(
-    candidates: DataFrame, listings: DataFrame, rules: MatchRules = MatchRules(), hot_rows: int = HOT_BLOCK_ROWS
+    candidates: DataFrame, listings: DataFrame, rules: MatchRules = MatchRules(), hot_rows: int = HOT_BLOCK_ROWS, min_score: float | None = None
 ) -> DataFrame:
-    """All (candidate, earlier listing) pairs the rules allow."""
-    documents = document_side(listings)
-    return pair_listings(candidate_side(candidates), documents, rules, hot_blocks(documents, hot_rows)).select(
+    """All (candidate, earlier listing) pairs the rules allow, or those of at least ``min_score``."""
+    documents, searching = document_side(listings), candidate_side(candidates)
+    hot = hot_blocks(documents, hot_rows, searching)
+    return pair_listings(searching, documents, rules, hot, min_score).select(
         "c_id", "d_id", "c_start", "c_price", "c_mileage", "d_start", "d_end", "d_price", "d_mileage"
     )
 
@@ -263,15 +288,15 @@ def best_duplicate(
     listings: DataFrame,
     rules: MatchRules = MatchRules(),
     hot_rows: int = HOT_BLOCK_ROWS,
+    min_score: float | None = None,
 ) -> DataFrame:
-    """Best-scored earlier listing per candidate among all of its pairs; the smallest id wins a tie."""
-    scored = score_pairs(candidate_pairs(candidates, listings, rules, hot_rows), rules)
-    best_first = Window.partitionBy("c_id").orderBy(F.col("score").desc(), "d_id")
-    return (
-        scored.withColumn("n", F.row_number().over(best_first))
-        .where(F.col("n") == 1)
-        .select("c_id", "d_id", "score", "c_start", "d_start")
-    )
+    """Best-scored earlier listing per candidate among all of its pairs; the smallest id wins a tie.
+
+    ``min_score`` leaves weaker pairs out inside the join: candidates whose best is below it have no row.
+    """
+    scored = score_pairs(candidate_pairs(candidates, listings, rules, hot_rows, min_score), rules)
+    best = F.min(F.struct((-F.col("score")).alias("loss"), "d_id", "score", "c_start", "d_start")).alias("best")
+    return scored.groupBy("c_id").agg(best).select("c_id", "best.d_id", "best.score", "best.c_start", "best.d_start")
 
 
 def score_gate(best: DataFrame, rules: MatchRules = MatchRules()) -> DataFrame:

@@ -196,37 +196,59 @@ URL_PATTERN = r"^https?://[^\s/?#:@\\]+(:[0-9]{1,5})?([/?#]\S*)?$"
 URL_LENGTH = 2083
 
 
-def invalid_reason(payload: Column) -> Column:
-    """Why a payload cannot become a listing; null when it can."""
-    texts = F.array(
-        *[
-            F.try_variant_get(payload, f"$.{key}", "variant")
-            for key in (*TEXT_FIELDS.values(), *TEXT_OR_EMPTY_FIELDS.values())
-        ]
-    )
-    nested = F.exists(
-        texts, lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY|BOOLEAN)"), F.lit(False))
+def _kind(value: Column) -> Column:
+    """The type of a variant value in small letters, without its inner types; null for a missing value."""
+    return F.lower(F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0))
+
+
+def _not_text(name: Column, value: Column, whole_numbers: Column | None = None) -> Column:
+    """Why a value cannot fill a text column; null when it is a text, null or missing (or a whole number, where these are fine)."""
+    kind = _kind(value)
+    fine = kind.isin("string", "void")
+    if whole_numbers is not None:
+        fine = fine | (whole_numbers & (kind == "bigint"))
+    return F.when(~fine, F.concat(name, F.lit(" must be text, not "), kind))
+
+
+def invalid_reasons(payload: Column) -> Column:
+    """Why a payload cannot become a listing, all reasons in order; empty when it can.
+
+    Every value that a text column is read from must be a text: plain fields, the last value of each named
+    parameter, and the type of each history item. The listing's own id may be a whole number.
+    """
+    keys = (*TEXT_FIELDS.values(), *TEXT_OR_EMPTY_FIELDS.values())
+    plain = F.transform(
+        F.array(*[F.struct(F.lit(key).alias("key"), F.try_variant_get(payload, f"$.{key}", "variant").alias("value")) for key in keys]),
+        lambda field: _not_text(field["key"], field["value"], field["key"] == F.lit("id")),
     )
-    bad_image = F.exists(
-        P.image_list(payload), lambda u: ~u.rlike(URL_PATTERN) | (F.length(u) > F.lit(URL_LENGTH))
+    params = F.filter(
+        F.transform(
+            F.try_variant_get(payload, "$.params", "array<variant>"),
+            lambda item: F.struct(
+                F.lower(blank_to_null(P.text(item, "name"))).alias("name"), F.try_variant_get(item, "$.value", "variant").alias("value")
+            ),
+        ),
+        lambda item: item["name"].isin(list(PARAM_FIELDS.values())),
     )
-    return (
-        F.when(payload.isNull() | ~P.is_object(payload), F.lit("payload is not an object"))
-        .when(nested, F.lit("text field holds a nested value"))
-        .when(bad_image, F.lit("invalid image url"))
+    last = F.filter(params, lambda item, place: ~F.exists(F.slice(params, place + 2, F.size(params)), lambda other: other["name"] == item["name"]))
+    named = F.transform(last, lambda item: _not_text(F.concat(F.lit("params: "), item["name"]), item["value"]))
+    history = F.transform(
+        F.filter(F.try_variant_get(payload, "$.advert_info", "array<variant>"), lambda item: to_double(P.text(item, "price")).isNotNull()),
+        lambda item: _not_text(F.lit("advert_info: type"), F.try_variant_get(item, "$.type", "variant")),
     )
+    images = F.transform(P.image_list(payload), lambda u: F.when(~u.rlike(URL_PATTERN) | (F.length(u) > F.lit(URL_LENGTH)), F.lit("invalid image url")))
+    none = F.array().cast("array<string>")
+    found = F.array_distinct(F.array_compact(F.concat(plain, F.coalesce(named, none), F.coalesce(history, none), F.coalesce(images, none))))
+    return F.when(payload.isNull() | ~P.is_object(payload), F.array(F.lit("payload is not an object"))).otherwise(found)
 
 
 def split_invalid(raw: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with their reason). ``strict`` fails the job instead."""
+    """(valid rows, quarantined rows with all their reasons). ``strict`` fails the job instead."""
     # the lambda binds the payload, so a filter pushed below the parse still parses each row once
-    reason = F.get(F.transform(F.array("payload"), invalid_reason), F.lit(0))
-    marked = raw.withColumn("invalid_reason", reason)
+    reasons = F.get(F.transform(F.array("payload"), invalid_reasons), F.lit(0))
+    marked = raw.withColumn("invalid_reasons", reasons)
+    sound = F.size("invalid_reasons") == 0
     if strict:
-        marked = marked.withColumn(
-            "invalid_reason",
-            F.when(F.col("invalid_reason").isNotNull(), F.raise_error(F.col("invalid_reason")).cast("string")),
-        )
-    valid = marked.where(F.col("invalid_reason").isNull()).drop("invalid_reason")
-    return valid, marked.where(F.col("invalid_reason").isNotNull())
-
+        fail = F.raise_error(F.array_join("invalid_reasons", "; ")).cast("array<string>")
+        marked = marked.withColumn("invalid_reasons", F.when(sound, F.col("invalid_reasons")).otherwise(fail))
+    return marked.where(sound).drop("invalid_reasons"), marked.where(~sound)

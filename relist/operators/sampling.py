@@ -46,7 +46,7 @@ def match_quality(
 ) -> DataFrame:
     """Sampled candidates with a high-scored best duplicate, both shown side by side."""
     asked = candidates.join(sample.select("doc_id"), "doc_id", "left_semi")
-    best = best_duplicate(asked, listings, rules).where(F.col("score") > F.lit(score))
+    best = best_duplicate(asked, listings, rules, min_score=score).where(F.col("score") > F.lit(score))
     view = short_view(listings)
 
     def side(prefix: str, key: str) -> DataFrame:

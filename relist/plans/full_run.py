@@ -52,8 +52,9 @@ def full_run(
     """
 
     def ingest_stage() -> None:
-        query = ingest(spark, landing, out, now)
-        query.awaitTermination()
+        query = ingest(spark, landing, out, now, load_till=now)
+        if query is not None:
+            query.awaitTermination()
 
     def match_stage() -> None:
         links_path, markers_path = f"{out}/links", f"{out}/markers"

@@ -25,6 +25,11 @@ def committed_versions(spark: SparkSession, path: str, below: int | None = None)
     return [version for version in versions if below is None or version < below]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run; nothing is written yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -76,6 +76,15 @@ LISTING_SCHEMA = T.StructType(
 
 LINK_COLUMNS = ("predecessor_id", "successor_id")
 
+#: A listing as the append log holds it: with its key and the time of its write, its links in a table of their own.
+STORED_LISTING = T.StructType(
+    [
+        T.StructField("doc_id", T.StringType()),
+        *(f for f in LISTING_SCHEMA.fields if f.name not in LINK_COLUMNS),
+        T.StructField("updated_at", T.TimestampNTZType()),
+    ]
+)
+
 CURSOR_SCHEMA = T.StructType(
     [T.StructField("site", T.StringType()), T.StructField("ts", T.TimestampNTZType())]
 )
@@ -103,3 +112,39 @@ RAW_SCHEMA = T.StructType(
         T.StructField("position", T.IntegerType()),
     ]
 )
+
+#: What a micro-batch did for a site: pages and ads it brought, faults among them, and the cursor before and after.
+SITE_RUN_SCHEMA = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("pages", T.LongType()),
+        T.StructField("ads", T.LongType()),
+        T.StructField("faults", T.LongType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("max_checked", T.TimestampNTZType()),
+        T.StructField("cursor_before", T.TimestampNTZType()),
+        T.StructField("cursor_after", T.TimestampNTZType()),
+    ]
+)
+
+PAGE_SCHEMA = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("body", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("file_time", T.TimestampType()),
+        T.StructField("page_id", T.StringType()),
+    ]
+)
+
+FAULT_SCHEMA = T.StructType(
+    [
+        T.StructField("site", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("page_id", T.StringType()),
+        T.StructField("position", T.IntegerType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("content", T.StringType()),
+    ]
+)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from relist.functions.payload import is_object
 from relist.functions.times import checked_datetime
+from relist.runtime import path_exists
 from relist.schemas import RAW_SCHEMA
 
 
@@ -17,21 +18,26 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+BAD_PAGE = "feed response must be a list or an object with an 'ads' list"
+
+
+def page_items(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``items``, the list that a ``body`` is or has under ``ads``, and ``page_error`` where there is none."""
+    body = F.col("parsed_body")
+    items = F.coalesce(F.try_variant_get(body, "$", "array<variant>"), F.try_variant_get(body, "$.ads", "array<variant>"))
+    parsed = pages.withColumn("parsed_body", F.try_parse_json("body")).withColumn("items", items).drop("parsed_body")
+    return parsed.withColumn("page_error", F.when(F.col("items").isNull(), F.lit(BAD_PAGE)))
+
+
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per ad of each ``body``, which is a list or an object with a list under ``ads``.
 
     Items that are no objects are dropped; any other body fails the job. Columns of ``pages``
     other than ``body`` are kept; ``payload`` is the ad as VARIANT, ``position`` its place.
     """
-    body = F.col("body")
     kept = [name for name in pages.columns if name != "body"]
-    parsed = pages.withColumn("body", F.try_parse_json("body"))
-    items = F.coalesce(
-        F.try_variant_get(body, "$", "array<variant>"),
-        F.try_variant_get(body, "$.ads", "array<variant>"),
-        F.raise_error(F.lit("feed response must be a list or an object with an 'ads' list")).cast("array<variant>"),
-    )
-    exploded = parsed.select(*kept, F.posexplode(items).alias("position", "payload"))
+    items = F.coalesce("items", F.raise_error(F.col("page_error")).cast("array<variant>"))
+    exploded = page_items(pages).select(*kept, F.posexplode(items).alias("position", "payload"))
     return exploded.where(is_object(F.col("payload")))
 
 
@@ -59,8 +65,8 @@ def append_raw(raw: DataFrame, path: str) -> None:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows with their declared types, so that a source named by digits stays text."""
-    return spark.read.schema(RAW_SCHEMA).parquet(path)
+    """Raw rows with their declared types, so that a source named by digits stays text; none where nothing was written yet."""
+    return spark.read.schema(RAW_SCHEMA).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], RAW_SCHEMA)
 
 
 def live_raw(raw: DataFrame, deleted: DataFrame) -> DataFrame:
@@ -73,19 +79,16 @@ def scan_raw(raw: DataFrame, limit: int = 1000) -> DataFrame:
     return raw.orderBy("raw_id").limit(limit)
 
 
+def checked_times(ads: DataFrame, checked: Column) -> DataFrame:
+    """Per site the newest check time and how many ads have no readable one."""
+    time = checked_datetime(checked)
+    return ads.groupBy("site").agg(F.max(time).alias("ts"), F.count_if(time.isNull()).alias("unreadable"))
+
+
+UNREADABLE = "ad without a valid 'checked' time"
+
+
 def max_checked(ads: DataFrame, checked: Column) -> DataFrame:
     """Next cursor per site; an ad without a readable time fails the job."""
-    time = checked_datetime(checked)
-    return (
-        ads.groupBy("site")
-        .agg(F.max(time).alias("ts"), F.count_if(time.isNull()).alias("unreadable"))
-        .select(
-            "site",
-            F.when(
-                F.col("unreadable") > 0,
-                F.raise_error(F.concat(F.lit("ad without a valid 'checked' time at "), F.col("site"))).cast("timestamp_ntz"),
-            )
-            .otherwise(F.col("ts"))
-            .alias("ts"),
-        )
-    )
+    fail = F.raise_error(F.concat(F.lit(f"{UNREADABLE} at "), F.col("site"))).cast("timestamp_ntz")
+    return checked_times(ads, checked).select("site", F.when(F.col("unreadable") > 0, fail).otherwise(F.col("ts")).alias("ts"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from relist.runtime import committed_versions
-from relist.schemas import LINK_COLUMNS
+from relist.runtime import committed_versions, path_exists
+from relist.schemas import LINK_COLUMNS, STORED_LISTING
 
 
 def latest_per_key(rows: DataFrame, key: str, *order: str) -> DataFrame:
@@ -51,6 +51,8 @@ def append_listings(listings: DataFrame, path: str, version: int) -> None:
 def read_listings(spark: SparkSession, path: str, links: DataFrame | None = None) -> DataFrame:
     """Current listings: the latest version of each key, with its links from the link table."""
     folders = [f"{path}/version={version}" for version in committed_versions(spark, path)]
+    if not folders:
+        return ensure_columns(spark.createDataFrame([], STORED_LISTING), {name: "string" for name in LINK_COLUMNS})
     current = latest_per_key(spark.read.option("basePath", path).parquet(*folders), "doc_id", "version").drop("version")
     if links is None:
         return ensure_columns(current, {name: "string" for name in LINK_COLUMNS})
@@ -100,16 +102,10 @@ def copy_table(spark: SparkSession, source: str, target: str) -> DataFrame:
         raise ValueError("source and target are the same table")
     if not target.rstrip("/").endswith(TEST_SUFFIX):
         raise ValueError(f"target must end with {TEST_SUFFIX}")
-    copied = True
-    try:
-        copied = spark.read.parquet(target).isEmpty()
-        mode = "overwrite"
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        mode = "errorifexists"
+    present = path_exists(spark, target)
+    copied = not present or spark.read.parquet(target).isEmpty()
     if copied:
-        spark.read.parquet(source).write.mode(mode).parquet(target)
+        spark.read.parquet(source).write.mode("overwrite" if present else "errorifexists").parquet(target)
     return (
         row_count(spark.read.parquet(source), "source")
         .unionByName(row_count(spark.read.parquet(target), "target"))

@@ -9,34 +9,25 @@ from pyspark.sql import functions as F
 from relist.operators import mapping
 from relist.schemas import LISTING_SCHEMA
 
-INGESTED = datetime(2026, 1, 2, 3, 4, 5)
-
-DROM = {
-    "unique_id": "11", "site_id": "4", "id": "17", "company": "1", "is_new": "1", "actual": "0", "phone_protection": "0",
-    "checked": "2026-02-03 04:05:06", "added": "2025-11-07 08:00:00", "price": "640500", "year": "2024", "hourse": "72", "engine_vol": "1.2",
-    "run": "0", "actual_views": "31", "owners_num": None, "phone": None, "city_latitude": "10.25", "city_longitude": "20.5",
-    "advert_info": [{"price": "640500", "views": "31", "datetime": "2026-02-03 04:05:06", "type": "start"}],
-    "advert_image": [{"image": "https://img.example.com/1.jpg"}],
-    "params": [{"name": "Тип двигателя", "value": "бензин"}, {"name": "Коробка передач", "value": "механика"}],
-}
-AVITO = {
-    "unique_id": "22", "site_id": "2", "company": "0", "is_new": "0", "actual": "0", "phone_protection": "1",
-    "checked": "2026-02-03 05:00:00", "added": "2025-09-01 12:30:00", "price": "410000", "year": "2003", "hourse": "101", "engine_vol": "3.1",
-    "run": "240400", "actual_views": "912", "owners_num": "3", "city_latitude": "11.125", "city_longitude": "22.25",
-    "advert_info": [], "advert_image": [{"image": f"https://img.example.com/{i}.jpg"} for i in range(5)],
-    "params": [{"name": "тип двигателя", "value": "дизель"}, {"name": "коробка передач", "value": "механика"}],
-}
-AUTO = {
-    "unique_id": "33", "site_id": "3", "company": "0", "is_new": "0", "actual": "0", "phone_protection": "1",
-    "checked": "2026-02-03 06:07:08", "added": "2025-10-10 10:10:10", "price": "1", "year": "2012", "hourse": "133", "engine_vol": "2.5",
-    "run": "64000", "actual_views": "58", "owners_num": "1", "city_latitude": "12.5", "city_longitude": "23.75",
-    "advert_info": [{"price": "985000", "views": "1", "datetime": "2025-10-10 10:10:10", "type": "start"}],
-    "advert_image": [{"image": "//img.example.com/a"}] + [{"image": f"https://img.example.com/{i}"} for i in range(6)],
-    "params": [
-        {"name": "Тип двигателя", "value": "бензин"}, {"name": "Коробка передач", "value": "автоматическая"}, {"name": "Число дверей", "value": "4"},
-    ],
-    "advert_option": [{"category": "x", "name": "y"}],
-}
+INGESTED = datetime(2025, 6, 30, 23, 59, 1)
+
+
+def full_ad(**changes):
+    """An ad in which every key that a column reads has a value of its own, made from the name of the key."""
+    texts = {key: f"  some {key} " for key in (*mapping.TEXT_FIELDS.values(), *mapping.TEXT_OR_EMPTY_FIELDS.values())}
+    whole = {key: f" {200 + n} " for n, key in enumerate(mapping.INTEGER_FIELDS.values())}
+    halves = {key: 40.5 + n for n, key in enumerate(mapping.NUMBER_FIELDS.values())}
+    rest = {
+        "unique_id": 77_001, "company": True, "is_new": "1", "actual": "0", "phone_protection": 0, "run_type": "miles", "price": "15",
+        "checked": "2025-05-04 03:02:01", "added": "2025-05-01", "parsed": "2025-05-02 00:00:09", "city_latitude": "-3.5", "city_longitude": 170,
+        "params": [{"name": f" {key.upper()} ", "value": f"a {key} "} for key in mapping.PARAM_FIELDS.values()],
+        "advert_info": [
+            {"price": 18, "views": 3, "datetime": "2025-05-03 00:00:00", "type": "raised"},
+            {"price": "16.5", "views": None, "datetime": "2025-05-01 06:00:00", "type": " "},
+        ],
+        "advert_image": [{"image": "//pictures.example.org/front"}, {"image": " "}, {"image": "http://pictures.example.org/back"}],
+    }
+    return texts | whole | halves | rest | changes
 
 
 def raw(spark, *pairs):
@@ -48,28 +39,39 @@ def one(spark, source, body):
     return mapping.map_listings(raw(spark, (source, body))).first()
 
 
-def test_three_sites(spark):
-    rows = {r["site_name"]: r for r in mapping.map_listings(raw(spark, ("drom", DROM), ("avito", AVITO), ("auto.ru", AUTO))).collect()}
-    expected = {
-        "drom": ("[drom]11", "company", datetime(2026, 2, 3, 4, 5, 6), datetime(2025, 11, 7, 8), 640500.0, True, 2024, 72.0, 1.2, "бензин", "механика", None, None, 0, 31, None, False, (10.25, 20.5), 1),
-        "avito": ("[avito]22", "private", datetime(2026, 2, 3, 5), datetime(2025, 9, 1, 12, 30), 410000.0, False, 2003, 101.0, 3.1, "дизель", "механика", None, 3, 240400, 912, None, True, (11.125, 22.25), 5),
-        "auto": ("[auto]33", "private", datetime(2026, 2, 3, 6, 7, 8), datetime(2025, 10, 10, 10, 10, 10), 985000.0, False, 2012, 133.0, 2.5, "бензин", "автоматическая", "4", 1, 64000, 58, None, True, (12.5, 23.75), 7),
-    }
-    for site, want in expected.items():
-        r = rows[site]
-        assert r["last_checked"] == r["offer_end"] == want[2]
-        assert r["initial_price"] == r["latest_price"] == want[4]
-        got = (
-            r["doc_id"], r["seller_type"], r["offer_end"], r["offer_start"], r["latest_price"], r["is_new"], r["build_year"], r["engine_power"],
-            r["engine_volume_liters"], r["fuel"], r["gear_box"], r["doors_num"], r["count_owner"], r["mileage"], r["views_total"], r["phone"],
-            r["phone_protection"], tuple(r["location"]), len(r["images"]),
-        )
-        assert got == want
-    assert rows["auto"]["images"][0] == "https://img.example.com/a"
+def test_every_column_has_its_key(spark):
+    row = one(spark, "Garage-List", full_ad())
+    for name, key in (mapping.TEXT_FIELDS | mapping.TEXT_OR_EMPTY_FIELDS).items():
+        assert row[name] == f"some {key}", name
+    assert [row[name] for name in mapping.INTEGER_FIELDS] == [200 + n for n in range(len(mapping.INTEGER_FIELDS))]
+    assert [row[name] for name in mapping.NUMBER_FIELDS] == [40.5 + n for n in range(len(mapping.NUMBER_FIELDS))]
+    assert {name: row[name] for name in mapping.PARAM_FIELDS} == {name: f"a {key}" for name, key in mapping.PARAM_FIELDS.items()}
+    assert (row["doc_id"], row["site_name"], row["parapi_unique_id"]) == ("[garage-list]77001", "garage-list", 77_001)
+    assert (row["last_checked"], row["offer_start"], row["offer_end"]) == (datetime(2025, 5, 4, 3, 2, 1), datetime(2025, 5, 1), datetime(2025, 5, 4, 3, 2, 1))
+    assert (row["initial_price"], row["latest_price"]) == (16.5, 18.0)
+    assert [tuple(item) for item in row["trans_history"]] == [
+        (datetime(2025, 5, 1, 6), 16.5, None, None), (datetime(2025, 5, 3), 18.0, 3, "raised"),
+    ]
+    assert (row["seller_type"], row["is_new"], row["phone_protection"], row["mileage_units"]) == ("company", True, False, "miles")
+    assert tuple(row["location"]) == (-3.5, 170.0)
+    assert row["images"] == ["https://pictures.example.org/front", "http://pictures.example.org/back"]
+
+
+def test_flags(spark):
+    flags = [("1", "1", "1", "1"), (False, 0, "0", False), (None, None, None, None)]
+    names = ("company", "is_new", "phone_protection", "actual")
+    rows = mapping.map_listings(raw(spark, *(("s", full_ad(unique_id=n, **dict(zip(names, flag, strict=True)))) for n, flag in enumerate(flags)))).collect()
+    found = {r["parapi_unique_id"]: (r["seller_type"], r["is_new"], r["phone_protection"], r["offer_end"] is not None) for r in rows}
+    assert found == {0: ("company", True, True, False), 1: ("private", False, False, True), 2: ("unknown", False, None, False)}
+
+
+def test_missing_parts(spark):
+    row = one(spark, " ", {"params": None, "advert_image": "none", "city_latitude": "north"})
+    assert (row["site_name"], row["mileage_units"], row["url"], row["location"], row["images"], row["fuel"]) == ("unknown", "km", "", None, [], None)
 
 
 def test_schema_is_the_contract(spark):
-    mapped = mapping.map_listings(raw(spark, ("drom", DROM)))
+    mapped = mapping.map_listings(raw(spark, ("drom", full_ad())))
     assert [(f.name, f.dataType) for f in mapped.schema.fields[1:]] == [(f.name, f.dataType) for f in LISTING_SCHEMA.fields]
 
 
@@ -104,15 +106,20 @@ def test_missing_unique_id_collapses_to_zero(spark):
 
 
 def test_invalid_rows_are_set_aside_or_fail(spark):
-    rows = raw(
-        spark, ("drom", DROM), ("drom", "[1]"), ("drom", "not json"), ("drom", {"id": {"a": 1}}), ("drom", {"name": True}),
-        ("drom", {"advert_image": [{"image": "http:// bad"}]}),
-    )
+    bad = {
+        "[1]": ["payload is not an object"],
+        "not json": ["payload is not an object"],
+        json.dumps({"id": {"a": 1}, "name": True}): ["id must be text, not object", "name must be text, not boolean"],
+        json.dumps({"id": 5.5}): ["id must be text, not decimal"],
+        json.dumps({"vin": 7, "params": [{"name": "Цвет", "value": "a"}, {"name": " цвет ", "value": [1]}]}): ["vin must be text, not bigint", "params: цвет must be text, not array"],
+        json.dumps({"advert_info": [{"price": "5", "type": {"x": 1}}, {"price": 6, "type": 1}]}): ["advert_info: type must be text, not object", "advert_info: type must be text, not bigint"],
+        json.dumps({"advert_image": [{"image": "http:// bad"}]}): ["invalid image url"],
+    }
+    good = [full_ad(), full_ad(id=12), {"id": None, "vin": " "}, {"params": [{"name": "цвет", "value": 5}, {"name": "ЦВЕТ", "value": None}, {"name": "other", "value": 5}, 7], "advert_info": [{"type": 5}]}]
+    rows = raw(spark, *((str(n), body) for n, body in enumerate([*bad, *good])))
     valid, invalid = mapping.split_invalid(rows)
-    assert valid.count() == 1
-    assert sorted(r["invalid_reason"] for r in invalid.collect()) == sorted(
-        ["payload is not an object"] * 2 + ["text field holds a nested value"] * 2 + ["invalid image url"]
-    )
+    assert {r["source"]: r["invalid_reasons"] for r in invalid.collect()} == {str(n): reasons for n, reasons in enumerate(bad.values())}
+    assert valid.count() == len(good) and valid.columns == rows.columns
     with pytest.raises(Exception, match="USER_RAISED_EXCEPTION"):
         mapping.split_invalid(rows, strict=True)[0].count()
 

@@ -12,6 +12,7 @@ from relist.operators import resolver
 from relist.operators.links import apply_links
 from relist.operators.mapping import candidate_defaults
 from relist.operators.validation import scenario_violations, validate_chains
+import relist.plans.backfill as backfill_plan
 from relist.plans.backfill import run_backfill
 from relist.plans.matching import match_incremental
 from relist.schemas import CURSOR_SCHEMA
@@ -160,8 +161,8 @@ def score_of(spark, candidate, *documents):
 def test_scores_of_known_cases(spark):
     day = START - timedelta(days=1)
     asked = listing("new", START)
-    weaker = listing("weaker", START - timedelta(days=9), day, latest_price=1_050_000.0, mileage=103_000)
-    best = listing("best", START - timedelta(days=9), START - timedelta(days=2), latest_price=1_020_000.0, mileage=98_000)
+    weaker = listing("weaker", START - timedelta(days=9), day, latest_price=8_400.0, mileage=41_200)
+    best = listing("best", START - timedelta(days=9), START - timedelta(days=2), latest_price=8_160.0, mileage=39_200)
     assert score_of(spark, asked, weaker, best) == {"new": ("best", 0.661538)}
     no_mileage = listing("old", START - timedelta(days=9), day, mileage=None)
     assert score_of(spark, asked | {"mileage": None}, no_mileage) == {"new": ("old", 0.88)}
@@ -175,8 +176,8 @@ def test_bounds_are_inclusive(spark):
         document = listing("old", START - timedelta(days=9), START) | change
         return bool(score_of(spark, listing("new", START), document))
 
-    assert found(latest_price=900_000.0) and found(latest_price=1_100_000.0) and not found(latest_price=899_999.0)
-    assert found(mileage=95_000) and found(mileage=105_000) and not found(mileage=105_001) and not found(mileage=None)
+    assert found(latest_price=7_200.0) and found(latest_price=8_800.0) and not found(latest_price=7_199.0)
+    assert found(mileage=38_000) and found(mileage=42_000) and not found(mileage=42_001) and not found(mileage=None)
     assert found(offer_end=START - timedelta(days=5)) and found(offer_end=START + timedelta(days=3))
     assert not found(offer_end=START + timedelta(days=3, seconds=1)) and not found(offer_start=START)
     assert not found(successor_id="taken") and not found(brand=None)
@@ -285,6 +286,7 @@ def test_backfill_by_month_equals_one_pass(spark):
     monthly = run_backfill(table, progress, now, RULES, by_month=True)
     links = rows_of(whole.listings, "doc_id", "predecessor_id", "successor_id")
     assert links == rows_of(monthly.listings, "doc_id", "predecessor_id", "successor_id")
+    assert rows_of(whole.links, "candidate_id", "duplicate_id") == rows_of(monthly.links, "candidate_id", "duplicate_id")
     assert sum(1 for _, pred, _ in links if pred) > 20 and not any(pred == "stale" for _, pred, _ in links)
     # nothing from the running month on is linked, and progress stands at its start
     late = {r["doc_id"] for r in rows if r["offer_start"] >= datetime(2024, 11, 1)}
@@ -295,6 +297,34 @@ def test_backfill_by_month_equals_one_pass(spark):
     assert rows_of(resumed.listings, "doc_id", "predecessor_id", "successor_id") == links
 
 
+def test_backfill_goes_on_after_the_last_finished_month(spark, tmp_path, monkeypatch):
+    rng = random.Random(10)
+    rows = []
+    for i in range(150):
+        start = datetime(2024, 8, 1) + timedelta(hours=rng.randrange(24 * 90))
+        rows.append(listing(f"d{i}", start, start + timedelta(hours=rng.randrange(72)), brand=rng.choice("AB")))
+    table = listings(spark, rows)
+    progress = spark.createDataFrame([], "site string, next_from timestamp_ntz, reset_completed boolean, updated_at timestamp_ntz")
+    now = F.lit(datetime(2024, 11, 5)).cast("timestamp_ntz")
+    whole = rows_of(run_backfill(table, progress, now, RULES).listings, "doc_id", "predecessor_id", "successor_id")
+    asked = []
+    real = backfill_plan._month_links
+
+    def stopping(listings, candidates, rules, earlier, start, end):
+        asked.append(start.month)
+        if len(asked) == 4:
+            raise RuntimeError("lost")
+        return real(listings, candidates, rules, earlier, start, end)
+
+    monkeypatch.setattr(backfill_plan, "_month_links", stopping)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_backfill(table, progress, now, RULES, by_month=True, out=str(tmp_path))
+    (tmp_path / "links" / "version=202410").mkdir()  # of a month whose write did not finish
+    again = run_backfill(table, progress, now, RULES, by_month=True, out=str(tmp_path))
+    assert asked == [7, 8, 9, 10, 10]
+    assert rows_of(again.listings, "doc_id", "predecessor_id", "successor_id") == whole
+
+
 def test_apply_links_respects_claims(spark):
     table = listings(spark, [listing("a", START, successor_id="z"), listing("b", START), listing("c", START, predecessor_id="old")])
     links = spark.createDataFrame([("c", "a"), ("a", "b")], "candidate_id string, duplicate_id string")

@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import relist.plans.archive as archive_plan
-from relist.operators import archiving, cursors
+from relist.operators import archiving
 from relist.plans.archive import run_archive
 from relist.plans.full_run import full_run, run_stages
 from relist.runtime import shared_dir
-from relist.schemas import CURSOR_SCHEMA
+from relist.schemas import CURSOR_SCHEMA, SITE_RUN_SCHEMA
 from relist.sources import feed, state, tables
-from relist.streaming.ingest import ingest, load_cursors, persist_batch
+from relist.streaming.ingest import ingest, load_cursors, load_faults, persist_batch
 from tests.builders import rows_of
 
 
@@ -109,36 +109,6 @@ T0 = datetime(2026, 1, 1)
 T = [T0 + timedelta(seconds=5 * i) for i in range(4)]
 
 
-def progress(spark, batches, load_till):
-    frame = spark.createDataFrame([("s", i, n, t) for i, (n, t) in enumerate(batches)], "site string, seq int, ads int, max_checked timestamp_ntz")
-    start = spark.createDataFrame([("s", T0)], CURSOR_SCHEMA)
-    return cursors.cursor_progress(frame, start, ntz(load_till))
-
-
-def flags(df, name):
-    return [r[name] for r in df.orderBy("seq").collect()]
-
-
-def test_cursor_advances_until_empty(spark):
-    run = progress(spark, [(2, T[2]), (1, T[3]), (0, None), (1, T[3])], T0 + timedelta(days=1))
-    assert flags(run, "cursor_before")[:3] == [T[0], T[2], T[3]]
-    assert flags(run, "fetched") == [True, True, True, False]
-    assert flags(run, "advanced") == [True, True, False, False]
-    assert cursors.final_cursors(run).first()["ts"] == T[3]
-
-
-def test_cursor_stops_at_upper_bound(spark):
-    run = progress(spark, [(1, T[1]), (1, T[2]), (1, T[3])], T[2])
-    assert flags(run, "fetched") == [True, True, False]
-    assert cursors.final_cursors(run).first()["ts"] == T[2]
-
-
-def test_non_advancing_batch_keeps_data_not_cursor(spark):
-    run = progress(spark, [(3, T[0]), (1, T[3])], T0 + timedelta(days=1))
-    assert flags(run, "persisted") == [True, False]
-    assert cursors.final_cursors(run).first()["ts"] == T0
-
-
 def test_max_checked_rejects_unreadable_times(spark):
     ads = spark.createDataFrame([("s", "2026-01-01 00:00:05"), ("s", "2026-01-01 00:00:10")], "site string, checked string")
     assert feed.max_checked(ads, F.col("checked")).first()["ts"] == T[2]
@@ -146,12 +116,6 @@ def test_max_checked_rejects_unreadable_times(spark):
         feed.max_checked(ads.withColumn("checked", F.lit("later")), F.col("checked")).collect()
 
 
-def test_site_status(spark):
-    results = spark.createDataFrame([("a", None), ("b", "boom"), ("c", None)], "site string, error string")
-    assert rows_of(cursors.site_status(results, False), "site", "status") == {("a", "ok"), ("b", "failed"), ("c", "ok")}
-    assert rows_of(cursors.site_status(results, True), "site", "status") == {("a", "ok"), ("b", "failed"), ("c", "not_run")}
-
-
 def test_backfill_progress(spark):
     stored = spark.createDataFrame([], "site string, next_from timestamp_ntz, reset_completed boolean, updated_at timestamp_ntz")
     seen = spark.createDataFrame([("s", None, None)], "site string, next_from timestamp_ntz, reset_completed boolean")
@@ -211,15 +175,70 @@ def test_replayed_batch_leaves_no_second_copy(spark, tmp_path):
     assert tables.read_listings(spark, f"{out}/listings").count() == 1
 
 
-def test_bad_time_keeps_data_and_leaves_cursor(spark, tmp_path):
+def page(site, *ads):
+    return (site, json.dumps(list(ads)))
+
+
+def persist(spark, out, batch_id, *pages, load_till=None):
+    persist_batch(spark.createDataFrame(list(pages), "site string, body string"), batch_id, out, ntz(NOW), load_till=None if load_till is None else ntz(load_till))
+
+
+def site_runs(spark, out, version):
+    return {r["site"]: r for r in state.read_version(spark, f"{out}/site_runs", version, SITE_RUN_SCHEMA).collect()}
+
+
+def test_faults_stop_their_site_alone(spark, tmp_path):
     out = str(tmp_path)
-    good = spark.createDataFrame([("drom", json.dumps([ad("1", "2026-01-01 00:00:05")]))], "site string, body string")
-    persist_batch(good, 0, out, ntz(NOW))
-    bad = spark.createDataFrame([("drom", json.dumps([ad("2", "never")]))], "site string, body string")
-    with pytest.raises(Exception, match="without a valid 'checked'"):
-        persist_batch(bad, 1, out, ntz(NOW))
-    assert rows_of(load_cursors(spark, out), "site", "ts") == {("drom", T[1])}
-    assert spark.read.parquet(f"{out}/raw").count() == 2
+    sites = ("drom", "avto", "auto")
+    persist(spark, out, 0, *(page(site, ad("1", "2026-01-01 00:00:05")) for site in sites))
+    later = [ad("1", "2026-01-01 00:00:10", price="11"), ad("3", "2026-01-01 00:00:10")]
+    faults = [page("drom", ad("2", "never")), ("avto", "no json"), ("avto", '{"ads": 5}'), ("none", None)]
+    persist(spark, out, 1, *(page(site, *later) for site in sites), *faults)
+    assert rows_of(load_cursors(spark, out), "site", "ts") == {("drom", T[1]), ("avto", T[1]), ("auto", T[2])}
+    runs = site_runs(spark, out, 1)
+    assert {site: (r["status"], r["pages"], r["ads"], r["faults"]) for site, r in runs.items()} == {
+        "drom": ("failed", 2, 3, 1), "avto": ("failed", 3, 2, 2), "auto": ("ok", 1, 2, 0), "none": ("failed", 1, 0, 1),
+    }
+    assert runs["drom"]["error"] == feed.UNREADABLE and runs["avto"]["error"] == feed.BAD_PAGE
+    found = load_faults(spark, out, 1)
+    assert rows_of(found.where("site = 'avto'"), "content") == {("no json",), ('{"ads": 5}',)}
+    assert found.count() == 4
+    # what the failing sites delivered besides is kept, and a later sound batch moves them on
+    listed = rows_of(tables.read_listings(spark, f"{out}/listings"), "doc_id", "latest_price")
+    assert {(f"[{site}]{n}", price) for site in sites for n, price in ((1, 11.0), (3, 10.0))} | {("[drom]2", 10.0)} == listed
+    persist(spark, out, 2, page("drom", ad("4", "2026-01-01 00:00:15")))
+    assert ("drom", T[3]) in rows_of(load_cursors(spark, out), "site", "ts")
+
+
+def test_a_site_at_the_bound_waits(spark, tmp_path):
+    out = str(tmp_path)
+    persist(spark, out, 0, page("drom", ad("1", "2026-01-01 00:00:10")), page("avto", ad("1", "2026-01-01 00:00:05")))
+    persist(spark, out, 1, page("drom", ad("2", "2026-01-01 00:00:15")), page("avto", ad("2", "2026-01-01 00:00:15")), load_till=T[2])
+    assert rows_of(load_cursors(spark, out), "site", "ts") == {("drom", T[2]), ("avto", T[3])}  # the last batch may pass the bound
+    assert {site: r["status"] for site, r in site_runs(spark, out, 1).items()} == {"drom": "waiting", "avto": "ok"}
+    persist(spark, out, 2, page("none"), load_till=T[2])
+    persist(spark, out, 3, page("none"))
+    assert rows_of(load_cursors(spark, out), "site", "ts") == {("drom", T[3]), ("avto", T[3])}
+    assert rows_of(tables.read_listings(spark, f"{out}/listings"), "doc_id") == {(f"[{site}]{n}",) for site in ("drom", "avto") for n in (1, 2)}
+
+
+def test_rows_keep_their_ids_in_a_replay_and_equal_pages_stay_apart(spark, tmp_path):
+    out = str(tmp_path)
+    pages = [page("drom", ad("1", "2026-01-01 00:00:05"), ad("1", "2026-01-01 00:00:05", price="12"))] * 2 + [page("drom")]
+    ids = []
+    for _ in range(2):
+        persist(spark, out, 0, *pages)
+        ids.append(rows_of(feed.read_raw(spark, f"{out}/raw"), "raw_id"))
+    assert ids[0] == ids[1] and len(ids[0]) == 4
+    assert rows_of(tables.read_listings(spark, f"{out}/listings"), "latest_price") == {(12.0,)}
+
+
+def test_empty_landing_folder(spark, tmp_path):
+    for landing in (tmp_path / "missing", tmp_path / "empty"):
+        if landing.name == "empty":
+            landing.mkdir()
+        report = full_run(spark, str(landing), f"{tmp_path}/out-{landing.name}", 1, ntz(NOW))
+        assert (report.done, report.failed) == (["ingest", "match", "archive"], None), report.error
 
 
 def test_site_named_by_digits_stays_text(spark, tmp_path):
