@@ -230,8 +230,12 @@ def invalid_reasons(payload: Column) -> Column:
         ),
         lambda item: item["name"].isin(list(PARAM_FIELDS.values())),
     )
-    last = F.filter(params, lambda item, place: ~F.exists(F.slice(params, place + 2, F.size(params)), lambda other: other["name"] == item["name"]))
-    named = F.transform(last, lambda item: _not_text(F.concat(F.lit("params: "), item["name"]), item["value"]))
+
+    def last_of_each(items: Column) -> Column:
+        last = F.filter(items, lambda item, place: ~F.exists(F.slice(items, place + 2, F.size(items)), lambda other: other["name"] == item["name"]))
+        return F.transform(last, lambda item: _not_text(F.concat(F.lit("params: "), item["name"]), item["value"]))
+
+    named = F.get(F.transform(F.array(params), last_of_each), F.lit(0))  # bound by a lambda, so that the parameters are read once
     history = F.transform(
         F.filter(F.try_variant_get(payload, "$.advert_info", "array<variant>"), lambda item: to_double(P.text(item, "price")).isNotNull()),
         lambda item: _not_text(F.lit("advert_info: type"), F.try_variant_get(item, "$.type", "variant")),
