@@ -52,7 +52,7 @@ _TRIPLE_BLOCKS = tuple(f"triple{n}" for n in range(BLOCKS))
 _LANES = np.array([sum(1 << 16 * k for k in range(4) if nibble >> k & 1) for nibble in range(16)], np.uint64)
 LENGTH_CLASS = 4.0
 #: Bits in which the plain SimHashes of candidates may differ. Where half of the words are the same it is 21 on average, where one in ten is 30.
-MOST_BITS = 27
+MOST_BITS = 24
 #: A word is frequent if more than this share of all words are it; there cannot be more than 1 / FREQUENT of these.
 FREQUENT = 1e-5
 #: Buckets of lines up to this many rows are compared in pairs of numbers, before any text is read; larger ones have had this many leaders by then.
@@ -311,7 +311,8 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, plan: LineDed
     """The pairs (a, b) whose whole lines are within the edit distance."""
     pairs = cut_lineage(pairs.select("a", "b"))
     lines = first_lines(cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()), nodes, docs)
-    lines = cut_lineage(lines.dropDuplicates(["id"]))  # a text that is there again gives its lines again
+    lines = stored(lines.dropDuplicates(["id"]), "line-texts")  # a text that is there again gives its lines again
+    release(docs.sparkSession)
     both = pairs.join(lines.select(F.col("id").alias("b"), F.col("line").alias("right")), "b").join(
         lines.select(F.col("id").alias("a"), F.col("line").alias("left")), "a"
     )
