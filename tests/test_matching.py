@@ -336,3 +336,16 @@ def test_defaults_do_not_hide_missing_start(spark):
     table = listings(spark, [listing("a", None, None)])
     asked = candidate_defaults(table, F.lit(START).cast("timestamp_ntz"))
     assert asked.first()["offer_start"] == START
+
+
+def test_rows_of_pairs_carry_digests_not_texts(spark):
+    table = listings(spark, [listing("a", START, brand="B" * 300), listing("b", START, brand="B" * 300), listing("c", START, brand="B")])
+    keys = {r["c_id"]: bytes(r["c_fields"]) for r in C.candidate_side(table).collect()}
+    assert {len(key) for key in keys.values()} == {32}
+    assert keys["a"] == keys["b"] != keys["c"]
+
+
+def test_small_hot_blocks_are_not_dealt(spark):
+    rows = [listing(f"d{i}", START, START + hours(1)) for i in range(40)]
+    hot = C.hot_blocks(C.document_side(listings(spark, rows)), 1)
+    assert [r["ways"] for r in hot.collect()] == [1]
