@@ -3,10 +3,12 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from relist.functions.scoring import MatchRules
+from relist.functions.walk import rounded
 from relist.operators import candidates as C
 from relist.operators import resolver
 from relist.operators.links import apply_links
@@ -349,3 +351,32 @@ def test_small_hot_blocks_are_not_dealt(spark):
     rows = [listing(f"d{i}", START, START + hours(1)) for i in range(40)]
     hot = C.hot_blocks(C.document_side(listings(spark, rows)), 1)
     assert [r["ways"] for r in hot.collect()] == [1]
+
+
+# --- spans of a block -------------------------------------------------------------------------
+
+
+def test_many_spans_equal_the_sequential_rule_without_a_join(spark, monkeypatch):
+    rows = random_rows(6, 120)
+    table = listings(spark, rows)
+    monkeypatch.setattr(C, "pair_listings", None)
+    got = resolver.resolve_links(table, table, MatchRules(min_score=0.5), bucket_wishes=5, list_length=6, hot_rows=20)
+    want = model_links(rows, 0.5)
+    assert len(want) > 15
+    assert rows_of(got, "candidate_id", "duplicate_id") == want
+    assert not hasattr(resolver, "pair_listings")
+
+
+def test_repeated_rows_take_once(spark):
+    rows = random_rows(7, 60)
+    table = listings(spark, rows + rows)
+    got = resolver.resolve_links(table, table, MatchRules(min_score=0.5))
+    assert rows_of(got, "candidate_id", "duplicate_id") == model_links(rows, 0.5)
+    assert got.count() == len(model_links(rows, 0.5))
+
+
+def test_walk_rounds_and_scores_as_spark_does(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.random(500) * 3, (np.arange(300) * 2 + 1) / 2e6, [0.0, 0.5, 1.0, 2.0000005, 0.6999995]])
+    frame = spark.createDataFrame([(float(v),) for v in values], "x double").select("x", F.round("x", 6).alias("r")).collect()
+    assert [r["r"] for r in frame] == list(rounded(np.array([r["x"] for r in frame])))
