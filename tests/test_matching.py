@@ -380,3 +380,15 @@ def test_walk_rounds_and_scores_as_spark_does(spark):
     values = np.concatenate([rng.random(500) * 3, (np.arange(300) * 2 + 1) / 2e6, [0.0, 0.5, 1.0, 2.0000005, 0.6999995]])
     frame = spark.createDataFrame([(float(v),) for v in values], "x double").select("x", F.round("x", 6).alias("r")).collect()
     assert [r["r"] for r in frame] == list(rounded(np.array([r["x"] for r in frame])))
+
+
+def test_best_equals_brute_force_without_a_join(spark, monkeypatch):
+    rows = random_rows(8, 200)
+    table = listings(spark, rows)
+    monkeypatch.setattr(C, "pair_listings", None)
+    want = {}
+    for c, d in model_pairs(rows):
+        want[c["doc_id"]] = min(want.get(c["doc_id"], (0.0, "~")), (-model_score(c, d), d["doc_id"]))
+    got = rows_of(C.best_duplicate(table, table, RULES), "c_id", "d_id", "score")
+    assert len(want) > 100
+    assert got == {(c, d, -loss) for c, (loss, d) in want.items()}
