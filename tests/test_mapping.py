@@ -6,7 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from relist.catalog.adapters import raw_ads
 from relist.operators import mapping
+from relist.runtime import spread_evenly
 from relist.schemas import LISTING_SCHEMA
 
 INGESTED = datetime(2025, 6, 30, 23, 59, 1)
@@ -139,3 +141,22 @@ def test_candidate_defaults(spark):
     a, b = out["a"], out["b"]
     assert (a["original_id"], a["site_name"], a["name"], a["offer_start"], a["initial_price"], a["is_new"]) == ("a", "unknown", "", datetime(2026, 1, 1), 5.0, False)
     assert (b["original_id"], b["offer_start"], b["initial_price"], b["latest_price"]) == ("7", datetime(2026, 2, 1), 0.0, 0.0)
+
+
+def test_payloads_are_dealt_over_tasks_by_rows_and_not_by_row_groups(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2025-02-01 10:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "CAST(id AS DOUBLE) AS value", "'{}' AS props"
+    )
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        ads = raw_ads(spark, str(tmp_path))
+        sizes = ads.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(r["count"] for r in sizes) == 60_000 and max(r["count"] for r in sizes) < 15_000
+
+
+def test_large_tables_have_more_tasks(spark):
+    assert spread_evenly(spark.range(1_000), 10).rdd.getNumPartitions() == 100
+    assert spread_evenly(spark.range(0), 10).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
