@@ -143,6 +143,15 @@ def test_candidate_defaults(spark):
     assert (b["original_id"], b["offer_start"], b["initial_price"], b["latest_price"]) == ("7", datetime(2026, 2, 1), 0.0, 0.0)
 
 
+def test_reasons_are_not_computed_below_the_deal_of_the_rows(spark):
+    body = json.dumps(full_ad())
+    rows = spark.createDataFrame([("a", INGESTED, body), ("b", INGESTED, "[]")], "source string, ingested_at timestamp_ntz, payload string")
+    for part, source in zip(mapping.split_invalid(mapping.parse_payload(rows.repartition(5))), ("a", "b"), strict=True):
+        assert [r["source"] for r in part.collect()] == [source]
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "Repartition" in plan and "variant" not in plan[plan.index("Repartition") :]
+
+
 def test_payloads_are_dealt_over_tasks_by_rows_and_not_by_row_groups(spark, tmp_path):
     rows = spark.range(60_000).selectExpr(
         "id AS event_id", "TIMESTAMP_NTZ '2025-02-01 10:00:00' AS ts", "id % 7 AS user_id", "'view' AS event_type", "CAST(id AS DOUBLE) AS value", "'{}' AS props"
