@@ -392,3 +392,25 @@ def test_best_equals_brute_force_without_a_join(spark, monkeypatch):
     got = rows_of(C.best_duplicate(table, table, RULES), "c_id", "d_id", "score")
     assert len(want) > 100
     assert got == {(c, d, -loss) for c, (loss, d) in want.items()}
+
+
+def test_listings_of_one_site_are_no_single_task(spark, monkeypatch):
+    rows = [listing(f"d{i}", datetime(2024, 8, 1) + hours(i), datetime(2024, 8, 2) + hours(i)) for i in range(200)]
+    table = listings(spark, rows).repartition(8)
+    seen = []
+
+    def watched(candidates, documents, rules):
+        seen.extend(side.select(F.spark_partition_id()).distinct().count() for side in (candidates, documents))
+        return resolver.resolve_links(candidates, documents, rules)
+
+    monkeypatch.setattr(backfill_plan, "resolve_links", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        windows = spark.createDataFrame([("site", datetime(2024, 8, 1), datetime(2024, 9, 1))], "site string, lower_bound timestamp_ntz, upper_bound timestamp_ntz")
+        window = C.new_listings(table, windows)
+        assert window.count() == 200 and window.select(F.spark_partition_id()).distinct().count() > 1
+        progress = spark.createDataFrame([], "site string, next_from timestamp_ntz, reset_completed boolean, updated_at timestamp_ntz")
+        run_backfill(table, progress, F.lit(datetime(2024, 11, 5)).cast("timestamp_ntz"), RULES, validate=False)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(seen) == 2 and min(seen) > 1
