@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relist.functions.scoring import MatchRules
+from relist.functions import walk as walking
 from relist.functions.walk import rounded
 from relist.operators import candidates as C
 from relist.operators import resolver
@@ -375,6 +376,54 @@ def test_repeated_rows_take_once(spark):
     assert got.count() == len(model_links(rows, 0.5))
 
 
+def test_small_spans_grow_together(spark, monkeypatch):
+    """Every span wants what the one before has taken: with spans of two candidates all along, a round would settle one of 20."""
+    rows = [listing(f"old{i:03}", START - hours(50), START - hours(2)) for i in range(40)]
+    rows += [listing(f"new{i:03}", START + timedelta(minutes=i), None) for i in range(40)]
+    table = listings(spark, rows)
+    rounds = []
+
+    def counted(*given):
+        rounds.append(1)
+        return C.walk_spans(*given)
+
+    monkeypatch.setattr(resolver, "walk_spans", counted)
+    asked = table.where(F.col("doc_id").startswith("new"))
+    got = resolver.resolve_links(asked, table, RULES, bucket_wishes=2, list_length=1)
+    assert rows_of(got, "candidate_id", "duplicate_id") == {(c, d) for c, d in model_links(rows, 0.7) if c.startswith("new")}
+    assert got.count() == 40
+    assert len(rounds) <= 5
+
+
+def test_span_of_a_minute_in_steps(spark):
+    starts = [3 * n for n in range(100)]
+    frame = spark.createDataFrame([(starts[:most], m) for most in (1, 32, 33, 64, 100) for m in (-1, 0, 2, 3, 95, 96, 97, 191, 192, 400)], "starts array<bigint>, minute bigint")
+    for row in frame.select("*", C._span_of(F.col("minute")).alias("span")).collect():
+        assert row["span"] == sum(start <= row["minute"] for start in row["starts"]) - 1
+
+
+@pytest.mark.parametrize(("stride", "noted", "run_out", "enough", "pairs"), [(256, 32, 16, 8, 200_000), (16, 2, 2, 1, 50), (64, 3, 1, 2, 1000)])
+def test_walk_together_equals_one_by_one(spark, monkeypatch, stride, noted, run_out, enough, pairs):
+    """Candidates that want the same listings, looked at together; some of them run out of those noted."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        start = START + timedelta(minutes=rng.randrange(6000))
+        price = rng.choice([None, 100.0, 100.0, 1000.0 + rng.randrange(150)])
+        rows.append(listing(f"d{i:03}", start, start + hours(rng.randrange(1, 60)) if rng.random() < 0.9 else None, initial_price=price, latest_price=price, mileage=rng.choice([None, 1000, 1010])))
+    table = listings(spark, rows)
+    asking, offered = C.span_sides(table, table, RULES, 10**6, 10**6)
+    for name, value in (("STRIDE", stride), ("NOTED", noted), ("RUN_OUT", run_out), ("ENOUGH", enough), ("PAIRS", pairs)):
+        monkeypatch.setattr(walking, name, value)
+    sides = asking.toArrow(), offered.toArrow()
+    links = {(c, d) for _, c, d, *_ in walking.walk(*sides, RULES, RULES.min_score, take=True)}
+    assert len(links) > 100 and links == model_links(rows, RULES.min_score)
+    want = {}
+    for c, d in model_pairs(rows):
+        want[c["doc_id"]] = min(want.get(c["doc_id"], (0.0, "~")), (-model_score(c, d), d["doc_id"]))
+    assert {(c, d, -score) for _, c, d, score, *_ in walking.walk(*sides, RULES, 0.0, take=False)} == {(c, d, loss) for c, (loss, d) in want.items()}
+
+
 def test_walk_rounds_and_scores_as_spark_does(spark):
     rng = np.random.default_rng(3)
     values = np.concatenate([rng.random(500) * 3, (np.arange(300) * 2 + 1) / 2e6, [0.0, 0.5, 1.0, 2.0000005, 0.6999995]])
