@@ -348,6 +348,23 @@ def test_rows_of_pairs_carry_digests_not_texts(spark):
     assert keys["a"] == keys["b"] != keys["c"]
 
 
+def test_copies_of_candidates_carry_neither_bounds_nor_whole_digests(spark):
+    table = listings(spark, random_rows(11, 40))
+    pairs = C.pair_listings(C.candidate_side(table), C.document_side(table), RULES)
+    assert not {"c_fields", "d_fields", "c_block", "d_block", "c_price_low", "c_mileage_high", "c_end_low"} & set(pairs.columns)
+
+
+@pytest.mark.parametrize("tolerance", [0.1, 0.05, 0.0, 1e-7, -1.0])
+def test_closeness_of_pairs_equals_rounded_bounds(spark, tolerance):
+    targets = [None, 0.0, -0.0, 1e-7, 1.0, -5.0, -1e-6, 100.0, 123.456789, 1e12, -1e12, float("inf"), float("-inf"), float("nan")]
+    known = [t for t in targets if t is not None]
+    edges = [round(t * (1 + sign * max(tolerance, 0.0)), 6) + step for t in known if abs(t) < 1e13 for sign in (1, -1) for step in (0.0, 1e-6, -1e-6, 4e-6, -4e-6)]
+    frame = spark.createDataFrame([(t, v) for t in targets for v in [*targets, *edges]], "c_price double, d_price double")
+    found = frame.select("*", F.coalesce(C._close("price", tolerance), F.lit(False)).alias("got"), C.scoring.within_relative(F.col("d_price"), F.col("c_price"), tolerance).alias("want"))
+    wrong = found.where(~F.col("got").eqNullSafe(F.col("want"))).collect()
+    assert wrong == [] and (tolerance < 0 or found.where("not want").count() > 50)
+
+
 def test_small_hot_blocks_are_not_dealt(spark):
     rows = [listing(f"d{i}", START, START + hours(1)) for i in range(40)]
     hot = C.hot_blocks(C.document_side(listings(spark, rows)), 1)
