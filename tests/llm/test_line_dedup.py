@@ -70,6 +70,13 @@ def test_equals_all_pairs(spark):
         assert r.text == "\n".join(line for n, line in enumerate(lines) if n not in set(r.dropped))
 
 
+def test_written_steps_are_deleted(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("relist.llm.runtime.scratch_path", lambda _, name: str(tmp_path / f"{name}-{random.random()}"))
+    found = without_repeats(frame(spark, rows()))
+    assert list(tmp_path.iterdir()) == []
+    assert {(r.doc_id, n) for r in found.collect() for n in r.dropped} == brute(rows())
+
+
 def test_odd_rows_and_columns(spark):
     docs = frame(spark, odd_rows()).withColumnsRenamed({"size": "dropped", "base": "n_lines", "root": "_id", "key": "_row", "part": "of", "row": "doc"})
     found = without_repeats(docs.withColumn("_dropped", docs.doc))
